@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.slices import position, running
+from tidemark.operators.slices import as_column, position, running
 
 # Aggregates that can be taken in parts and merged: the partial and the merging function.
 PARTS = {
@@ -61,14 +61,14 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 def running_distinct(df: DataFrame, key: str, order: Sequence[str], **options) -> DataFrame:
     """Every first appearance of a key with the number of keys seen so far."""
     firsts = first_rows(df.select(key, *order), [key], order)
-    return running(firsts, [], order, {"seen": ("count", F.lit(1))}, **options)
+    return running(firsts, [], order, {"seen": ("count", "1")}, **options)
 
 
 def average_every(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, n: int, **options
 ) -> DataFrame:
     """On every n-th row of a key, the whole-number average of all its values so far."""
-    totals = {"_sum": ("sum", value.cast("decimal(20,0)")), "_rows": ("count", F.lit(1))}
+    totals = {"_sum": ("sum", value.cast("decimal(20,0)")), "_rows": ("count", "1")}
     return (
         running(df, keys, order, totals, **options)
         .filter(F.col("_rows") % n == 0)
@@ -81,14 +81,14 @@ def average_every(
 def salted_aggregate(
     df: DataFrame,
     keys: Sequence[str],
-    aggs: dict[str, tuple[str, Column]],
+    aggs: dict[str, tuple[str, Column | str]],
     spread_by: Sequence[str],
     salts: int = 8,
 ) -> DataFrame:
     """Aggregate per (key, salt), then per key. The salt comes from the row, so reruns agree."""
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts))
     partial = df.groupBy(*keys, salt.alias("_salt")).agg(
-        *[PARTS[kind][0](c).alias(n) for n, (kind, c) in aggs.items()])
+        *[PARTS[kind][0](as_column(c)).alias(n) for n, (kind, c) in aggs.items()])
     return partial.groupBy(*keys).agg(*[PARTS[kind][1](n).alias(n) for n, (kind, _) in aggs.items()])
 
 

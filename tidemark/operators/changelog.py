@@ -14,17 +14,17 @@ def log_envelope(row: str) -> str:
     """Schema of a replication-log record whose rows have the columns `row` (DDL)."""
     return (
         "`table` string, op_type string, op_ts timestamp_ntz, current_ts timestamp_ntz, "
-        f"pos string, primary_keys array<string>, before struct<{_fields(row)}>, "
-        f"after struct<{_fields(row)}>"
+        f"pos string, primary_keys array<string>, before struct<{struct_fields(row)}>, "
+        f"after struct<{struct_fields(row)}>"
     )
 
 
 def capture_envelope(row: str) -> str:
     """Schema of a database-capture record: operation, data, database, table."""
-    return f"operation string, data struct<{_fields(row)}>, `database` string, `table` string"
+    return f"operation string, data struct<{struct_fields(row)}>, `database` string, `table` string"
 
 
-def _fields(ddl: str) -> str:
+def struct_fields(ddl: str) -> str:
     """`a int, b decimal(10,2)` to the `a: int, ...` form a struct type takes."""
     fields, depth, start = [], 0, 0
     for i, c in enumerate(f"{ddl},"):
@@ -36,12 +36,14 @@ def _fields(ddl: str) -> str:
     return ", ".join(fields)
 
 
-def parse_log(records: DataFrame, row: str, column: str = "value") -> DataFrame:
+def parse_log(
+    records: DataFrame, row: str, column: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """Replication-log JSON to one flat row per change; a delete keeps its `before` values.
 
     `data` holds the row, `op_type` is I, U or D, and `op_ts, pos` order the changes.
     """
-    parsed = parse_json(records, log_envelope(row), column)
+    parsed = parse_json(records, log_envelope(row), column, keep=keep)
     is_delete = F.col("op_type") == "D"
     return parsed.withColumn("data", F.when(is_delete, F.col("before")).otherwise(F.col("after")))
 
@@ -50,9 +52,11 @@ def parse_log(records: DataFrame, row: str, column: str = "value") -> DataFrame:
 OPERATIONS = {"read": "I", "create": "I", "insert": "I", "update": "U", "delete": "D"}
 
 
-def parse_capture(records: DataFrame, row: str, column: str = "value") -> DataFrame:
+def parse_capture(
+    records: DataFrame, row: str, column: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """Database-capture JSON to rows with `data` and `op_type`."""
-    parsed = parse_json(records, capture_envelope(row), column)
+    parsed = parse_json(records, capture_envelope(row), column, keep=keep)
     letters = F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair])
     return parsed.withColumn("op_type", letters[F.lower("operation")]).drop("operation")
 

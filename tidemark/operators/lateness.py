@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.slices import running
+from tidemark.operators.slices import as_column, running
 from tidemark.operators.windows import seconds
 
 
@@ -55,12 +55,12 @@ def late_rows(
 
 def on_time_windows(
     df: DataFrame, keys: Sequence[str], arrival: Sequence[str], ts: str, size: str, slide: str,
-    delay: str, lateness: str, aggs: Sequence[Column], **options,
+    delay: str, lateness: str, aggs: Sequence[Column | str], **options,
 ) -> DataFrame:
     """Final window results from the rows each window still accepted."""
     marked = with_newest(df, arrival, ts, **options)
     placed = windows_with_state(marked, ts, size, slide, delay, lateness, "_newest")
-    totals = placed.filter("_open").groupBy(*keys, "_w").agg(*aggs)
+    totals = placed.filter("_open").groupBy(*keys, "_w").agg(*map(as_column, aggs))
     rest = [c for c in totals.columns if c not in (*keys, "_w")]
     return totals.select(
         *keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *rest)

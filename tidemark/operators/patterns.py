@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.aggregates import first_rows
-from tidemark.operators.slices import position, running, with_neighbours
+from tidemark.operators.slices import as_column, position, running, with_neighbours
 from tidemark.operators.windows import seconds
 
 MICROS = 1_000_000
@@ -29,7 +29,7 @@ def jumps(
 
 
 def adjacent_pairs(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], matches: Column, within: str,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], matches: Column | str, within: str,
     strict: bool, **options,
 ) -> DataFrame:
     """Two neighbouring rows of a key that both match and lie within a time span.
@@ -39,7 +39,7 @@ def adjacent_pairs(
     """
     ts = order[0]
     limit = seconds(within) * MICROS
-    marked = df.withColumn("_hit", matches).withColumn("_at", position(df, ts))
+    marked = df.withColumn("_hit", as_column(matches)).withColumn("_at", position(df, ts))
 
     def body(rows: DataFrame, window) -> DataFrame:
         before = F.lag(F.struct("_hit", "_at", F.col(ts).alias("ts"))).over(window)
@@ -56,13 +56,13 @@ def adjacent_pairs(
 
 
 def consecutive(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], matches: Column, times: int,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], matches: Column | str, times: int,
     within: str, **options,
 ) -> DataFrame:
     """Every row ending `times` matching neighbours in a row, less than `within` apart in total."""
     ts = order[0]
     limit = seconds(within) * MICROS
-    marked = df.withColumn("_hit", matches.cast("int")).withColumn("_at", position(df, ts))
+    marked = df.withColumn("_hit", as_column(matches).cast("int")).withColumn("_at", position(df, ts))
 
     def body(rows: DataFrame, window) -> DataFrame:
         back = window.rowsBetween(-(times - 1), 0)
@@ -154,7 +154,7 @@ def not_falling(
 
 
 def failure_bursts(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], failed: Column, at_least: int,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], failed: Column | str, at_least: int,
     within: str, **options,
 ) -> DataFrame:
     """Failures counted from the first one until `within` later; a success wipes the count.
@@ -163,7 +163,7 @@ def failure_bursts(
     finished burst starts the next one.
     """
     wait = seconds(within) * MICROS
-    base = df.select(*keys, *order, failed.alias("_failed")).withColumn(
+    base = df.select(*keys, *order, as_column(failed).alias("_failed")).withColumn(
         "_at", position(df, order[0]))
     runs = running(
         base, keys, order,
@@ -193,7 +193,7 @@ def with_rank_per_day(
     ts = order[0]
     day = F.to_date(F.col(ts) + F.expr(f"interval {zone_hours} hours"))
     return running(
-        df.withColumn("day", day), [*keys, "day"], order, {"nth": ("count", F.lit(1))}, **options)
+        df.withColumn("day", day), [*keys, "day"], order, {"nth": ("count", "1")}, **options)
 
 
 def order_outcomes(
@@ -226,7 +226,7 @@ def order_outcomes(
 
 
 def followed_by(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, then: Column,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column | str, then: Column | str,
     within: str, **options,
 ) -> DataFrame:
     """For every `first` row the next `then` row of the key, whatever lies between.
@@ -236,7 +236,7 @@ def followed_by(
     """
     ts = order[0]
     limit = seconds(within) * MICROS
-    base = df.select(*keys, *order, first.alias("_first"), then.alias("_then"))
+    base = df.select(*keys, *order, as_column(first).alias("_first"), as_column(then).alias("_then"))
     back = [f"_back_{o}" for o in order]
     base = base.withColumns({b: -position(base, o) for b, o in zip(back, order)})
     looked = running(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,16 +24,16 @@ def parse_lines(
 
 
 def parse_json(
-    records: DataFrame, schema: str, column: str = "value", on_error: str = "DROPMALFORMED"
+    records: DataFrame, schema: str, column: str = "value", on_error: str = "DROPMALFORMED",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """JSON text to typed columns; a record that does not parse is dropped or raises."""
+    """JSON text to typed columns beside the `keep` columns; bad records are dropped or raise."""
     if on_error == "FAILFAST":
-        parsed = records.select(F.from_json(column, schema, {"mode": "FAILFAST"}).alias("r"))
-        return parsed.select("r.*")
-    parsed = records.select(
-        F.from_json(column, f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-        .alias("r"))
-    return parsed.filter("r is not null and r._bad is null").select("r.*").drop("_bad")
+        parsed = records.select(*keep, F.from_json(column, schema, {"mode": "FAILFAST"}).alias("r"))
+        return parsed.select(*keep, "r.*")
+    options = {"columnNameOfCorruptRecord": "_bad"}
+    parsed = records.select(*keep, F.from_json(column, f"{schema}, _bad string", options).alias("r"))
+    return parsed.filter("r is not null and r._bad is null").select(*keep, "r.*").drop("_bad")
 
 
 def words(lines: DataFrame, column: str, pattern: str = "[ \\n\\t\\r]+") -> DataFrame:

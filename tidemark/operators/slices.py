@@ -46,6 +46,11 @@ class Sliced:
         return self.rows.filter(F.col("_slice") > 0)
 
 
+def as_column(value: Column | str) -> Column:
+    """A column, or a SQL expression as text."""
+    return F.expr(value) if isinstance(value, str) else value
+
+
 def position(df: DataFrame, column: str) -> Column:
     """The order column as a long: microseconds for timestamps, the value itself for numbers."""
     kind = dict(df.dtypes)[column]
@@ -134,7 +139,7 @@ def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    aggs: dict[str, tuple[str, Column]],
+    aggs: dict[str, tuple[str, Column | str]],
     peers: bool = False,
     rows_per_slice: int | None = None,
 ) -> DataFrame:
@@ -143,6 +148,7 @@ def running(
     `aggs` maps a new column to (kind, expression), kind being sum, count, min, max or last
     (newest non-null). With `peers`, rows equal in the order columns share one value.
     """
+    aggs = {n: (kind, as_column(c)) for n, (kind, c) in aggs.items()}
     s = slice_rows(df, keys, order, rows_per_slice)
     frame = s.window()
     first = Window.unboundedPreceding

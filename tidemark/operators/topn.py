@@ -23,5 +23,5 @@ def hot_items(
     df: DataFrame, item: str, ts: str, size: str, slide: str, n: int
 ) -> DataFrame:
     """The n most frequent items of every sliding window, ties broken by item."""
-    counts = hop(df, [item], ts, size, slide, {"n": ("count", F.lit(1))})
+    counts = hop(df, [item], ts, size, slide, {"n": ("count", "1")})
     return top_n(counts, ["window_end"], [F.col("n").desc(), F.col(item)], n)

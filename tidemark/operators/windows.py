@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import PARTS
-from tidemark.operators.slices import running, with_neighbours
+from tidemark.operators.slices import as_column, running, with_neighbours
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 PANES_FROM = 8
@@ -29,17 +29,17 @@ def _bounds(df: DataFrame, window: str = "_w") -> DataFrame:
 
 
 def tumble(
-    df: DataFrame, keys: Sequence[str], ts: str, size: str, aggs: Sequence[Column],
+    df: DataFrame, keys: Sequence[str], ts: str, size: str, aggs: Sequence[Column | str],
     offset: str = "0 seconds",
 ) -> DataFrame:
     """Fixed windows, shifted by `offset` from the epoch (may be negative)."""
     window = F.window(ts, size, size, offset)
-    return _bounds(df.groupBy(*keys, window.alias("_w")).agg(*aggs))
+    return _bounds(df.groupBy(*keys, window.alias("_w")).agg(*map(as_column, aggs)))
 
 
 def hop(
     df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
-    aggs: dict[str, tuple[str, Column]], panes: bool | None = None,
+    aggs: dict[str, tuple[str, Column | str]], panes: bool | None = None,
 ) -> DataFrame:
     """Sliding windows.
 
@@ -51,21 +51,21 @@ def hop(
         panes = not df.isStreaming and size_s // slide_s >= PANES_FROM
     if not panes:
         window = F.window(ts, size, slide).alias("_w")
-        plain = [PARTS[kind][0](c).alias(n) for n, (kind, c) in aggs.items()]
+        plain = [PARTS[kind][0](as_column(c)).alias(n) for n, (kind, c) in aggs.items()]
         return _bounds(df.groupBy(*keys, window).agg(*plain))
     pane = f"{math.gcd(size_s, slide_s)} seconds"
     partial = df.groupBy(*keys, F.window(ts, pane).alias("_p")).agg(
-        *[PARTS[kind][0](c).alias(n) for n, (kind, c) in aggs.items()])
+        *[PARTS[kind][0](as_column(c)).alias(n) for n, (kind, c) in aggs.items()])
     starts = partial.withColumn("_at", F.col("_p.start"))
     merged = [PARTS[kind][1](n).alias(n) for n, (kind, _) in aggs.items()]
     return _bounds(starts.groupBy(*keys, F.window("_at", size, slide).alias("_w")).agg(*merged))
 
 
 def session(
-    df: DataFrame, keys: Sequence[str], ts: str, gap: str, aggs: Sequence[Column]
+    df: DataFrame, keys: Sequence[str], ts: str, gap: str, aggs: Sequence[Column | str]
 ) -> DataFrame:
     """Windows that end after a pause longer than `gap`; the end is the last row plus the gap."""
-    return _bounds(df.groupBy(*keys, F.session_window(ts, gap).alias("_w")).agg(*aggs))
+    return _bounds(df.groupBy(*keys, F.session_window(ts, gap).alias("_w")).agg(*map(as_column, aggs)))
 
 
 def distinct_per_window(
@@ -78,14 +78,14 @@ def distinct_per_window(
 
 
 def count_tumble(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, aggs: Sequence[Column],
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, aggs: Sequence[Column | str],
     **options,
 ) -> DataFrame:
     """Windows of exactly n consecutive rows per key, numbered from 0; unfilled ones do not fire."""
-    numbered = running(df, keys, order, {"_row": ("count", F.lit(1))}, **options)
+    numbered = running(df, keys, order, {"_row": ("count", "1")}, **options)
     return (
         numbered.groupBy(*keys, F.expr(f"(_row - 1) div {n}").alias("window_no"))
-        .agg(F.count("*").alias("_filled"), *aggs)
+        .agg(F.count("*").alias("_filled"), *map(as_column, aggs))
         .filter(F.col("_filled") == n)
         .drop("_filled")
     )
@@ -93,14 +93,14 @@ def count_tumble(
 
 def count_slide(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, slide: int,
-    aggs: dict[str, Column], **options,
+    aggs: dict[str, Column | str], **options,
 ) -> DataFrame:
     """After every `slide`-th row of a key, aggregates over its last `size` rows."""
 
     def body(rows: DataFrame, window) -> DataFrame:
         frame = window.rowsBetween(-(size - 1), 0)
-        return rows.withColumns({n: c.over(frame) for n, c in aggs.items()})
+        return rows.withColumns({n: as_column(c).over(frame) for n, c in aggs.items()})
 
-    numbered = running(df, keys, order, {"row_no": ("count", F.lit(1))}, **options)
+    numbered = running(df, keys, order, {"row_no": ("count", "1")}, **options)
     looked = with_neighbours(numbered, keys, order, body, before=size - 1, **options)
     return looked.filter(F.col("row_no") % slide == 0).select(*keys, "row_no", *aggs)

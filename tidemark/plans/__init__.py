@@ -1,0 +1,6 @@
+"""The runnable queries, one module per family."""
+
+from tidemark.plans import aggregations, changes, joined, rows, sequences, windowed  # noqa: F401
+from tidemark.plans.registry import QUERIES, Tables
+
+__all__ = ["QUERIES", "Tables"]

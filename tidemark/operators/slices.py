@@ -68,8 +68,8 @@ def slice_rows(
         return Sliced(df, keys, order, False)
     limit = rows_per_slice or ROWS_PER_SLICE
     shared_dir(df.sparkSession)
-    named = df if keys else df.withColumn("_all", F.lit(0))
-    by = list(keys) or ["_all"]
+    named = df if keys else df.withColumn("_sl_all", F.lit(0))
+    by = list(keys) or ["_sl_all"]
 
     # Fewer than total / limit keys can be this large. Written once, since it is used three times.
     hot = named.groupBy(*by).count().filter(F.col("count") > limit).checkpoint()
@@ -83,28 +83,28 @@ def slice_rows(
         return F.broadcast(side) if hot_bytes <= BROADCAST_BYTES else side
 
     def match(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        renamed = right.select(*[F.col(k).alias(f"_hot_{k}") for k in by],
+        renamed = right.select(*[F.col(k).alias(f"_sl_hot_{k}") for k in by],
                                *[c for c in right.columns if c not in by])
-        on = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in by]
-        return left.join(small(renamed), on, how).drop(*[f"_hot_{k}" for k in by])
+        on = [F.col(k).eqNullSafe(F.col(f"_sl_hot_{k}")) for k in by]
+        return left.join(small(renamed), on, how).drop(*[f"_sl_hot_{k}" for k in by])
 
     where = position(named, order[0])
     fractions = [i / n_slices for i in range(1, n_slices)] or [0.5]
     cuts = (
-        match(named.select(*by, where.alias("_at")), hot.select(*by), "left_semi")
+        match(named.select(*by, where.alias("_sl_at")), hot.select(*by), "left_semi")
         .groupBy(*by)
-        .agg(F.percentile_approx("_at", fractions, 20 * n_slices).alias("_cuts"))
+        .agg(F.percentile_approx("_sl_at", fractions, 20 * n_slices).alias("_sl_cuts"))
     )
     placed = (
         match(named, cuts, "left")
-        .withColumn("_at", where)
+        .withColumn("_sl_at", where)
         .withColumn(
             "_slice",
-            F.when(F.col("_cuts").isNull(), 0)
-            .when(F.col("_at").isNull(), 1)
-            .otherwise(1 + F.size(F.filter("_cuts", lambda c: c < F.col("_at")))),
+            F.when(F.col("_sl_cuts").isNull(), 0)
+            .when(F.col("_sl_at").isNull(), 1)
+            .otherwise(1 + F.size(F.filter("_sl_cuts", lambda c: c < F.col("_sl_at")))),
         )
-        .drop("_cuts", "_at", "_all")
+        .drop("_sl_cuts", "_sl_at", "_sl_all")
     )
     return Sliced(placed, keys, order, True)
 
@@ -164,41 +164,41 @@ def running(
         return _start(kind, column)
 
     per_slice = s.cut_rows().groupBy(*s.group).agg(
-        *[fold(kind, c).alias(f"_{n}") for n, (kind, c) in aggs.items()])
+        *[fold(kind, c).alias(f"_sl_{n}") for n, (kind, c) in aggs.items()])
     earlier = Window.partitionBy(*s.keys).orderBy("_slice").rowsBetween(first, -1)
     carry = per_slice.select(
-        *[F.col(k).alias(f"_k_{k}") for k in s.group],
-        *[_FOLDS[kind](F.col(f"_{n}")).over(earlier).alias(f"_{n}")
+        *[F.col(k).alias(f"_sl_k_{k}") for k in s.group],
+        *[_FOLDS[kind](F.col(f"_sl_{n}")).over(earlier).alias(f"_sl_{n}")
           for n, (kind, _) in aggs.items()],
     )
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in s.group]
+    on = [F.col(k).eqNullSafe(F.col(f"_sl_k_{k}")) for k in s.group]
     return (
         local.join(carry, on, "left")
-        .withColumns({n: _join(kind, F.col(f"_{n}"), F.col(n)) for n, (kind, _) in aggs.items()})
+        .withColumns({n: _join(kind, F.col(f"_sl_{n}"), F.col(n)) for n, (kind, _) in aggs.items()})
         .select(*df.columns, *aggs)
     )
 
 
 def _edge_rows(s: Sliced, n: int, following: bool) -> DataFrame:
-    """For every slice the n nearest rows of the key before it (or after it), marked `_seed`."""
+    """For every slice the n nearest rows of the key before it (or after it), marked `_sl_seed`."""
     columns = s.rows.columns
     forward = [F.col(c) for c in s.order]
     backward = [F.col(c).desc() for c in s.order]
     near, away = (backward, forward) if not following else (forward, backward)
     edge = (
         s.cut_rows()
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*s.group).orderBy(*near)))
-        .filter(F.col("_rank") <= n)
+        .withColumn("_sl_rank", F.row_number().over(Window.partitionBy(*s.group).orderBy(*near)))
+        .filter(F.col("_sl_rank") <= n)
     )
     slices = F.col("_slice") if not following else F.col("_slice").desc()
     along = Window.partitionBy(*s.keys).orderBy(slices, *away)
     return (
-        edge.withColumn("_list", F.collect_list(F.struct(*columns)).over(along.rowsBetween(-n, -1)))
-        .withColumn("_was", F.lag("_slice").over(along))
-        .filter(F.col("_was").isNotNull() & (F.col("_was") != F.col("_slice")))
-        .select("_slice", F.explode("_list").alias("_row"))
-        .select(*[F.col("_slice") if c == "_slice" else F.col(f"_row.`{c}`") for c in columns])
-        .withColumn("_seed", F.lit(True))
+        edge.withColumn("_sl_list", F.collect_list(F.struct(*columns)).over(along.rowsBetween(-n, -1)))
+        .withColumn("_sl_was", F.lag("_slice").over(along))
+        .filter(F.col("_sl_was").isNotNull() & (F.col("_sl_was") != F.col("_slice")))
+        .select("_slice", F.explode("_sl_list").alias("_sl_row"))
+        .select(*[F.col("_slice") if c == "_slice" else F.col(f"_sl_row.`{c}`") for c in columns])
+        .withColumn("_sl_seed", F.lit(True))
     )
 
 
@@ -218,28 +218,28 @@ def with_neighbours(
     s = slice_rows(df, keys, order, rows_per_slice)
     if not s.is_cut:
         return body(s.rows, s.window())
-    rows = s.rows.withColumn("_seed", F.lit(False))
+    rows = s.rows.withColumn("_sl_seed", F.lit(False))
     if before:
         rows = rows.unionByName(_edge_rows(s, before, following=False))
     if after:
         rows = rows.unionByName(_edge_rows(s, after, following=True))
-    return body(rows, s.window()).filter(~F.col("_seed")).drop("_seed", "_slice")
+    return body(rows, s.window()).filter(~F.col("_sl_seed")).drop("_sl_seed", "_slice")
 
 
 def _cascade(rows: DataFrame, window: WindowSpec, entry: str, n: int) -> DataFrame:
     """Running n largest values: what a slot gives up is offered to the next slot."""
     frame = window.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_offer", F.col(entry))
+    rows = rows.withColumn("_sl_offer", F.col(entry))
     for i in range(1, n + 1):
         slot = f"_top{i}"
-        rows = rows.withColumn(slot, F.max("_offer").over(frame))
+        rows = rows.withColumn(slot, F.max("_sl_offer").over(frame))
         held = F.lag(slot).over(window)
         rows = rows.withColumn(
-            "_offer",
-            F.when(held.isNull() | F.col("_offer").isNull(), F.lit(None)).otherwise(
-                F.least(F.col("_offer"), held)),
+            "_sl_offer",
+            F.when(held.isNull() | F.col("_sl_offer").isNull(), F.lit(None)).otherwise(
+                F.least(F.col("_sl_offer"), held)),
         )
-    return rows.drop("_offer")
+    return rows.drop("_sl_offer")
 
 
 def running_top(
@@ -251,35 +251,35 @@ def running_top(
     rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Add `_top1.._topn`, the n largest `entry` values of the key so far; entries must be unique."""
-    s = slice_rows(df.withColumn("_entry", entry), keys, order, rows_per_slice)
+    s = slice_rows(df.withColumn("_sl_entry", entry), keys, order, rows_per_slice)
     if not s.is_cut:
-        return _cascade(s.rows, s.window(), "_entry", n).drop("_entry")
-    best = Window.partitionBy(*s.group).orderBy(F.col("_entry").desc())
+        return _cascade(s.rows, s.window(), "_sl_entry", n).drop("_sl_entry")
+    best = Window.partitionBy(*s.group).orderBy(F.col("_sl_entry").desc())
     edge = (
         s.cut_rows()
-        .withColumn("_rank", F.row_number().over(best))
-        .filter(F.col("_rank") <= n)
-        .drop("_rank")
+        .withColumn("_sl_rank", F.row_number().over(best))
+        .filter(F.col("_sl_rank") <= n)
+        .drop("_sl_rank")
     )
     along = Window.partitionBy(*s.keys).orderBy("_slice", *s.order)
     slots = [f"_top{i}" for i in range(1, n + 1)]
     ahead = (
-        _cascade(edge, along, "_entry", n)
-        .withColumn("_next", F.lead("_slice").over(along))
-        .filter(F.col("_next") != F.col("_slice"))
-        .withColumn("_kept", F.explode(F.array_compact(F.array(*slots))))
+        _cascade(edge, along, "_sl_entry", n)
+        .withColumn("_sl_next", F.lead("_slice").over(along))
+        .filter(F.col("_sl_next") != F.col("_slice"))
+        .withColumn("_sl_kept", F.explode(F.array_compact(F.array(*slots))))
     )
     # A carried entry stands before every row of its slice, so its other columns may stay empty.
     seeds = ahead.select(
         *s.keys,
-        F.col("_next").alias("_slice"),
-        F.col("_kept").alias("_entry"),
-        F.lit(True).alias("_seed"),
+        F.col("_sl_next").alias("_slice"),
+        F.col("_sl_kept").alias("_sl_entry"),
+        F.lit(True).alias("_sl_seed"),
     )
-    rows = s.rows.withColumn("_seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
-    seeds_first = Window.partitionBy(*s.group).orderBy(F.col("_seed").desc(), *s.order, "_entry")
+    rows = s.rows.withColumn("_sl_seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
+    seeds_first = Window.partitionBy(*s.group).orderBy(F.col("_sl_seed").desc(), *s.order, "_sl_entry")
     return (
-        _cascade(rows, seeds_first, "_entry", n)
-        .filter(~F.col("_seed"))
-        .drop("_seed", "_slice", "_entry")
+        _cascade(rows, seeds_first, "_sl_entry", n)
+        .filter(~F.col("_sl_seed"))
+        .drop("_sl_seed", "_slice", "_sl_entry")
     )

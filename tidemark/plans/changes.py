@@ -10,7 +10,7 @@ ORDER_ROW = "o_orderkey long, o_custkey long, price decimal(20,2), status string
 CUSTOMER_ROW = "c_custkey long, c_name string, c_mktsegment string"
 
 
-def order_log(t: Tables) -> DataFrame:
+def order_log_of(orders: DataFrame) -> DataFrame:
     """Replication-log JSON: every order is inserted, every 10th updated, every 50th deleted."""
     row = F.struct(
         "o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(20,2)").alias("price"),
@@ -35,11 +35,11 @@ def order_log(t: Tables) -> DataFrame:
         change("I", 0, nothing, row, F.lit(True)),
         change("U", 1, row, changed, key % 10 == 0),
         change("D", 2, changed, nothing, key % 50 == 0))
-    return t.orders.select(F.explode(F.array_compact(entries)).alias("value"))
+    return orders.select(F.explode(F.array_compact(entries)).alias("value"))
 
 
 def order_changes(t: Tables) -> DataFrame:
-    parsed = changelog.parse_log(order_log(t), ORDER_ROW)
+    parsed = changelog.parse_log(order_log_of(t.orders), ORDER_ROW)
     return parsed.select("op_type", "op_ts", "pos", "data.*")
 
 

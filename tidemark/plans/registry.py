@@ -26,6 +26,22 @@ class Tables:
             raise AttributeError(name)
         return self.read(name)
 
+    def stream(
+        self, name: str, files_per_batch: int | None = None, zoned: bool = True
+    ) -> DataFrame:
+        """The same table as a stream of files; `zoned` turns its times into timestamps, which
+        watermarks require.
+
+        The bracket makes the path a pattern, which a stream accepts for a file and a folder alike.
+        """
+        schema = self.read(name).schema
+        reader = self.spark.readStream.schema(schema)
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        rows = reader.parquet(f"{self.folder}/{name}.parque[t]")
+        times = [f.name for f in schema if f.dataType.simpleString() == "timestamp_ntz"]
+        return rows.withColumns({c: F.col(c).cast("timestamp") for c in times if zoned})
+
     def of_type(self, *types: str) -> DataFrame:
         return self.events.filter(F.col("event_type").isin(*types))
 

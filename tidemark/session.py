@@ -21,12 +21,19 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a running session."""
     for name, value in SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
+    context = spark.sparkContext
+    if context.master.startswith("local") and spark.conf.get(_PARTITIONS) == "200":
+        # Spark's default suits a cluster; a local session gets one shuffle task per thread.
+        spark.conf.set(_PARTITIONS, str(context.defaultParallelism))
     return spark
 
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 def build(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -81,7 +81,6 @@ def enrich(
 ) -> DataFrame:
     """Left join further current tables, each given with the column pair to match on."""
     for table, left_key, right_key in others:
-        # A null key matches nothing, but would send all such rows to one task.
         orders = orders.join(table, orders[left_key] == table[right_key], "left")
         if left_key != right_key:
             orders = orders.drop(table[right_key])

@@ -14,6 +14,7 @@ from tidemark.operators.slices import as_column, position, running, with_neighbo
 from tidemark.operators.windows import seconds
 
 MICROS = 1_000_000
+NEVER = (1 << 63) - 1
 
 
 def jumps(
@@ -78,7 +79,9 @@ def consecutive(
     ).drop("_hit", "_at", "_hits", "_from")
 
 
-def _follow_timers(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFrame]:
+def _follow_timers(
+    batches: Iterator[pd.DataFrame], run: list[str], limit: int
+) -> Iterator[pd.DataFrame]:
     """Walk sorted rows: the first row of a run arms a timer, the next row past it arms anew."""
     armed = 0
     for batch in batches:
@@ -87,24 +90,49 @@ def _follow_timers(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.D
             if is_new or at > armed + limit:
                 armed = at
             starts.append(armed)
-        yield batch.assign(_armed=starts).drop(columns=["_new"])
+        groups = batch.assign(_armed=starts).groupby(
+            [*run, "_armed"], dropna=False, sort=False, as_index=False)
+        yield groups.agg(_end=("_end", "first"), _last=("_at", "max"), _rows=("_at", "size"))
 
 
 def timer_groups(
     df: DataFrame, run: Sequence[str], order: Sequence[str], limit: int
 ) -> DataFrame:
-    """Add `_armed`: when the timer covering the row was set, in epoch microseconds.
+    """One row per timer: the run, `_armed` (when it was set), `_last` and `_rows` it covered.
 
-    `run` identifies stretches of rows that share timers; `_at` is the row time. Each timer depends
-    on the one before, so a run is read in order, row by row and in constant memory; what is spread
-    over tasks are the runs, not the keys.
+    `run` identifies stretches of rows that share timers and must not be null; `_at` is the row
+    time and `_end` the end of the run. Each timer depends on the one before, so a run is read in
+    order, row by row and in constant memory; what is spread over tasks are the runs, not the keys.
     """
-
+    run = list(run)
     first = F.row_number().over(Window.partitionBy(*run).orderBy(*order)) == 1
-    schema = T.StructType([*df.schema.fields, T.StructField("_armed", T.LongType())])
+    longs = [T.StructField(c, T.LongType()) for c in ("_armed", "_end", "_last", "_rows")]
+    schema = T.StructType([*[df.schema[c] for c in run], *longs])
     # The window has already brought each run together; the sort is the one it needed anyway.
-    ordered = df.withColumn("_new", first).sortWithinPartitions(*run, *order)
-    return ordered.mapInPandas(lambda batches: _follow_timers(batches, limit), schema)
+    ordered = (
+        df.withColumn("_end", F.coalesce("_end", F.lit(NEVER)))
+        .withColumn("_new", first)
+        .sortWithinPartitions(*run, *order)
+        .select(*run, "_at", "_end", "_new")
+    )
+    parts = ordered.mapInPandas(lambda batches: _follow_timers(batches, run, limit), schema)
+    return parts.groupBy(*run, "_armed").agg(
+        F.min("_end").alias("_end"), F.max("_last").alias("_last"), F.sum("_rows").alias("_rows"))
+
+
+def _with_runs(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], breaks: str, **options
+) -> DataFrame:
+    """Number the stretches between `breaks` rows as `_run`, and add `_end`, the next break's time.
+
+    Both are running values over the same key, one read forwards and one backwards.
+    """
+    back = [f"_back_{o}" for o in order]
+    turned = df.withColumns({b: -position(df, o) for b, o in zip(back, order)})
+    count = F.when(F.col(breaks), 1).otherwise(0).cast("long")
+    numbered = running(turned, keys, order, {"_run": ("sum", count)}, **options)
+    ahead = F.when(F.col(breaks), F.col("_at"))
+    return running(numbered, keys, back, {"_end": ("last", ahead)}, **options)
 
 
 def not_falling(
@@ -118,39 +146,26 @@ def not_falling(
     the row of a fall arm nothing. `arm_on_first` lets the very first row arm, and demands a true
     rise afterwards. Returns the key with `armed_at` and `alert_at`.
     """
-    ts = order[0]
     wait = seconds(limit) * MICROS
-    base = df.select(*keys, *order, value).withColumn("_at", position(df, ts))
+    base = df.select(*keys, *order, value).withColumn("_at", position(df, order[0]))
 
     def body(rows: DataFrame, window) -> DataFrame:
         return rows.withColumn("_last", F.lag(value).over(window))
 
     looked = with_neighbours(base, keys, order, body, before=1, **options)
-    fell = F.col(value) < F.col("_last")
     if arm_on_first:
         arms = F.col("_last").isNull() | (F.col(value) > F.col("_last"))
     else:
         arms = F.col(value) >= F.col("_last")
-    runs = running(
-        looked.withColumn("_fell", F.coalesce(fell, F.lit(False))).withColumn("_arms", arms),
-        keys, order, {"_run": ("sum", F.col("_fell").cast("long"))}, **options)
-    # A run ends where the next one begins: at the row that fell.
-    ends = runs.filter("_fell").select(
-        *[F.col(k).alias(f"_e_{k}") for k in keys], (F.col("_run") - 1).alias("_e_run"),
-        F.col("_at").alias("_end"))
-    candidates = runs.filter(F.coalesce("_arms", F.lit(False))).select(
-        *keys, "_run", *order, "_at")
-    armed = timer_groups(candidates, [*keys, "_run"], order, wait)
-    timers = armed.groupBy(*keys, "_run", "_armed").agg(F.count("*").alias("n_rows"))
-    on = [F.col(k) == F.col(f"_e_{k}") for k in keys] + [F.col("_run") == F.col("_e_run")]
-    return (
-        timers.join(ends, on, "left")
-        .filter(F.col("_end").isNull() | (F.col("_end") > F.col("_armed") + wait))
-        .select(
-            *keys,
-            F.timestamp_micros("_armed").alias("armed_at"),
-            F.timestamp_micros(F.col("_armed") + wait).alias("alert_at"))
-    )
+    flagged = looked.withColumns({
+        "_fell": F.coalesce(F.col(value) < F.col("_last"), F.lit(False)),
+        "_arms": F.coalesce(arms, F.lit(False)),
+    })
+    candidates = _with_runs(flagged, keys, order, "_fell", **options).filter("_arms")
+    timers = timer_groups(candidates, [*keys, "_run"], order, wait)
+    return timers.filter(F.col("_end") > F.col("_armed") + wait).select(
+        *keys, F.timestamp_micros("_armed").alias("armed_at"),
+        F.timestamp_micros(F.col("_armed") + wait).alias("alert_at"))
 
 
 def failure_bursts(
@@ -163,27 +178,14 @@ def failure_bursts(
     finished burst starts the next one.
     """
     wait = seconds(within) * MICROS
-    base = df.select(*keys, *order, as_column(failed).alias("_failed")).withColumn(
-        "_at", position(df, order[0]))
-    runs = running(
-        base, keys, order,
-        {"_run": ("sum", F.when(F.col("_failed"), 0).otherwise(1).cast("long"))}, **options)
-    ends = runs.filter("not _failed").select(
-        *[F.col(k).alias(f"_e_{k}") for k in keys], (F.col("_run") - 1).alias("_e_run"),
-        F.col("_at").alias("_end"))
-    armed = timer_groups(
-        runs.filter("_failed").select(*keys, "_run", *order, "_at"), [*keys, "_run"], order, wait)
-    bursts = armed.groupBy(*keys, "_run", "_armed").agg(
-        F.max("_at").alias("_last"), F.count("*").alias("n_fails")
-    ).filter(F.col("n_fails") >= at_least)
-    on = [F.col(k) == F.col(f"_e_{k}") for k in keys] + [F.col("_run") == F.col("_e_run")]
-    return (
-        bursts.join(ends, on, "left")
-        .filter(F.col("_end").isNull() | (F.col("_end") > F.col("_armed") + wait))
-        .select(
-            *keys, F.timestamp_micros("_armed").alias("first_ts"),
-            F.timestamp_micros("_last").alias("last_ts"), "n_fails")
-    )
+    base = df.select(*keys, *order, as_column(failed).alias("_failed"))
+    flagged = base.withColumns({"_at": position(df, order[0]), "_passed": ~F.col("_failed")})
+    fails = _with_runs(flagged, keys, order, "_passed", **options).filter("_failed")
+    bursts = timer_groups(fails, [*keys, "_run"], order, wait)
+    found = (F.col("_rows") >= at_least) & (F.col("_end") > F.col("_armed") + wait)
+    return bursts.filter(found).select(
+        *keys, F.timestamp_micros("_armed").alias("first_ts"),
+        F.timestamp_micros("_last").alias("last_ts"), F.col("_rows").alias("n_fails"))
 
 
 def with_rank_per_day(

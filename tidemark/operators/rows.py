@@ -17,10 +17,16 @@ def parse_lines(
     options = {"sep": sep, "mode": "FAILFAST" if keep_bad else "PERMISSIVE"}
     if keep_bad:
         return lines.select(F.from_csv(column, schema, options).alias("r")).select("r.*")
-    marked = lines.select(
-        F.from_csv(column, f"{schema}, _bad string", {**options, "columnNameOfCorruptRecord": "_bad"})
-        .alias("r"))
-    return marked.select("r.*").filter(F.col("_bad").isNull()).drop("_bad")
+    parsed = F.from_csv(
+        column, f"{schema}, _bad string", {**options, "columnNameOfCorruptRecord": "_bad"})
+    return _without_bad(lines, column, parsed, ())
+
+
+def _without_bad(df: DataFrame, column: str, parsed: Column, keep: Sequence[str]) -> DataFrame:
+    """Expand a parsed record and drop the bad ones. A generator keeps the later filter from being
+    pushed down, where it would parse every record a second time."""
+    present = df.filter(F.col(column).isNotNull())
+    return present.select(*keep, F.inline(F.array(parsed))).filter("_bad is null").drop("_bad")
 
 
 def parse_json(
@@ -32,8 +38,8 @@ def parse_json(
         parsed = records.select(*keep, F.from_json(column, schema, {"mode": "FAILFAST"}).alias("r"))
         return parsed.select(*keep, "r.*")
     options = {"columnNameOfCorruptRecord": "_bad"}
-    parsed = records.select(*keep, F.from_json(column, f"{schema}, _bad string", options).alias("r"))
-    return parsed.filter("r is not null and r._bad is null").select(*keep, "r.*").drop("_bad")
+    parsed = F.from_json(column, f"{schema}, _bad string", options)
+    return _without_bad(records, column, parsed, keep)
 
 
 def words(lines: DataFrame, column: str, pattern: str = "[ \\n\\t\\r]+") -> DataFrame:

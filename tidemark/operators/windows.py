@@ -62,10 +62,33 @@ def hop(
 
 
 def session(
-    df: DataFrame, keys: Sequence[str], ts: str, gap: str, aggs: Sequence[Column | str]
+    df: DataFrame, keys: Sequence[str], ts: str, gap: str,
+    aggs: dict[str, tuple[str, Column | str]],
 ) -> DataFrame:
-    """Windows that end after a pause longer than `gap`; the end is the last row plus the gap."""
-    return _bounds(df.groupBy(*keys, F.session_window(ts, gap).alias("_w")).agg(*map(as_column, aggs)))
+    """Windows that end after a pause longer than `gap`; the end is the last row plus the gap.
+
+    A stream uses `session_window`. A batch first aggregates fixed panes as long as the gap: rows of
+    one pane are always in one session, so what has to be put in order per key is one row per pane.
+    """
+    first = {n: PARTS[kind][0](as_column(c)).alias(n) for n, (kind, c) in aggs.items()}
+    if df.isStreaming:
+        window = F.session_window(ts, gap).alias("_w")
+        return _bounds(df.groupBy(*keys, window).agg(*first.values()))
+    pane = F.window(ts, gap).start.alias("_pane")
+    panes = df.groupBy(*keys, pane).agg(
+        F.min(ts).alias("_from"), F.max(ts).alias("_to"), *first.values())
+    length = F.expr(f"interval {seconds(gap)} seconds")
+
+    def since_last(rows: DataFrame, window) -> DataFrame:
+        return rows.withColumn("_cut", (F.lag("_to").over(window) + length < F.col("_from")))
+
+    marked = with_neighbours(panes, keys, ["_pane"], since_last, before=1)
+    cut = F.when(F.col("_cut"), 1).otherwise(0).cast("long")
+    numbered = running(marked, keys, ["_pane"], {"_no": ("sum", cut)})
+    merged = [PARTS[kind][1](n).alias(n) for n, (kind, _) in aggs.items()]
+    return numbered.groupBy(*keys, "_no").agg(
+        F.min("_from").alias("window_start"), (F.max("_to") + length).alias("window_end"), *merged
+    ).drop("_no")
 
 
 def distinct_per_window(

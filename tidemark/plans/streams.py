@@ -55,7 +55,19 @@ def hop_sum(t: Tables) -> DataFrame:
 def session_count(t: Tables) -> DataFrame:
     run = StreamRun(t.spark, "session")
     rows = events(run, t, "user_id", "ts", "value")
-    counted = windows.session(rows, ["user_id"], "ts", "6 hours", [windowed.COUNT, windowed.TOTAL])
+    counted = windows.session(rows, ["user_id"], "ts", "6 hours", windowed.SESSION_AGGS)
+    return plain_times(run.to_files(counted)).withColumn("total", F.round("total", 2))
+
+
+@query("stream_session_sql", QUERIES["session_count"].sql)
+def session_sql(t: Tables) -> DataFrame:
+    """The same windows asked for in SQL over a stream."""
+    run = StreamRun(t.spark, "session-sql")
+    counted = t.spark.sql(
+        """SELECT session_window.start AS window_start, session_window.end AS window_end, user_id,
+               count(*) AS n, round(sum(value), 2) AS total
+           FROM {rows} GROUP BY user_id, session_window(ts, '6 hours')""",
+        rows=events(run, t, "user_id", "ts", "value"))
     return plain_times(run.to_files(counted))
 
 

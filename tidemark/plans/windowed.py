@@ -136,6 +136,7 @@ def hop_panes(t: Tables) -> DataFrame:
     return summed.withColumn("total", F.round("total", 2))
 
 
+SESSION_AGGS = {"n": ("count", "1"), "total": ("sum", "value")}
 SESSIONS = """
     WITH marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 6 HOURS THEN 1 ELSE 0 END AS cut
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
@@ -147,15 +148,8 @@ SESSIONS = """
 
 @query("session_count", SESSIONS)
 def session_count(t: Tables) -> DataFrame:
-    return windows.session(t.events, ["user_id"], "ts", "6 hours", [COUNT, TOTAL])
-
-
-@query("session_sql", SESSIONS)
-def session_sql(t: Tables) -> DataFrame:
-    return t.spark.sql(
-        """SELECT user_id, session_window.start AS window_start, session_window.end AS window_end,
-               count(*) AS n, round(sum(value), 2) AS total
-           FROM {events} GROUP BY user_id, session_window(ts, '6 hours')""", events=t.events)
+    return windows.session(t.events, ["user_id"], "ts", "6 hours", SESSION_AGGS).withColumn(
+        "total", F.round("total", 2))
 
 
 @query("tumble_sql", f"""
@@ -181,16 +175,16 @@ def hop_sql(t: Tables) -> DataFrame:
     SELECT {sql.bucket("ts", 24 * H)} AS window_start,
         {sql.bucket("ts", 24 * H)} + INTERVAL 24 HOURS AS window_end, user_id,
         arg_min(event_id, (ts, event_id)) AS first_event, max(ts) AS last_ts, max(value) AS top,
-        CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) AS average_cents, round(median(value), 6) AS middle, count(*) AS n
+        CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) AS average_cents, count(*) AS n
     FROM events GROUP BY 1, 2, 3""")
 def window_functions(t: Tables) -> DataFrame:
-    """A fold, an aggregate and a whole-window function side by side, with the window bounds."""
+    """A fold, aggregates and the window bounds side by side."""
     at = F.struct(*ORDER)
     return windows.tumble(t.events, ["user_id"], "ts", "24 hours", [
         F.min_by("event_id", at).alias("first_event"), F.max("ts").alias("last_ts"),
         F.max("value").alias("top"),
         "CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) AS average_cents",
-        F.round(F.median("value"), 6).alias("middle"), COUNT])
+        COUNT])
 
 
 COUNT_TUMBLE = """

@@ -216,12 +216,13 @@ def test_time_to_live_and_heartbeat(spark, tmp_path):
 
 
 def test_early_results_by_interval():
-    processor = ps.EarlyResults(every_rows=3, interval=10)
+    hour = MICROS_PER_HOUR
+    processor = ps.EarlyResults(every_rows=3, interval=5 * hour)
     state, fired = processor.start(), []
-    for at_ in (100, 105, 118, 119):
+    for at_ in (1 * hour, 2 * hour, 10 * hour, 12 * hour):
         state = processor._expire(state, at_ - 1, fired)
         state, found = processor.on_row(state, (at_, at_))
         fired += found
     processor._expire(state, processor.DAY, fired)
-    assert [f[1:] for f in fired][:4] == [(2, "interval"), (3, "count"), (4, "interval"), (4, "interval")]
-    assert fired[-1][1:] == (4, "end")
+    assert [f[1:] for f in fired] == [
+        (2, "interval"), (3, "count"), (3, "interval"), (4, "interval"), (4, "interval"), (4, "end")]

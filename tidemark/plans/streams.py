@@ -365,6 +365,21 @@ def late_windows(t: Tables) -> DataFrame:
     return plain_times(split.windows())
 
 
+@query("stream_hot_urls", QUERIES["hot_urls_top5"].sql)
+def hot_urls(t: Tables) -> DataFrame:
+    """Hot items under allowed lateness: late rows correct the counts, the last ranking stands."""
+    run = StreamRun(t.spark, "hot-urls")
+    split = LateSplit(
+        t.spark, run.path, ["item"], "ts", "48 hours", "2 hours", "1 second", "1 minute",
+        {"n": ("count", "1")})
+    views = t.stream("events").filter("event_type = 'view'").select(
+        item_of(F.col("props")).alias("item"), "ts")
+    run.for_each_batch(views, split)
+    by = [F.col("n").desc(), F.col("item")]
+    ranked = topn.top_n(split.windows(), ["window_end"], by, 5)
+    return plain_times(ranked.select("window_end", "item", "n", "rk"))
+
+
 def order_log_stream(t: Tables) -> DataFrame:
     parsed = changes.changelog.parse_log(
         changes.order_log_of(t.stream("orders", zoned=False)), changes.ORDER_ROW)

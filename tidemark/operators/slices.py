@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.session import estimated_bytes, shared_dir
+from tidemark.session import estimated_bytes, scratch_path
 
 SMALL_INPUT_BYTES = 256 << 20
 ROWS_PER_SLICE = 4_000_000
@@ -67,12 +67,14 @@ def slice_rows(
     if rows_per_slice is None and estimated_bytes(df) <= SMALL_INPUT_BYTES:
         return Sliced(df, keys, order, False)
     limit = rows_per_slice or ROWS_PER_SLICE
-    shared_dir(df.sparkSession)
+    spark = df.sparkSession
     named = df if keys else df.withColumn("_sl_all", F.lit(0))
     by = list(keys) or ["_sl_all"]
 
-    # Fewer than total / limit keys can be this large. Written once, since it is used three times.
-    hot = named.groupBy(*by).count().filter(F.col("count") > limit).checkpoint()
+    # Fewer than total / limit keys can be this large. Written out, since they are read three times.
+    found = scratch_path(spark, "hot-keys")
+    named.groupBy(*by).count().filter(F.col("count") > limit).write.parquet(found)
+    hot = spark.read.parquet(found)
     n_hot, largest = hot.agg(F.count("*"), F.max("count")).first()
     if not n_hot:
         return Sliced(df, keys, order, False)

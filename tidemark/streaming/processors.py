@@ -397,7 +397,9 @@ class EarlyResults(InOrder):
     def on_deadline(self, state):
         day, n, next_fire = state
         if next_fire is not None and next_fire < (day + 1) * self.DAY - 1:
-            return (day, n, next_fire + self.interval), [(_date(day), n, "interval")]
+            news = n % self.every_rows != 0  # rows since the last firing by count
+            fired = [(_date(day), n, "interval")] if news else []
+            return (day, n, next_fire + self.interval), fired
         return self.start(), [(_date(day), n, "end")]
 
 

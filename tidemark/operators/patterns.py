@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.aggregates import first_rows
-from tidemark.operators.slices import as_column, position, running, with_neighbours
+from tidemark.operators.slices import Cuts, as_column, find_cuts, position, running, with_neighbours
 from tidemark.operators.windows import seconds
 
 MICROS = 1_000_000
@@ -121,7 +122,7 @@ def timer_groups(
 
 
 def _with_runs(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], breaks: str, **options
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], breaks: str, cuts: Cuts
 ) -> DataFrame:
     """Number the stretches between `breaks` rows as `_run`, and add `_end`, the next break's time.
 
@@ -130,9 +131,10 @@ def _with_runs(
     back = [f"_back_{o}" for o in order]
     turned = df.withColumns({b: -position(df, o) for b, o in zip(back, order)})
     count = F.when(F.col(breaks), 1).otherwise(0).cast("long")
-    numbered = running(turned, keys, order, {"_run": ("sum", count)}, **options)
+    numbered = running(turned, keys, order, {"_run": ("sum", count)}, cuts=cuts)
     ahead = F.when(F.col(breaks), F.col("_at"))
-    return running(numbered, keys, back, {"_end": ("last", ahead)}, **options)
+    return running(
+        numbered, keys, back, {"_end": ("last", ahead)}, cuts=replace(cuts, backwards=True))
 
 
 def not_falling(
@@ -152,7 +154,8 @@ def not_falling(
     def body(rows: DataFrame, window) -> DataFrame:
         return rows.withColumn("_last", F.lag(value).over(window))
 
-    looked = with_neighbours(base, keys, order, body, before=1, **options)
+    cuts = find_cuts(base, keys, order[0], **options)
+    looked = with_neighbours(base, keys, order, body, before=1, cuts=cuts)
     if arm_on_first:
         arms = F.col("_last").isNull() | (F.col(value) > F.col("_last"))
     else:
@@ -161,7 +164,7 @@ def not_falling(
         "_fell": F.coalesce(F.col(value) < F.col("_last"), F.lit(False)),
         "_arms": F.coalesce(arms, F.lit(False)),
     })
-    candidates = _with_runs(flagged, keys, order, "_fell", **options).filter("_arms")
+    candidates = _with_runs(flagged, keys, order, "_fell", cuts).filter("_arms")
     timers = timer_groups(candidates, [*keys, "_run"], order, wait)
     return timers.filter(F.col("_end") > F.col("_armed") + wait).select(
         *keys, F.timestamp_micros("_armed").alias("armed_at"),
@@ -180,7 +183,8 @@ def failure_bursts(
     wait = seconds(within) * MICROS
     base = df.select(*keys, *order, as_column(failed).alias("_failed"))
     flagged = base.withColumns({"_at": position(df, order[0]), "_passed": ~F.col("_failed")})
-    fails = _with_runs(flagged, keys, order, "_passed", **options).filter("_failed")
+    cuts = find_cuts(base, keys, order[0], **options)
+    fails = _with_runs(flagged, keys, order, "_passed", cuts).filter("_failed")
     bursts = timer_groups(fails, [*keys, "_run"], order, wait)
     found = (F.col("_rows") >= at_least) & (F.col("_end") > F.col("_armed") + wait)
     return bursts.filter(found).select(

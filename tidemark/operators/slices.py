@@ -59,56 +59,82 @@ def position(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("long")
 
 
-def slice_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None
-) -> Sliced:
-    """Add `_slice`; rows with equal values in the first order column stay in one slice."""
-    keys, order = tuple(keys), tuple(order)
+@dataclass(frozen=True)
+class Cuts:
+    """Where the hot keys of some rows are cut: positions of `column`, one list per hot key.
+
+    `table` is None when no key is hot. `backwards` numbers the slices from the newest to the oldest,
+    for work that reads keys in reverse.
+    """
+
+    table: DataFrame | None = None
+    by: tuple[str, ...] = ()
+    column: str = ""
+    small: bool = False
+    backwards: bool = False
+
+
+def find_cuts(
+    df: DataFrame, keys: Sequence[str], column: str, rows_per_slice: int | None = None
+) -> Cuts:
+    """Look for keys with too many rows and choose their cuts.
+
+    Steps of one operator share the result, so the rows are counted once.
+    """
     if rows_per_slice is None and estimated_bytes(df) <= SMALL_INPUT_BYTES:
-        return Sliced(df, keys, order, False)
+        return Cuts()
     limit = rows_per_slice or ROWS_PER_SLICE
     spark = df.sparkSession
-    named = df if keys else df.withColumn("_sl_all", F.lit(0))
-    by = list(keys) or ["_sl_all"]
+    by = tuple(keys) or ("_sl_all",)
+    rows = df.withColumn("_sl_all", F.lit(0)).select(*by, position(df, column).alias("_sl_at"))
 
-    # Fewer than total / limit keys can be this large. Written out, since they are read three times.
-    found = scratch_path(spark, "hot-keys")
-    named.groupBy(*by).count().filter(F.col("count") > limit).write.parquet(found)
-    hot = spark.read.parquet(found)
+    # Fewer than total / limit keys can be this large. Written out, since they are read again.
+    path = scratch_path(spark, "hot-keys")
+    rows.groupBy(*by).count().filter(F.col("count") > limit).write.parquet(f"{path}/keys")
+    hot = spark.read.parquet(f"{path}/keys")
     n_hot, largest = hot.agg(F.count("*"), F.max("count")).first()
     if not n_hot:
-        return Sliced(df, keys, order, False)
+        return Cuts()
     n_slices = min(MAX_SLICES, math.ceil(largest / limit))
-    hot_bytes = n_hot * (8 * n_slices + 200)
+    small = n_hot * (8 * n_slices + 200) <= BROADCAST_BYTES
+    fractions = [i / n_slices for i in range(1, n_slices)] or [0.5]
+    _match(rows, hot.select(*by), by, "left_semi", small).groupBy(*by).agg(
+        F.percentile_approx("_sl_at", fractions, 20 * n_slices).alias("_sl_cuts")
+    ).write.parquet(f"{path}/cuts")
+    return Cuts(spark.read.parquet(f"{path}/cuts"), by, column, small)
 
-    def small(side: DataFrame) -> DataFrame:
-        return F.broadcast(side) if hot_bytes <= BROADCAST_BYTES else side
 
-    def match(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        renamed = right.select(*[F.col(k).alias(f"_sl_hot_{k}") for k in by],
-                               *[c for c in right.columns if c not in by])
-        on = [F.col(k).eqNullSafe(F.col(f"_sl_hot_{k}")) for k in by]
-        return left.join(small(renamed), on, how).drop(*[f"_sl_hot_{k}" for k in by])
+def _match(
+    left: DataFrame, right: DataFrame, by: Sequence[str], how: str, small: bool
+) -> DataFrame:
+    """Join on keys that may be null; the right side is broadcast if its size was found small."""
+    renamed = right.withColumnsRenamed({k: f"_sl_hot_{k}" for k in by})
+    on = [F.col(k).eqNullSafe(F.col(f"_sl_hot_{k}")) for k in by]
+    return left.join(F.broadcast(renamed) if small else renamed, on, how).drop(
+        *[f"_sl_hot_{k}" for k in by])
 
-    where = position(named, order[0])
-    fractions = [i / n_slices for i in range(1, n_slices)] or [0.5]
-    cuts = (
-        match(named.select(*by, where.alias("_sl_at")), hot.select(*by), "left_semi")
-        .groupBy(*by)
-        .agg(F.percentile_approx("_sl_at", fractions, 20 * n_slices).alias("_sl_cuts"))
-    )
+
+def slice_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None,
+    cuts: Cuts | None = None,
+) -> Sliced:
+    """Add `_slice`; rows with equal values in the first order column stay in one slice."""
+    if cuts is None:
+        cuts = find_cuts(df, keys, order[0], rows_per_slice)
+    if cuts.table is None:
+        return Sliced(df, tuple(keys), tuple(order), False)
+    passed = F.size(F.filter("_sl_cuts", lambda c: c < F.col("_sl_at")))
+    number = MAX_SLICES + 1 - passed if cuts.backwards else 1 + passed
     placed = (
-        match(named, cuts, "left")
-        .withColumn("_sl_at", where)
+        _match(df.withColumn("_sl_all", F.lit(0)), cuts.table, cuts.by, "left", cuts.small)
+        .withColumn("_sl_at", position(df, cuts.column))
         .withColumn(
             "_slice",
-            F.when(F.col("_sl_cuts").isNull(), 0)
-            .when(F.col("_sl_at").isNull(), 1)
-            .otherwise(1 + F.size(F.filter("_sl_cuts", lambda c: c < F.col("_sl_at")))),
-        )
+            # Rows without a position come first in either direction.
+            F.when(F.col("_sl_cuts").isNull(), 0).when(F.col("_sl_at").isNull(), 1).otherwise(number))
         .drop("_sl_cuts", "_sl_at", "_sl_all")
     )
-    return Sliced(placed, keys, order, True)
+    return Sliced(placed, tuple(keys), tuple(order), True)
 
 
 # How the results of two neighbouring stretches combine, per kind of running aggregate.
@@ -144,6 +170,7 @@ def running(
     aggs: dict[str, tuple[str, Column | str]],
     peers: bool = False,
     rows_per_slice: int | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Add running aggregates from the first row of a key to the current one.
 
@@ -151,7 +178,7 @@ def running(
     (newest non-null). With `peers`, rows equal in the order columns share one value.
     """
     aggs = {n: (kind, as_column(c)) for n, (kind, c) in aggs.items()}
-    s = slice_rows(df, keys, order, rows_per_slice)
+    s = slice_rows(df, keys, order, rows_per_slice, cuts)
     frame = s.window()
     first = Window.unboundedPreceding
     frame = frame.rangeBetween(first, 0) if peers else frame.rowsBetween(first, 0)
@@ -212,12 +239,13 @@ def with_neighbours(
     before: int = 0,
     after: int = 0,
     rows_per_slice: int | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Apply a window expression that looks at most `before` rows back and `after` rows ahead.
 
     `body` gets the rows and the ordered window to use; it may add columns but not drop rows.
     """
-    s = slice_rows(df, keys, order, rows_per_slice)
+    s = slice_rows(df, keys, order, rows_per_slice, cuts)
     if not s.is_cut:
         return body(s.rows, s.window())
     rows = s.rows.withColumn("_sl_seed", F.lit(False))

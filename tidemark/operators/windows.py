@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import PARTS
-from tidemark.operators.slices import as_column, running, with_neighbours
+from tidemark.operators.slices import as_column, find_cuts, running, with_neighbours
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 PANES_FROM = 8
@@ -82,9 +82,10 @@ def session(
     def since_last(rows: DataFrame, window) -> DataFrame:
         return rows.withColumn("_cut", (F.lag("_to").over(window) + length < F.col("_from")))
 
-    marked = with_neighbours(panes, keys, ["_pane"], since_last, before=1)
+    cuts = find_cuts(panes, keys, "_pane")
+    marked = with_neighbours(panes, keys, ["_pane"], since_last, before=1, cuts=cuts)
     cut = F.when(F.col("_cut"), 1).otherwise(0).cast("long")
-    numbered = running(marked, keys, ["_pane"], {"_no": ("sum", cut)})
+    numbered = running(marked, keys, ["_pane"], {"_no": ("sum", cut)}, cuts=cuts)
     merged = [PARTS[kind][1](n).alias(n) for n, (kind, _) in aggs.items()]
     return numbered.groupBy(*keys, "_no").agg(
         F.min("_from").alias("window_start"), (F.max("_to") + length).alias("window_end"), *merged
@@ -124,6 +125,7 @@ def count_slide(
         frame = window.rowsBetween(-(size - 1), 0)
         return rows.withColumns({n: as_column(c).over(frame) for n, c in aggs.items()})
 
-    numbered = running(df, keys, order, {"row_no": ("count", "1")}, **options)
-    looked = with_neighbours(numbered, keys, order, body, before=size - 1, **options)
+    cuts = find_cuts(df, keys, order[0], **options)
+    numbered = running(df, keys, order, {"row_no": ("count", "1")}, cuts=cuts)
+    looked = with_neighbours(numbered, keys, order, body, before=size - 1, cuts=cuts)
     return looked.filter(F.col("row_no") % slide == 0).select(*keys, "row_no", *aggs)

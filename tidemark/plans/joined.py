@@ -106,7 +106,7 @@ def daily_first(t: Tables, kind: str, prefix: str) -> DataFrame:
 @query("reconcile", f"""
     SELECT user_id, day, p.ts AS pay_ts, r.ts AS receipt_ts
     FROM {FIRSTS.format(kind="purchase")} p JOIN {FIRSTS.format(kind="view")} r
-    USING (user_id, day)""")
+    USING (user_id, day)""", dates=("day",))
 def reconcile(t: Tables) -> DataFrame:
     return daily_first(t, "purchase", "pay").join(
         daily_first(t, "view", "receipt"), ["user_id", "day"])
@@ -122,7 +122,7 @@ RECONCILE_TIMEOUT = f"""
         AND r.ts BETWEEN p.ts - INTERVAL 2 HOURS AND p.ts + INTERVAL 4 HOURS"""
 
 
-@query("reconcile_timeout", RECONCILE_TIMEOUT)
+@query("reconcile_timeout", RECONCILE_TIMEOUT, dates=("day",))
 def reconcile_timeout(t: Tables) -> DataFrame:
     return joins.reconcile(
         daily_first(t, "purchase", "pay"), daily_first(t, "view", "receipt"),

@@ -60,16 +60,27 @@ class Query:
     name: str
     run: Callable[[Tables], DataFrame]
     sql: str | None
+    dates: tuple[str, ...] = ()
 
 
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, dates: tuple[str, ...] = ()):
+    """Register a query with its checking SQL. The `dates` columns leave as text, because the two
+    engines hand dates to Python in different forms."""
+    if sql and dates and "REPLACE (" not in sql:
+        texts = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" for d in dates)
+        sql = f"SELECT * REPLACE ({texts}) FROM ({sql})"
+
     def keep(run: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"two queries named {name}")
-        QUERIES[name] = Query(name, run, sql)
+
+        def with_text(t: Tables) -> DataFrame:
+            return run(t).withColumns({d: F.col(d).cast("string") for d in dates})
+
+        QUERIES[name] = Query(name, with_text if dates else run, sql, dates)
         return run
 
     return keep

@@ -21,7 +21,8 @@ MICROS_PER_HOUR = 3_600_000_000
 
 def twin(name: str):
     """Register the streaming form of a batch query, checked by the same SQL."""
-    return query(f"stream_{name}", QUERIES[name].sql)
+    batch = QUERIES[name]
+    return query(f"stream_{name}", batch.sql, batch.dates)
 
 
 def events(run: StreamRun, t: Tables, *columns: str, where: str = "true") -> DataFrame:
@@ -128,7 +129,7 @@ def global_count(t: Tables) -> DataFrame:
 
 
 @query("stream_dedupe", """
-    SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events""")
+    SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events""", dates=("day",))
 def dedupe(t: Tables) -> DataFrame:
     """One row per user, type and day; what was seen is dropped once the watermark passed it."""
     run = StreamRun(t.spark, "dedupe")

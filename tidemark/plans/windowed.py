@@ -325,7 +325,8 @@ def over_rows3(t: Tables) -> DataFrame:
 
 @query("first_per_day", """
     SELECT user_id, CAST(ts AS DATE) AS day, event_id, ts FROM events
-    QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) = 1""")
+    QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) = 1""",
+       dates=("day",))
 def first_per_day(t: Tables) -> DataFrame:
     rows = t.events.select("user_id", F.to_date("ts").alias("day"), "event_id", "ts")
     return first_rows(rows, ["user_id", "day"], ORDER)

@@ -72,7 +72,7 @@ def changelog_fold(t: Tables) -> DataFrame:
 @query("changelog_enrich", f"""
     SELECT o.o_orderkey, o.price, o.status, c_name, l_linenumber, l_shipdate FROM {CURRENT} o
     LEFT JOIN customer ON o.o_custkey = c_custkey
-    LEFT JOIN lineitem ON o.o_orderkey = l_orderkey""")
+    LEFT JOIN lineitem ON o.o_orderkey = l_orderkey""", as_text=("l_linenumber",))
 def changelog_enrich(t: Tables) -> DataFrame:
     customers = t.customer.select("c_custkey", "c_name")
     items = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")

@@ -31,7 +31,7 @@ def join_inner(t: Tables) -> DataFrame:
 @query("join_left3", """
     SELECT o_orderkey, o_totalprice, c_name, l_linenumber, l_shipdate FROM orders
     LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0
-    LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_quantity > 45""")
+    LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_quantity > 45""", as_text=("l_linenumber",))
 def join_left3(t: Tables) -> DataFrame:
     customers = t.customer.filter("c_acctbal > 0").select("c_custkey", "c_name")
     items = t.lineitem.filter("l_quantity > 45").select(
@@ -63,7 +63,7 @@ def join_window(t: Tables) -> DataFrame:
     return _window_join(t, "inner")
 
 
-@query("join_cogroup", _window_sql("LEFT"))
+@query("join_cogroup", _window_sql("LEFT"), as_text=("buy_id",))
 def join_cogroup(t: Tables) -> DataFrame:
     """Both sides of a key and window together, used as a left join."""
     return _window_join(t, "left")
@@ -85,7 +85,7 @@ def join_interval(t: Tables) -> DataFrame:
     SELECT c.user_id, c.event_id AS click_id, s.event_id AS change_id
     FROM (SELECT * FROM events WHERE event_type = 'click') c
     LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup') s ON c.user_id = s.user_id
-        AND s.ts BETWEEN c.ts - INTERVAL 10 HOURS AND c.ts""")
+        AND s.ts BETWEEN c.ts - INTERVAL 10 HOURS AND c.ts""", as_text=("change_id",))
 def join_interval_left(t: Tables) -> DataFrame:
     clicks, changes = renamed(t.of_type("click"), "click"), renamed(t.of_type("signup"), "change")
     return joins.interval_join(
@@ -106,7 +106,7 @@ def daily_first(t: Tables, kind: str, prefix: str) -> DataFrame:
 @query("reconcile", f"""
     SELECT user_id, day, p.ts AS pay_ts, r.ts AS receipt_ts
     FROM {FIRSTS.format(kind="purchase")} p JOIN {FIRSTS.format(kind="view")} r
-    USING (user_id, day)""", dates=("day",))
+    USING (user_id, day)""", as_text=("day",))
 def reconcile(t: Tables) -> DataFrame:
     return daily_first(t, "purchase", "pay").join(
         daily_first(t, "view", "receipt"), ["user_id", "day"])
@@ -122,7 +122,7 @@ RECONCILE_TIMEOUT = f"""
         AND r.ts BETWEEN p.ts - INTERVAL 2 HOURS AND p.ts + INTERVAL 4 HOURS"""
 
 
-@query("reconcile_timeout", RECONCILE_TIMEOUT, dates=("day",))
+@query("reconcile_timeout", RECONCILE_TIMEOUT, as_text=("day",))
 def reconcile_timeout(t: Tables) -> DataFrame:
     return joins.reconcile(
         daily_first(t, "purchase", "pay"), daily_first(t, "view", "receipt"),

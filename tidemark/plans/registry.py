@@ -60,17 +60,17 @@ class Query:
     name: str
     run: Callable[[Tables], DataFrame]
     sql: str | None
-    dates: tuple[str, ...] = ()
+    as_text: tuple[str, ...] = ()
 
 
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None, dates: tuple[str, ...] = ()):
-    """Register a query with its checking SQL. The `dates` columns leave as text, because the two
-    engines hand dates to Python in different forms."""
-    if sql and dates and "REPLACE (" not in sql:
-        texts = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" for d in dates)
+def query(name: str, sql: str | None = None, as_text: tuple[str, ...] = ()):
+    """Register a query with its checking SQL. Columns named in `as_text` leave as text: dates and
+    whole numbers that may be null reach Python in different forms from the two engines."""
+    if sql and as_text and "REPLACE (" not in sql:
+        texts = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" for d in as_text)
         sql = f"SELECT * REPLACE ({texts}) FROM ({sql})"
 
     def keep(run: Callable[[Tables], DataFrame]):
@@ -78,9 +78,9 @@ def query(name: str, sql: str | None = None, dates: tuple[str, ...] = ()):
             raise ValueError(f"two queries named {name}")
 
         def with_text(t: Tables) -> DataFrame:
-            return run(t).withColumns({d: F.col(d).cast("string") for d in dates})
+            return run(t).withColumns({d: F.col(d).cast("string") for d in as_text})
 
-        QUERIES[name] = Query(name, with_text if dates else run, sql, dates)
+        QUERIES[name] = Query(name, with_text if as_text else run, sql, as_text)
         return run
 
     return keep

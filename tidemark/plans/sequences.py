@@ -90,7 +90,7 @@ def blacklist_pass(t: Tables) -> DataFrame:
     return numbered_clicks(t).filter(F.col("nth") < CLICK_LIMIT).select("user_id", "event_id", "ts")
 
 
-@query("blacklist_alert", f"SELECT user_id, day, ts FROM {NTH} WHERE nth = {CLICK_LIMIT}", dates=("day",))
+@query("blacklist_alert", f"SELECT user_id, day, ts FROM {NTH} WHERE nth = {CLICK_LIMIT}", as_text=("day",))
 def blacklist_alert(t: Tables) -> DataFrame:
     """One alert per user and day, at the click that reaches the limit."""
     return numbered_clicks(t).filter(F.col("nth") == CLICK_LIMIT).select("user_id", "day", "ts")
@@ -178,7 +178,7 @@ ORDER_TIMEOUT = """
         WHERE paid IS NOT TRUE AND p IS NOT NULL"""
 
 
-@query("order_timeout", ORDER_TIMEOUT, dates=("day",))
+@query("order_timeout", ORDER_TIMEOUT, as_text=("day",))
 def order_timeout(t: Tables) -> DataFrame:
     return patterns.order_outcomes(order_events(t), ["user_id", "day"], ORDER, "kind", "6 hours")
 
@@ -201,7 +201,7 @@ def pattern_followed(t: Tables) -> DataFrame:
         SELECT user_id, CAST(ts AS DATE) AS day, row_number() OVER w AS n, 'count' AS fired_by
         FROM events WINDOW w AS (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id))
     WHERE n % 2 = 0
-    UNION ALL SELECT user_id, CAST(ts AS DATE), count(*), 'end' FROM events GROUP BY 1, 2""", dates=("day",))
+    UNION ALL SELECT user_id, CAST(ts AS DATE), count(*), 'end' FROM events GROUP BY 1, 2""", as_text=("day",))
 def early_results(t: Tables) -> DataFrame:
     """The results of a daily window that also fires on every second row."""
     rows = t.events.select("user_id", F.to_date("ts").alias("day"), *ORDER)

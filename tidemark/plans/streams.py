@@ -22,7 +22,7 @@ MICROS_PER_HOUR = 3_600_000_000
 def twin(name: str):
     """Register the streaming form of a batch query, checked by the same SQL."""
     batch = QUERIES[name]
-    return query(f"stream_{name}", batch.sql, batch.dates)
+    return query(f"stream_{name}", batch.sql, batch.as_text)
 
 
 def events(run: StreamRun, t: Tables, *columns: str, where: str = "true") -> DataFrame:
@@ -129,7 +129,7 @@ def global_count(t: Tables) -> DataFrame:
 
 
 @query("stream_dedupe", """
-    SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events""", dates=("day",))
+    SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events""", as_text=("day",))
 def dedupe(t: Tables) -> DataFrame:
     """One row per user, type and day; what was seen is dropped once the watermark passed it."""
     run = StreamRun(t.spark, "dedupe")
@@ -203,7 +203,8 @@ def join_window(t: Tables) -> DataFrame:
             ELSE 'matched' END AS outcome
     FROM (SELECT * FROM events WHERE event_type = 'purchase') p
     FULL JOIN (SELECT * FROM events WHERE event_type = 'view') r ON p.user_id = r.user_id
-        AND r.ts BETWEEN p.ts - INTERVAL 2 HOURS AND p.ts + INTERVAL 4 HOURS""")
+        AND r.ts BETWEEN p.ts - INTERVAL 2 HOURS AND p.ts + INTERVAL 4 HOURS""",
+       as_text=("pay_id", "receipt_id"))
 def reconcile(t: Tables) -> DataFrame:
     """Both sides wait for each other; who waited in vain leaves when the watermark says so."""
     run = StreamRun(t.spark, "reconcile")

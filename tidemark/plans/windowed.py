@@ -86,7 +86,7 @@ def top3_values(t: Tables) -> DataFrame:
     SELECT user_id, event_id, max(v) FILTER (rk = 1) AS v1, max(id) FILTER (rk = 1) AS id1,
         max(v) FILTER (rk = 2) AS v2, max(id) FILTER (rk = 2) AS id2,
         max(v) FILTER (rk = 3) AS v3, max(id) FILTER (rk = 3) AS id3
-    FROM r GROUP BY 1, 2""")
+    FROM r GROUP BY 1, 2""", as_text=("id2", "id3"))
 def top3_rows(t: Tables) -> DataFrame:
     """After every row the three largest rows of its user so far; among equals the earlier one."""
     entry = F.struct("value", (-F.unix_micros(F.col("ts").cast("timestamp"))).alias("age"),
@@ -326,7 +326,7 @@ def over_rows3(t: Tables) -> DataFrame:
 @query("first_per_day", """
     SELECT user_id, CAST(ts AS DATE) AS day, event_id, ts FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) = 1""",
-       dates=("day",))
+       as_text=("day",))
 def first_per_day(t: Tables) -> DataFrame:
     rows = t.events.select("user_id", F.to_date("ts").alias("day"), "event_id", "ts")
     return first_rows(rows, ["user_id", "day"], ORDER)

@@ -5,7 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import toxic_grammar
+from tidemark.llm.line_rules import LINE_RULES_SQL, line_rules
+from tidemark.llm.one_permutation import edited_prints
 from tidemark.llm.prefix_join import near_duplicates
 from tidemark.session import configure
 
@@ -27,6 +31,30 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+def held_out(parts: int, part: int):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(False))
+
+
+@query("op1_line_frequency", LINE_RULES_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules(read(spark, sf_dir, "documents"))
+
+
+@query("op2_toxic_grammar")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    rows = toxic_grammar.train_rows(docs, labels, "toxic", 3, 1, toxic_grammar.TRAIN_ROWS)
+    scored = toxic_grammar.score_documents(docs, toxic_grammar.learn(rows))
+    return scored.select(
+        "doc_id", held_out(3, 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op5_one_permutation")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_prints(read(spark, sf_dir, "documents"))
+
+
 @query("op6_prefix_join")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))

@@ -9,11 +9,12 @@ The order comes from a count sketch over all documents, 4 bytes a slot. It only
 order gives the same links, but with common shingles last a passage that thousands of documents share
 stays out of their prefixes.
 
-Groups that share a prefix shingle are candidates. They are first compared with the smallest and
-the largest group of the shingle, which joins the copies of one document without going through its
-pairs. Only what then lies in another component than most of its shingle is paired with the rest,
-under the size and position filters. Every candidate pair is thus verified on the whole sets, or
-lies within one component already.
+Groups that share a prefix shingle are candidates, under the size and position filters. They are first
+compared with the smallest and the largest group of the shingle, which joins the copies of one document
+without going through its pairs. Only what then lies in another component than most of its shingle is
+paired with the rest. A histogram of each set bounds the shingles a pair can share; pairs that it cannot
+exclude are verified on the whole sets. Every candidate pair is thus excluded by a bound, verified, or
+within one component already.
 
 Null or empty texts and texts of white space have an empty set and link with nothing. Rows with the
 same id keep their rows. A null id takes part like any other, and is a component's id only where all
@@ -32,8 +33,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.spread import components, count_sketch, with_first_owner, written
 from tidemark.llm.text import Words, hash_of, map_batches, word_chunks
 
-# Counters of the sketch that orders the shingles; more of them order rarer shingles well.
-ORDER_SLOTS = 1 << 21
+# Counters (of one byte) of the sketch that orders the shingles; more of them order rarer ones well.
+ORDER_SLOTS = 1 << 23
+# Slots (of one byte) of the histogram of a set.
+HISTOGRAM = 256
+# Marks (of one byte) that spare sets nobody needs the way through a shuffle.
+MARK_SLOTS = 1 << 21
 
 
 def _sets(words: Words, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -48,6 +53,28 @@ def _signed(hashes: np.ndarray) -> np.ndarray:
     return hashes.view(np.int64)
 
 
+def _histogram(own: np.ndarray) -> bytes:
+    slots = np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=HISTOGRAM)
+    return np.minimum(slots, 255).astype(np.uint8).tobytes()
+
+
+def _possible(percent: int):
+    """Keeps the pairs `a`, `b` whose histograms `sa`, `sb` allow enough shared shingles."""
+
+    def work(batch: pa.RecordBatch) -> dict:
+        x, y = (
+            np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, HISTOGRAM).astype(np.int32)
+            for c in ("sa", "sb"))
+        nx, ny = (batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("na", "nb"))
+        # A full slot may hold more than it shows, and then bounds nothing.
+        open_ended = ((x == 255) & (y == 255)).any(axis=1)
+        most = np.where(open_ended, np.minimum(nx, ny), np.minimum(x, y).sum(axis=1))
+        keep = (100 + percent) * most >= percent * (nx + ny)
+        return {c: batch[c].filter(pa.array(keep)) for c in ("a", "b")}
+
+    return work
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 80,
     shingle_words: int = 5, order_slots: int = ORDER_SLOTS,
@@ -73,13 +100,15 @@ def near_duplicates(
     def describe(batch: pa.RecordBatch) -> dict:
         n = batch.num_rows
         sizes, keys, groups = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        shapes: list[bytes | None] = [None] * n
         for words in word_chunks(batch["text"], lower=True):
             for row, own in _sets(words, shingle_words):
                 sizes[row], keys[row] = len(own), hash_of(own)
                 groups[row] = hash_of(np.append(prefix_of(own), np.uint64(len(own))))
+                shapes[row] = _histogram(own)
         empty = sizes == 0
-        return {"doc_id": batch["doc_id"], "n_shingles": sizes,
-                "set": pa.array(keys, mask=empty), "grp": pa.array(groups, mask=empty)}
+        return {"doc_id": batch["doc_id"], "n_shingles": sizes, "set": pa.array(keys, mask=empty),
+                "grp": pa.array(groups, mask=empty), "shape": pa.array(shapes, pa.binary())}
 
     def prefixes(batch: pa.RecordBatch) -> dict:
         tokens, groups, sizes, places = [], [], [], []
@@ -97,85 +126,86 @@ def near_duplicates(
                 "place": np.concatenate(places or none).astype(np.int32)}
 
     members = written(
-        map_batches(docs, describe, "doc_id long, n_shingles long, set long, grp long"), "prefix-members")
+        map_batches(docs, describe, "doc_id long, n_shingles long, set long, grp long, shape binary"),
+        "prefix-members")
     rows = map_batches(texts, prefixes, "token long, grp long, n int, place int")
     # One row for each token and group, however many copies a group's documents have.
     shared = written(with_first_owner(rows, "token", "grp").distinct(), "prefix-shared")
 
     # The sets that any comparison can need: those of groups with a shared token, and those of
     # groups that hold several sets.
-    sets = members.filter("set is not null").groupBy("set").agg(F.min("grp").alias("grp"))
+    sets = members.filter("set is not null").select("set", "grp", "n_shingles", "shape").dropDuplicates(["set"])
     several = sets.groupBy("grp").agg(F.min("set").alias("a"), F.max("set").alias("b")).filter("a <> b")
-    wanted = (
-        shared.select("grp").distinct().unionByName(several.select("grp")).distinct()
-        .join(sets, "grp").select("set", "grp"))
-    wanted = written(wanted, "prefix-wanted")
+    wanted = written(
+        sets.join(shared.select("grp").unionByName(several.select("grp")).distinct(), "grp"), "prefix-wanted")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """The pairs of sets that their histograms do not exclude."""
+        x = wanted.select(F.col("set").alias("a"), F.col("n_shingles").alias("na"), F.col("shape").alias("sa"))
+        y = wanted.select(F.col("set").alias("b"), F.col("n_shingles").alias("nb"), F.col("shape").alias("sb"))
+        return map_batches(pairs.join(x, "a").join(y, "b"), _possible(percent), "a long, b long")
 
     def wanted_slots(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield batch["set"].to_numpy(zero_copy_only=False).view(np.uint64)
 
-    # A sketch of the wanted sets spares the others the way through the shuffle.
-    marks = spark.sparkContext.broadcast(count_sketch(wanted.select("set"), wanted_slots, order_slots) > 0)
-
-    def contents(batch: pa.RecordBatch) -> dict:
-        keys, values = [], []
-        for words in word_chunks(batch["text"], lower=True):
-            for _, own in _sets(words, shingle_words):
-                key = hash_of(own)
-                if marks.value[key & (order_slots - 1)]:
-                    keys.append(key)
-                    values.append(_signed(own))
-        return {"set": pa.array(keys, pa.int64()), "items": pa.array(values, pa.list_(pa.int64()))}
-
-    contents_of = written(
-        map_batches(texts, contents, "set long, items array<long>")
-        .dropDuplicates(["set"]).join(wanted, "set"), "prefix-sets")
-
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs of sets that link, by their whole sets."""
-        x = contents_of.select(F.col("set").alias("a"), F.col("items").alias("x"))
-        y = contents_of.select(F.col("set").alias("b"), F.col("items").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
+        pairs = written(pairs, "prefix-pairs")
+        both = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
+        needed = both.distinct()
+        # A sketch of the needed sets spares the others the way through the shuffle.
+        marks = spark.sparkContext.broadcast(count_sketch(needed, wanted_slots, MARK_SLOTS) > 0)
+
+        def contents(batch: pa.RecordBatch) -> dict:
+            keys, values = [], []
+            for words in word_chunks(batch["text"], lower=True):
+                for _, own in _sets(words, shingle_words):
+                    key = hash_of(own)
+                    if marks.value[key & (MARK_SLOTS - 1)]:
+                        keys.append(key)
+                        values.append(_signed(own))
+            return {"set": pa.array(keys, pa.int64()), "items": pa.array(values, pa.list_(pa.int64()))}
+
+        items = (
+            map_batches(texts, contents, "set long, items array<long>")
+            .join(needed, "set").dropDuplicates(["set"]))
+        items = written(items, "prefix-sets")
+        x = items.select(F.col("set").alias("a"), F.col("items").alias("x"))
+        y = items.select(F.col("set").alias("b"), F.col("items").alias("y"))
+        common = F.size(F.array_intersect("x", "y"))
         return (
             pairs.join(x, "a").join(y, "b")
-            .filter((100 + percent) * both >= percent * (F.size("x") + F.size("y"))).select("a", "b"))
-
-    def of_groups(pairs: DataFrame) -> DataFrame:
-        """Pairs of groups expanded to pairs of their sets."""
-        x = wanted.select(F.col("grp").alias("ga"), F.col("set").alias("a"))
-        y = wanted.select(F.col("grp").alias("gb"), F.col("set").alias("b"))
-        return pairs.join(x, "ga").join(y, "gb").select("a", "b")
-
-    def rooted(roots: DataFrame | None) -> DataFrame:
-        """Each wanted set with its group and component so far."""
-        if roots is None:
-            return wanted.withColumn("root", F.col("set"))
+            .filter((100 + percent) * common >= percent * (F.size("x") + F.size("y"))).select("a", "b"))
+
+    def allowed(na: str, pa: str, nb: str, pb: str):
+        """The size filter, and the position filter: how much two sets can share from here on."""
+        reach = 1 + F.least(F.col(na) - F.col(pa) - 1, F.col(nb) - F.col(pb) - 1)
+        return ((100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+                & ((100 + percent) * reach >= percent * (F.col(na) + F.col(nb))))
+
+    def star(end: str) -> DataFrame:
+        """Each group of a token with the token's first or last group."""
+        middle = shared.filter(F.col("grp") == F.col(end)).select(
+            "token", F.col("n").alias("n2"), F.col("place").alias("place2"))
         return (
-            wanted.join(roots.withColumnRenamed("node", "set"), "set", "left")
-            .withColumn("root", F.coalesce("root", "set")))
-
-    def unlinked(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
-        if roots is None:
-            return pairs
-        a = rooted(roots).select(F.col("set").alias("a"), F.col("root").alias("ra"))
-        b = rooted(roots).select(F.col("set").alias("b"), F.col("root").alias("rb"))
-        return pairs.join(a, "a").join(b, "b").filter("ra <> rb").select("a", "b")
-
-    # The smallest set of a group stands for it in the first rounds.
-    head = wanted.groupBy("grp").agg(F.min("set").alias("head"))
-    within = wanted.join(head, "grp").filter("set <> head").select(F.col("head").alias("a"), F.col("set").alias("b"))
-    links, roots = None, None
-    for end in ("first_owner", "last_owner"):
-        star = (
-            shared.filter(F.col("grp") != F.col(end))
+            shared.filter(F.col("grp") != F.col(end)).join(middle, "token")
+            .filter(allowed("n", "place", "n2", "place2"))
             .select(F.col(end).alias("ga"), F.col("grp").alias("gb")).distinct())
-        pairs = of_groups(star) if end == "last_owner" else of_groups(star).unionByName(within)
-        found = verified(unlinked(pairs.distinct(), roots))
-        links = written(found if links is None else links.unionByName(found), "prefix-links")
-        roots = components(links, "prefix-roots")
+
+    stars = star("first_owner").unionByName(star("last_owner")).distinct()
+    by_group = wanted.select("grp", "set")
+    of_groups = (
+        stars.join(by_group.select(F.col("grp").alias("ga"), F.col("set").alias("a")), "ga")
+        .join(by_group.select(F.col("grp").alias("gb"), F.col("set").alias("b")), "gb").select("a", "b"))
+    head = by_group.groupBy("grp").agg(F.min("set").alias("a"))
+    within = by_group.join(head, "grp").filter("set <> a").select("a", F.col("set").alias("b"))
+    links = written(verified(possible(of_groups.unionByName(within).distinct())), "prefix-links")
+    rooted = wanted.select("set", "grp").join(
+        components(links, "prefix-roots").withColumnRenamed("node", "set"), "set", "left").withColumn(
+        "root", F.coalesce("root", "set"))
 
     # What is left: for each token the sets outside its largest component, with all its other sets.
-    held = shared.select("token", "grp", "n", "place").join(rooted(roots), "grp")
+    held = shared.select("token", "grp", "n", "place").join(rooted, "grp")
     sizes = held.groupBy("token", "root").agg(F.count("*").alias("sets"))
     main = sizes.groupBy("token").agg(
         F.max_by("root", F.struct("sets", "root")).alias("main"), F.count("*").alias("roots"))
@@ -186,24 +216,21 @@ def near_duplicates(
     rest = held.select(
         "token", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"),
         F.col("root").alias("rb"))
-    reach = 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
     open_pairs = (
-        odd.join(rest, "token")
-        .filter((F.col("ra") != F.col("rb"))
-                & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-                & ((100 + percent) * reach >= percent * (F.col("na") + F.col("nb"))))
+        odd.join(rest, "token").filter(F.col("ra") != F.col("rb")).filter(allowed("na", "pa", "nb", "pb"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    # Sets of one group share all their prefix, so they are also among these pairs.
+    # Sets of one group share all their prefix, in whatever token they are looked up.
     several_open = (
-        rooted(roots).alias("x").join(rooted(roots).alias("y"), "grp")
+        rooted.alias("x").join(rooted.alias("y"), "grp")
         .filter("x.set < y.set and x.root <> y.root")
         .select(F.col("x.set").alias("a"), F.col("y.set").alias("b")))
-    found = verified(open_pairs.unionByName(several_open).distinct())
+    found = verified(possible(open_pairs.unionByName(several_open).distinct()))
     links = written(links.unionByName(found), "prefix-links")
     roots = components(links, "prefix-roots")
 
     named = (
-        members.join(roots.withColumnRenamed("node", "set"), "set", "left")
+        members.select("doc_id", "n_shingles", "set")
+        .join(roots.withColumnRenamed("node", "set"), "set", "left")
         .withColumn("root", F.coalesce("root", "set")))
     lowest = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("low"))
     return (

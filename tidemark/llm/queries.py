@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import toxic_grammar
+from tidemark.llm import neighbour_vote, toxic_grammar
+from tidemark.llm.block_labeller import main_texts
+from tidemark.llm.block_mixing import Mix
+from tidemark.llm.host_words import judge_urls
 from tidemark.llm.line_rules import LINE_RULES_SQL, line_rules
 from tidemark.llm.one_permutation import edited_prints
 from tidemark.llm.prefix_join import near_duplicates
@@ -50,6 +53,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query("op4_block_labeller")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read(spark, sf_dir, "pages"))
+
+
 @query("op5_one_permutation")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_prints(read(spark, sf_dir, "documents"))
@@ -58,3 +66,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_prefix_join")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op7_neighbour_vote")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    rows = neighbour_vote.train_rows(docs, labels, "quality", 5, 0, neighbour_vote.TRAIN_ROWS)
+    scored = neighbour_vote.score_documents(docs, neighbour_vote.learn(rows))
+    return scored.select(
+        "doc_id", held_out(5, 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op8_host_words")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read(spark, sf_dir, "pages"))
+
+
+@query("op9_block_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Mix(read(spark, sf_dir, "documents")).digest()

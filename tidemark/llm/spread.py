@@ -26,40 +26,39 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def count_sketch(
     df: DataFrame, slots_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], slots: int
 ) -> np.ndarray:
-    """How many of all hashes fall in each of `slots` counters: 4 bytes a slot, whatever the input.
+    """How many of all hashes fall in each of `slots` counters, up to 255: one byte a slot, whatever
+    the input.
 
     Tasks count their rows in memory of that size; the counters are added part by part as a stream,
     so no task holds more than its parts. `slots` is a power of two of at least PART_SLOTS.
     """
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, waiting, n = np.zeros(slots, np.int64), [], 0
+        total, waiting, n = np.zeros(slots, np.int32), [], 0
         for batch in batches:
             for hashes in slots_of(batch):
-                waiting.append((hashes & np.uint64(slots - 1)).astype(np.int64))
+                waiting.append((hashes & np.uint64(slots - 1)).astype(np.int32))
                 n += len(hashes)
-                if n > slots:
-                    total += np.bincount(np.concatenate(waiting), minlength=slots)
+                if n > slots // 2:
+                    _add(total, waiting)
                     waiting, n = [], 0
-        if waiting:
-            total += np.bincount(np.concatenate(waiting), minlength=slots)
-        yield from rows(enumerate(np.minimum(total, 0x7FFFFFFF).reshape(-1, PART_SLOTS)))
+        _add(total, waiting)
+        yield from rows(enumerate(np.minimum(total, 255).astype(np.uint8).reshape(-1, PART_SLOTS)))
 
     def rows(parts: Iterable[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for part, counts in parts:
             if counts.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()),
-                     pa.array([counts.astype(np.int32).tobytes()], pa.binary())],
+                    [pa.array([part], pa.int32()), pa.array([counts.tobytes()], pa.binary())],
                     names=["part", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch["part"].to_pylist(), batch["counts"], strict=True):
-                own = totals.setdefault(part, np.zeros(PART_SLOTS, np.int64))
-                own += np.frombuffer(counts.as_buffer(), np.int32)
-        yield from rows((p, np.minimum(c, 0x7FFFFFFF)) for p, c in totals.items())
+                own = totals.setdefault(part, np.zeros(PART_SLOTS, np.int32))
+                own += np.frombuffer(counts.as_buffer(), np.uint8)
+        yield from rows((p, np.minimum(c, 255).astype(np.uint8)) for p, c in totals.items())
 
     # A few tasks for each core: every task sends a whole sketch, if it found that much.
     tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
@@ -67,12 +66,18 @@ def count_sketch(
     filled = df.coalesce(tasks).mapInArrow(fill, schema)
     parts = slots // PART_SLOTS
     added = filled.repartition(min(parts, tasks), "part").mapInArrow(add, schema)
-    total = np.zeros((parts, PART_SLOTS), np.int32)
-    for row in added.toLocalIterator():
-        total[row["part"]] = np.frombuffer(row["counts"], np.int32)
+    total = np.zeros((parts, PART_SLOTS), np.uint8)
+    for row in added.collect():
+        total[row["part"]] = np.frombuffer(row["counts"], np.uint8)
     return total.reshape(-1)
 
 
+def _add(total: np.ndarray, waiting: list[np.ndarray]) -> None:
+    if waiting:
+        slots, counts = np.unique(np.concatenate(waiting), return_counts=True)
+        total[slots] += counts.astype(np.int32)
+
+
 def with_first_owner(rows: DataFrame, token: str, owner: str) -> DataFrame:
     """The rows whose token several owners have, with the smallest owner as `first_owner` and the
     largest as `last_owner`.

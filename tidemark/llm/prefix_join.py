@@ -10,9 +10,10 @@ order gives the same links, but with common shingles last a passage that thousan
 stays out of their prefixes.
 
 Groups that share a prefix shingle are candidates, under the size and position filters. They are first
-compared with the smallest and the largest group of the shingle, which joins the copies of one document
-without going through its pairs. Only what then lies in another component than most of its shingle is
-paired with the rest. A histogram of each set bounds the shingles a pair can share; pairs that it cannot
+compared with the shingle's middle, the group in whose prefix the shingle comes first: of edited copies
+of one document that is the least edited one, as edits put rare shingles in front. That joins the copies
+without going through their pairs. Only the sets that still lie outside their shingle's largest component
+are paired with the rest. A histogram of each set bounds the shingles a pair can share; pairs that it cannot
 exclude are verified on the whole sets. Every candidate pair is thus excluded by a bound, verified, or
 within one component already.
 
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.spread import components, count_sketch, with_first_owner, written
@@ -183,26 +184,25 @@ def near_duplicates(
         return ((100 * F.least(na, nb) >= percent * F.greatest(na, nb))
                 & ((100 + percent) * reach >= percent * (F.col(na) + F.col(nb))))
 
-    def star(end: str) -> DataFrame:
-        """Each group of a token with the token's first or last group."""
-        middle = shared.filter(F.col("grp") == F.col(end)).select(
-            "token", F.col("n").alias("n2"), F.col("place").alias("place2"))
-        return (
-            shared.filter(F.col("grp") != F.col(end)).join(middle, "token")
-            .filter(allowed("n", "place", "n2", "place2"))
-            .select(F.col(end).alias("ga"), F.col("grp").alias("gb")).distinct())
-
-    stars = star("first_owner").unionByName(star("last_owner")).distinct()
     by_group = wanted.select("grp", "set")
-    of_groups = (
-        stars.join(by_group.select(F.col("grp").alias("ga"), F.col("set").alias("a")), "ga")
-        .join(by_group.select(F.col("grp").alias("gb"), F.col("set").alias("b")), "gb").select("a", "b"))
-    head = by_group.groupBy("grp").agg(F.min("set").alias("a"))
-    within = by_group.join(head, "grp").filter("set <> a").select("a", F.col("set").alias("b"))
-    links = written(verified(possible(of_groups.unionByName(within).distinct())), "prefix-links")
-    rooted = wanted.select("set", "grp").join(
-        components(links, "prefix-roots").withColumnRenamed("node", "set"), "set", "left").withColumn(
-        "root", F.coalesce("root", "set"))
+
+    # Each set of a token with the head of the token's middle.
+    least = F.min_by(F.struct("grp", "n", "place"), F.struct("place", "grp"))
+    middle = shared.groupBy("token").agg(least.alias("least")).select(
+        "token", F.col("least.grp").alias("g2"), F.col("least.n").alias("n2"), F.col("least.place").alias("p2"))
+    groups = (
+        shared.select("token", "grp", "n", "place").join(middle, "token").filter("grp <> g2")
+        .filter(allowed("n", "place", "n2", "p2")).select("grp", "g2").distinct())
+    heads = by_group.groupBy("grp").agg(F.min("set").alias("head"))
+    stars = (
+        groups.join(by_group.withColumnRenamed("set", "a"), "grp")
+        .join(heads.select(F.col("grp").alias("g2"), F.col("head").alias("b")), "g2").select("a", "b"))
+    within = by_group.join(heads, "grp").filter("set <> head").select(
+        F.col("head").alias("a"), F.col("set").alias("b"))
+    links = written(verified(possible(stars.unionByName(within).distinct())), "prefix-links")
+    roots = components(links, "prefix-roots").withColumnRenamed("node", "set")
+    rooted = written(
+        by_group.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")), "prefix-rooted")
 
     # What is left: for each token the sets outside its largest component, with all its other sets.
     held = shared.select("token", "grp", "n", "place").join(rooted, "grp")
@@ -210,14 +210,13 @@ def near_duplicates(
     main = sizes.groupBy("token").agg(
         F.max_by("root", F.struct("sets", "root")).alias("main"), F.count("*").alias("roots"))
     held = written(held.join(main.filter("roots > 1").drop("roots"), "token"), "prefix-held")
-    odd = held.filter("root <> main").select(
-        "token", F.col("set").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"),
-        F.col("root").alias("ra"))
-    rest = held.select(
-        "token", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"),
-        F.col("root").alias("rb"))
+    odd = held.filter("root <> main")
+    x = odd.select("token", F.col("set").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"),
+                   F.col("root").alias("ra"))
+    y = held.select("token", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"),
+                    F.col("root").alias("rb"))
     open_pairs = (
-        odd.join(rest, "token").filter(F.col("ra") != F.col("rb")).filter(allowed("na", "pa", "nb", "pb"))
+        x.join(y, "token").filter(F.col("ra") != F.col("rb")).filter(allowed("na", "pa", "nb", "pb"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     # Sets of one group share all their prefix, in whatever token they are looked up.
     several_open = (
@@ -238,3 +237,17 @@ def near_duplicates(
         .select("doc_id", "n_shingles",
                 F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("low"))
                 .alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of its component. Rows equal in id and text are one;
+    rows without an id stay, as no component can name them."""
+    found = near_duplicates(docs, id, text, **options)
+    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
+    key = F.col(id).cast("long")
+    in_order = Window.partitionBy("__kept_id").orderBy(F.col(text))
+    before, n = F.lag(F.col(text)).over(in_order), F.row_number().over(in_order)
+    named = (
+        docs.filter(key.isNotNull()).withColumn("__kept_id", key).join(kept, "__kept_id", "left_semi")
+        .withColumn("__kept", (n == 1) | ~before.eqNullSafe(F.col(text))).filter("__kept"))
+    return named.select(*docs.columns).unionByName(docs.filter(key.isNull()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,9 @@ from tidemark.llm.block_labeller import main_texts
 from tidemark.llm.block_mixing import Mix
 from tidemark.llm.host_words import judge_urls
 from tidemark.llm.line_rules import LINE_RULES_SQL, line_rules
+from tidemark.llm.merge_dropout import round_trip
 from tidemark.llm.one_permutation import edited_prints
+from tidemark.llm.passage_chains import repeated_passages
 from tidemark.llm.prefix_join import near_duplicates
 from tidemark.session import configure
 
@@ -53,6 +56,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query("op3_passage_chains")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read(spark, sf_dir, "documents"))
+
+
 @query("op4_block_labeller")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(read(spark, sf_dir, "pages"))
@@ -86,3 +94,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_block_mixing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Mix(read(spark, sf_dir, "documents")).digest()
+
+
+@query("op10_merge_dropout")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read(spark, sf_dir, "documents")).drop("pieces")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(configure(spark), sf_dir)

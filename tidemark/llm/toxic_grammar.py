@@ -296,3 +296,15 @@ def score_documents(docs: DataFrame, grammar: Grammar) -> DataFrame:
     return map_batches(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
         work, "doc_id long, score double")
+
+
+def without_toxic(docs: DataFrame, grammar: Grammar, threshold: float = 0.7, text: str = "text") -> DataFrame:
+    """The rows of `docs` whose score is below the threshold, as they are."""
+    known = docs.sparkSession.sparkContext.broadcast(grammar)
+
+    def keep(batches):
+        for batch in batches:
+            scores = [known.value.score(t or "") for t in batch[text].cast(pa.string()).to_pylist()]
+            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

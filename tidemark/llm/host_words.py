@@ -6,8 +6,8 @@ the words with the highest probability (Viterbi). Unknown words cost more the lo
 
 The unigram counts are the pieces that all urls of the table hold between two separators (path pieces,
 and host labels with hyphens) and the listed words. Urls whose host words contain a listed bad word are
-the block class, all others the allow class; token counts of both classes over all urls, with the
-listed words added, make the multinomial model. At most `VOCABULARY` tokens of each table, the most
+the block class, all others the allow class; token counts of both classes over all urls, mixed with the
+listed words of each, make the multinomial model. At most `VOCABULARY` tokens of each table, the most
 frequent ones, are sent to the tasks; a token outside says nothing for either class.
 
 A null url, or one without `://`, has an empty host and path, no rule and is allowed. Other columns are
@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import map_batches
 
 VOCABULARY = 50_000
-# What a listed word counts, and the share of urls that are blocked before anything is known.
+# What a listed word counts when words are split, how many tokens of all urls each class has besides its
+# own, and the share of urls that are blocked before anything is known.
 LISTED = 50
+SMOOTH = 100
 BLOCK_SHARE = 0.2
 # The longest word that the unigram model knows.
 LONGEST = 24
@@ -176,17 +178,22 @@ def learn(urls: DataFrame) -> UrlModel:
         .groupBy("token").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")))
     total = rows.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")).first()
     kept = rows.orderBy(F.desc(F.col("block") + F.col("allow")), "token").limit(VOCABULARY).collect()
-    block = Counter({r["token"]: r["block"] for r in kept})
-    allow = Counter({r["token"]: r["allow"] for r in kept})
-    block.update({w: LISTED for w in BAD_WORDS})
-    allow.update({w: LISTED for w in PLAIN_WORDS})
-    n_block = (total["block"] or 0) + LISTED * len(BAD_WORDS)
-    n_allow = (total["allow"] or 0) + LISTED * len(PLAIN_WORDS)
-    known = {*block, *allow}
-    odds = {
-        w: math.log((block[w] + 1) / (n_block + len(known))) - math.log((allow[w] + 1) / (n_allow + len(known)))
-        for w in known}
-    return UrlModel(splitter.unigrams, odds, math.log(BLOCK_SHARE / (1 - BLOCK_SHARE)))
+    n_block, n_allow = total["block"] or 0, total["allow"] or 0
+    n_all = max(1, n_block + n_allow)
+    counts = {r["token"]: (r["block"], r["allow"]) for r in kept}
+    plain = frozenset(PLAIN_WORDS)
+
+    def odds(token: str) -> float:
+        """Half of a class are its listed words, half the tokens of its urls, smoothed towards those of
+        all urls; so a token found everywhere says nothing, also where few urls are in one class."""
+        in_block, in_allow = counts.get(token, (0, 0))
+        overall = (in_block + in_allow + 1e-3) / n_all
+        p_block = (in_block + SMOOTH * overall) / (n_block + SMOOTH) + (token in bad) / len(bad)
+        p_allow = (in_allow + SMOOTH * overall) / (n_allow + SMOOTH) + (token in plain) / len(plain)
+        return math.log(p_block / p_allow)
+
+    return UrlModel(splitter.unigrams, {w: odds(w) for w in {*counts, *bad, *plain}},
+                    math.log(BLOCK_SHARE / (1 - BLOCK_SHARE)))
 
 
 def judge_urls(pages: DataFrame, id: str = "page_id", url: str = "url", rules=RULES) -> DataFrame:

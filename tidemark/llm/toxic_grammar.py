@@ -204,7 +204,7 @@ def learn(rows: DataFrame) -> Grammar:
                 & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean"))))
         .orderBy(F.desc("toxic"), "pattern").limit(10 * MAX_PATTERNS))
     candidates = frozenset(r["pattern"] for r in counted.collect())
-    # Clean rows of batches without a toxic one are only counted here.
+    # A pattern's clean rows are counted in full only here, where no batch without a toxic row is left out.
     found = map_batches(rows, count_clean(candidates), "toxic int, held array<string>").collect()
     grammar = _cover([(bool(r["toxic"]), set(r["held"])) for r in found])
 
@@ -215,7 +215,8 @@ def learn(rows: DataFrame) -> Grammar:
     sample = map_batches(rows, describe, "toxic int, x array<double>").collect()
     labels = np.array([r["toxic"] for r in sample], float)
     grammar.weights, grammar.bias = fit(
-        np.array([r["x"] for r in sample], float).reshape(len(sample), -1), labels)
+        np.array([r["x"] for r in sample], float).reshape(
+            len(sample), MEASURES * len(SETTINGS)), labels)
     return grammar
 
 

@@ -41,7 +41,6 @@ def cut_everywhere(monkeypatch):
     """Cut every key with more than a few rows into slices, as only hot keys of large input are."""
     from tidemark.operators import slices
 
-    monkeypatch.setattr(slices, "SMALL_INPUT_BYTES", -1)
     monkeypatch.setattr(slices, "ROWS_PER_SLICE", 9)
 
 

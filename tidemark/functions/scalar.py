@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,10 +43,15 @@ def web_log_fields(line: Column) -> dict[str, Column]:
     }
 
 
-def composite_key(*parts: Column, delimiter: str = "_") -> Column:
-    return F.concat_ws(delimiter, *[p.cast("string") for p in parts])
+def key_text(parts: Sequence[Column], delimiter: str = "_") -> Column:
+    """Several values as one text, different for different values: a null part is \\N, and a backslash
+    or delimiter inside a part is written with a backslash before it."""
+    def part(value: Column) -> Column:
+        text = F.replace(value.cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(text, F.lit(delimiter), F.lit("\\" + delimiter)), F.lit("\\N"))
 
+    return F.concat_ws(delimiter, *[part(p) for p in parts])
 
-def stable_salt(n: int, *parts: Column) -> Column:
-    """A number below n that spreads rows evenly and is the same when a task is rerun."""
-    return F.pmod(F.xxhash64(*parts), F.lit(n)).cast("int")
+
+def composite_key(*parts: Column, delimiter: str = "_") -> Column:
+    return key_text(parts, delimiter)

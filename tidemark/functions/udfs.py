@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # SQL bodies are expanded into the calling query, so these cost no more than built-ins.
 SQL_FUNCTIONS = {
@@ -42,9 +44,10 @@ def text_length_arrow():
 
 
 def word_lengths():
-    """A table function written in Python: one row per word with its length."""
+    """A table function written in Python: one row per word with its length. Rows travel in Arrow
+    batches; a function over whole batches cannot stand in a lateral join."""
 
-    @F.udtf(returnType="word string, n int")
+    @F.udtf(returnType="word string, n int", useArrow=True)
     class WordLengths:
         def eval(self, content: str, sep: str):
             if content is not None:
@@ -120,54 +123,76 @@ class TopValues(UserAggregate):
         return [(value, i + 1) for i, value in enumerate(acc[0])]
 
 
+# Keys a task folds at once; beyond it, it hands on what it has. Nothing is lost, only shuffled earlier.
 MAX_OPEN_KEYS = 100_000
 
 
 def aggregate_with(
-    df: DataFrame, keys: Sequence[str], value: str, agg: UserAggregate, sign: str | None = None
+    df: DataFrame, keys: Sequence[str], value: str, agg: UserAggregate, sign: str | None = None,
+    max_open_keys: int = MAX_OPEN_KEYS,
 ) -> DataFrame:
     """Run a user aggregate. With `sign`, rows whose sign is negative are taken back.
 
-    Each task first folds its own rows, so one key reaches the merge as a few accumulators per
-    task however many rows it has.
+    Each task first folds its own rows, so one key reaches the merge as a few accumulators per task
+    however many rows it has. The merge reads them sorted by key, one at a time. Keys stay Arrow or
+    Python values: nulls, large numbers and times come out as they went in.
     """
     keys = list(keys)
     key_fields = [df.schema[k] for k in keys]
     acc_fields = T.StructType.fromDDL(agg.accumulator).fields
     out_fields = T.StructType.fromDDL(agg.result).fields
     acc_names = [f.name for f in acc_fields]
+    out_names = [f.name for f in out_fields]
+    acc_schema = to_arrow_schema(T.StructType([*key_fields, *acc_fields]))
+    out_schema = to_arrow_schema(T.StructType([*key_fields, *out_fields]))
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_keys: dict[tuple, tuple] = {}
-
-        def drain() -> pd.DataFrame:
-            rows = [(*k, *acc) for k, acc in open_keys.items()]
-            open_keys.clear()
-            return pd.DataFrame(rows, columns=[*keys, *acc_names])
-
         for batch in batches:
-            for key, part in batch.groupby(keys, dropna=False, sort=False):
+            values = batch[value].to_pandas()
+            signs = batch[sign].to_pandas() if sign else None
+            rows: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*[batch[k].to_pylist() for k in keys], strict=True)):
+                rows.setdefault(key, []).append(i)
+            for key, at in rows.items():
                 acc = open_keys.get(key) or agg.create()
-                if sign is None:
-                    acc = agg.add(acc, part[value])
+                part = values.iloc[at]
+                if signs is None:
+                    acc = agg.add(acc, part)
                 else:
-                    plus, minus = part[part[sign] >= 0], part[part[sign] < 0]
-                    acc = agg.add(acc, plus[value]) if len(plus) else acc
-                    acc = agg.retract(acc, minus[value]) if len(minus) else acc
+                    plus = signs.iloc[at] >= 0
+                    acc = agg.add(acc, part[plus]) if plus.any() else acc
+                    acc = agg.retract(acc, part[~plus]) if not plus.all() else acc
                 open_keys[key] = acc
-            if len(open_keys) > MAX_OPEN_KEYS:
-                yield drain()
+            if len(open_keys) > max_open_keys:
+                yield _batch(((*k, *acc) for k, acc in open_keys.items()), acc_schema)
+                open_keys = {}
         if open_keys:
-            yield drain()
+            yield _batch(((*k, *acc) for k, acc in open_keys.items()), acc_schema)
 
-    def finish(key: tuple, accs: pd.DataFrame) -> pd.DataFrame:
-        total = agg.create()
-        for acc in accs[acc_names].itertuples(index=False, name=None):
-            total = agg.merge(total, acc)
-        return pd.DataFrame(
-            [(*key, *row) for row in agg.emit(total)],
-            columns=[*keys, *[f.name for f in out_fields]])
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, agg.create()
+        for batch in batches:
+            done: list[tuple] = []
+            columns = [batch[c].to_pylist() for c in (*keys, *acc_names)]
+            for row in zip(*columns, strict=True):
+                key = row[:len(keys)]
+                if now is not None and key != now:
+                    done += [(*now, *r) for r in agg.emit(total)]
+                    total = agg.create()
+                now, total = key, agg.merge(total, row[len(keys):])
+            if done:
+                yield _batch(done, out_schema)
+        if now is not None:
+            yield _batch([(*now, *r) for r in agg.emit(total)], out_schema)
 
     columns = [*keys, value] + ([sign] if sign else [])
-    accs = df.select(*columns).mapInPandas(partial, T.StructType([*key_fields, *acc_fields]))
-    return accs.groupBy(*keys).applyInPandas(finish, T.StructType([*key_fields, *out_fields]))
+    accs = df.select(*columns).mapInArrow(partial, T.StructType([*key_fields, *acc_fields]))
+    together = accs.repartition(*keys).sortWithinPartitions(*keys)
+    return together.mapInArrow(finish, T.StructType([*key_fields, *out_fields])).select(*keys, *out_names)
+
+
+def _batch(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

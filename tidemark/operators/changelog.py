@@ -49,16 +49,28 @@ def parse_log(
 
 
 # Names databases give to a change, mapped to the letter used here.
-OPERATIONS = {"read": "I", "create": "I", "insert": "I", "update": "U", "delete": "D"}
+OPERATIONS = {
+    "read": "I", "create": "I", "insert": "I", "update": "U", "delete": "D",
+    "r": "I", "c": "I", "i": "I", "u": "U", "d": "D",
+}
 
 
 def parse_capture(
-    records: DataFrame, row: str, column: str = "value", keep: Sequence[str] = ()
+    records: DataFrame, row: str, column: str = "value", keep: Sequence[str] = (),
+    on_unknown: str = "FAILFAST",
 ) -> DataFrame:
-    """Database-capture JSON to rows with `data` and `op_type`."""
+    """Database-capture JSON to rows with `data` and `op_type`.
+
+    An operation that is missing or not among OPERATIONS stops the job, or with
+    on_unknown="PERMISSIVE" stays as a row whose `op_type` is null, for a bad-record output.
+    """
     parsed = parse_json(records, capture_envelope(row), column, keep=keep)
     letters = F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair])
-    return parsed.withColumn("op_type", letters[F.lower("operation")]).drop("operation")
+    letter = letters[F.lower("operation")]
+    if on_unknown == "FAILFAST":
+        told = F.concat(F.lit("unknown operation: "), F.coalesce("operation", F.lit("null")))
+        letter = F.coalesce(letter, F.raise_error(told).cast("string"))
+    return parsed.withColumn("op_type", letter).drop("operation")
 
 
 def fold_to_current(
@@ -73,7 +85,7 @@ def fold_to_current(
     rest = [c for c in changes.columns if c not in keys]
     newest = changes.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(*keys, "_row.*")
-    return newest if keep_deletes else newest.filter(F.col(op) != "D").drop(op, *order)
+    return newest if keep_deletes else newest.filter(~F.col(op).eqNullSafe("D")).drop(op, *order)
 
 
 def enrich(

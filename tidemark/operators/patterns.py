@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import replace
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.aggregates import first_rows
 from tidemark.operators.slices import Cuts, as_column, find_cuts, position, running, with_neighbours
 from tidemark.operators.windows import seconds
 
@@ -81,19 +80,35 @@ def consecutive(
 
 
 def _follow_timers(
-    batches: Iterator[pd.DataFrame], run: list[str], limit: int
-) -> Iterator[pd.DataFrame]:
-    """Walk sorted rows: the first row of a run arms a timer, the next row past it arms anew."""
+    batches: Iterator[pa.RecordBatch], run: list[str], limit: int
+) -> Iterator[pa.RecordBatch]:
+    """Walk sorted rows: the first row of a run arms a timer, the next row past it arms anew.
+
+    From one timer to the next the walk jumps by binary search, as the rows of a run are in order.
+    Run columns stay Arrow values, which keep nulls and large numbers as they are.
+    """
     armed = 0
     for batch in batches:
-        starts = []
-        for at, is_new in zip(batch["_at"].to_numpy(), batch["_new"].to_numpy()):
-            if is_new or at > armed + limit:
-                armed = at
-            starts.append(armed)
-        groups = batch.assign(_armed=starts).groupby(
-            [*run, "_armed"], dropna=False, sort=False, as_index=False)
-        yield groups.agg(_end=("_end", "first"), _last=("_at", "max"), _rows=("_at", "size"))
+        at = batch["_at"].to_numpy(zero_copy_only=False)
+        n = len(at)
+        new = np.flatnonzero(batch["_new"].to_numpy(zero_copy_only=False))
+        heads, starts, low = [], [], 0
+        for end in [*new[new > 0].tolist(), n] if n else []:
+            is_new = bool(len(new)) and bool(np.isin(low, new))
+            while low < end:
+                if is_new or at[low] > armed + limit:
+                    armed, is_new = int(at[low]), False
+                heads.append(low)
+                starts.append(armed)
+                low += int(np.searchsorted(at[low:end], armed + limit, "right"))
+        if not heads:
+            continue
+        tails = np.append(heads[1:], n)
+        first = batch.take(pa.array(heads))
+        yield pa.RecordBatch.from_arrays(
+            [*[first[c] for c in run], pa.array(starts, pa.int64()), first["_end"],
+             pa.array(at[tails - 1], pa.int64()), pa.array(tails - heads, pa.int64())],
+            names=[*run, "_armed", "_end", "_last", "_rows"])
 
 
 def timer_groups(
@@ -101,9 +116,9 @@ def timer_groups(
 ) -> DataFrame:
     """One row per timer: the run, `_armed` (when it was set), `_last` and `_rows` it covered.
 
-    `run` identifies stretches of rows that share timers and must not be null; `_at` is the row
-    time and `_end` the end of the run. Each timer depends on the one before, so a run is read in
-    order, row by row and in constant memory; what is spread over tasks are the runs, not the keys.
+    `run` identifies stretches of rows that share timers; `_at` is the row time and `_end` the end of
+    the run. Each timer depends on the one before, so a run is read in order, from timer to timer and
+    in constant memory; what is spread over tasks are the runs, not the keys.
     """
     run = list(run)
     first = F.row_number().over(Window.partitionBy(*run).orderBy(*order)) == 1
@@ -111,12 +126,12 @@ def timer_groups(
     schema = T.StructType([*[df.schema[c] for c in run], *longs])
     # The window has already brought each run together; the sort is the one it needed anyway.
     ordered = (
-        df.withColumn("_end", F.coalesce("_end", F.lit(NEVER)))
+        df.filter("_at is not null").withColumn("_end", F.coalesce("_end", F.lit(NEVER)))
         .withColumn("_new", first)
         .sortWithinPartitions(*run, *order)
         .select(*run, "_at", "_end", "_new")
     )
-    parts = ordered.mapInPandas(lambda batches: _follow_timers(batches, run, limit), schema)
+    parts = ordered.mapInArrow(lambda batches: _follow_timers(batches, run, limit), schema)
     return parts.groupBy(*run, "_armed").agg(
         F.min("_end").alias("_end"), F.max("_last").alias("_last"), F.sum("_rows").alias("_rows"))
 
@@ -128,13 +143,10 @@ def _with_runs(
 
     Both are running values over the same key, one read forwards and one backwards.
     """
-    back = [f"_back_{o}" for o in order]
-    turned = df.withColumns({b: -position(df, o) for b, o in zip(back, order)})
     count = F.when(F.col(breaks), 1).otherwise(0).cast("long")
-    numbered = running(turned, keys, order, {"_run": ("sum", count)}, cuts=cuts)
+    numbered = running(df, keys, order, {"_run": ("sum", count)}, cuts=cuts)
     ahead = F.when(F.col(breaks), F.col("_at"))
-    return running(
-        numbered, keys, back, {"_end": ("last", ahead)}, cuts=replace(cuts, backwards=True))
+    return running(numbered, keys, order, {"_end": ("last", ahead)}, cuts=cuts, backwards=True)
 
 
 def not_falling(
@@ -154,7 +166,7 @@ def not_falling(
     def body(rows: DataFrame, window) -> DataFrame:
         return rows.withColumn("_last", F.lag(value).over(window))
 
-    cuts = find_cuts(base, keys, order[0], **options)
+    cuts = find_cuts(base, keys, order, **options)
     looked = with_neighbours(base, keys, order, body, before=1, cuts=cuts)
     if arm_on_first:
         arms = F.col("_last").isNull() | (F.col(value) > F.col("_last"))
@@ -183,7 +195,7 @@ def failure_bursts(
     wait = seconds(within) * MICROS
     base = df.select(*keys, *order, as_column(failed).alias("_failed"))
     flagged = base.withColumns({"_at": position(df, order[0]), "_passed": ~F.col("_failed")})
-    cuts = find_cuts(base, keys, order[0], **options)
+    cuts = find_cuts(base, keys, order, **options)
     fails = _with_runs(flagged, keys, order, "_passed", cuts).filter("_failed")
     bursts = timer_groups(fails, [*keys, "_run"], order, wait)
     found = (F.col("_rows") >= at_least) & (F.col("_end") > F.col("_armed") + wait)
@@ -203,32 +215,35 @@ def with_rank_per_day(
 
 
 def order_outcomes(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], kind: str, limit: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], kind: str, limit: str, **options
 ) -> DataFrame:
-    """Match the first create of an order with its first pay.
+    """Match every create of an order with the pay that comes next, cycle after cycle.
 
-    Outcomes: paid (pay not before create and at most `limit` after it), no_pay (time ran out
-    first), pay_without_create (no open create when the pay came).
+    Outcomes: paid (the next event is a pay, at most `limit` later), no_pay (nothing came in time),
+    pay_without_create (no create open when the pay came). A create that another one follows in time
+    is replaced by it. As each event clears what was open, an event depends on its neighbours only.
     """
     ts = order[0]
     wait = seconds(limit) * MICROS
-    first = first_rows(df.select(*keys, kind, *order), [*keys, kind], order)
-    at = F.struct(*order)
-    sides = first.groupBy(*keys).agg(
-        F.max(F.when(F.col(kind) == "create", at)).alias("_c"),
-        F.max(F.when(F.col(kind) == "pay", at)).alias("_p"))
-    c_at = F.unix_micros(F.col(f"_c.{ts}").cast("timestamp"))
-    p_at = F.unix_micros(F.col(f"_p.{ts}").cast("timestamp"))
-    paid = (F.col("_c") < F.col("_p")) & (p_at - c_at <= wait)
-    outcomes = F.when(F.coalesce(paid, F.lit(False)), F.array(F.lit("paid"))).otherwise(
-        F.array_compact(F.array(
-            F.when(F.col("_c").isNotNull(), "no_pay"),
-            F.when(F.col("_p").isNotNull(), "pay_without_create"))))
-    named = sides.withColumn("outcome", F.explode(outcomes))
-    return named.select(
+    base = df.select(*keys, kind, *order).filter(F.col(kind).isin("create", "pay")).withColumn(
+        "_at", position(df, ts))
+
+    def body(rows: DataFrame, window) -> DataFrame:
+        here = F.struct(F.col(kind).alias("kind"), F.col("_at").alias("at"), F.col(ts).alias("ts"))
+        return rows.withColumns({"_before": F.lag(here).over(window), "_after": F.lead(here).over(window)})
+
+    looked = with_neighbours(base, keys, order, body, before=1, after=1, **options)
+    in_time = F.col("_after.at") - F.col("_at") <= wait
+    answered = (F.col("_before.kind") == "create") & (F.col("_at") - F.col("_before.at") <= wait)
+    outcome = F.when(
+        F.col(kind) == "create",
+        F.when(~F.coalesce(in_time, F.lit(False)), "no_pay").when(F.col("_after.kind") == "pay", "paid"),
+    ).when(~F.coalesce(answered, F.lit(False)), "pay_without_create")
+    return looked.withColumn("outcome", outcome).filter("outcome is not null").select(
         *keys, "outcome",
-        F.when(F.col("outcome") != "pay_without_create", F.col(f"_c.{ts}")).alias("create_ts"),
-        F.when(F.col("outcome") != "no_pay", F.col(f"_p.{ts}")).alias("pay_ts"))
+        F.when(F.col("outcome") != "pay_without_create", F.col(ts)).alias("create_ts"),
+        F.when(F.col("outcome") == "paid", F.col("_after.ts"))
+        .when(F.col("outcome") == "pay_without_create", F.col(ts)).alias("pay_ts"))
 
 
 def followed_by(
@@ -243,12 +258,10 @@ def followed_by(
     ts = order[0]
     limit = seconds(within) * MICROS
     base = df.select(*keys, *order, as_column(first).alias("_first"), as_column(then).alias("_then"))
-    back = [f"_back_{o}" for o in order]
-    base = base.withColumns({b: -position(base, o) for b, o in zip(back, order)})
     looked = running(
-        base, keys, back,
-        {"_next": ("last", F.when(F.col("_then") & ~F.col("_first"), F.col(ts)))}, **options)
-    span = F.unix_micros(F.col("_next").cast("timestamp")) + F.col(back[0])
+        base, keys, order, {"_next": ("last", F.when(F.col("_then") & ~F.col("_first"), F.col(ts)))},
+        backwards=True, **options)
+    span = F.unix_micros(F.col("_next").cast("timestamp")) - position(base, ts)
     matched = F.coalesce(span < limit, F.lit(False))
     return looked.filter("_first").select(
         *keys, F.col(ts).alias("start_ts"),

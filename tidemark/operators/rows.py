@@ -23,10 +23,11 @@ def parse_lines(
 
 
 def _without_bad(df: DataFrame, column: str, parsed: Column, keep: Sequence[str]) -> DataFrame:
-    """Expand a parsed record and drop the bad ones. A generator keeps the later filter from being
+    """Expand a parsed record; bad, blank and null ones go. A generator keeps the later filter from being
     pushed down, where it would parse every record a second time."""
-    present = df.filter(F.col(column).isNotNull())
-    return present.select(*keep, F.inline(F.array(parsed))).filter("_bad is null").drop("_bad")
+    present = df.filter(F.trim(F.regexp_replace(column, r"\s+", " ")) != "")
+    whole = F.filter(F.array(parsed), lambda r: r.isNotNull())
+    return present.select(*keep, F.inline(whole)).filter("_bad is null").drop("_bad")
 
 
 def parse_json(

@@ -7,8 +7,10 @@ is an ordinary window group, and what earlier slices contribute is carried in:
 * `running` adds the folded total of the earlier slices (one row per slice),
 * `with_neighbours` repeats the few rows that lie next to the slice.
 
-Keys of ordinary size stay whole (`_slice` 0) and need no carry. Input that is small as a whole
-skips the search for hot keys.
+Keys of up to `ROWS_PER_SLICE` rows stay whole (`_slice` 0) and need no carry. Work without keys is one
+key that is always cut, into as many slices as a shuffle has partitions or more. The rows of a key are
+counted by one small job before the plan is made; that count alone decides, whatever the size of the
+input in bytes, and the cuts are rows' own order values, of whatever types.
 """
 
 from __future__ import annotations
@@ -20,12 +22,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.session import estimated_bytes, scratch_path
+from tidemark.session import scratch_path
 
-SMALL_INPUT_BYTES = 256 << 20
+# What one task is given to sort.
 ROWS_PER_SLICE = 4_000_000
-MAX_SLICES = 1_000
-BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -34,13 +34,18 @@ class Sliced:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     is_cut: bool
+    backwards: bool = False
 
     @property
     def group(self) -> list[str]:
         return [*self.keys, "_slice"] if self.is_cut else list(self.keys)
 
+    def ordered(self, columns: Sequence[str]) -> list[Column]:
+        """Columns in reading direction; nulls come first forwards and last backwards."""
+        return [F.col(c).desc() if self.backwards else F.col(c).asc() for c in columns]
+
     def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.group).orderBy(*self.order)
+        return Window.partitionBy(*self.group).orderBy(*self.ordered(self.order))
 
     def cut_rows(self) -> DataFrame:
         return self.rows.filter(F.col("_slice") > 0)
@@ -52,7 +57,7 @@ def as_column(value: Column | str) -> Column:
 
 
 def position(df: DataFrame, column: str) -> Column:
-    """The order column as a long: microseconds for timestamps, the value itself for numbers."""
+    """A time column in microseconds, or a whole number as it is."""
     kind = dict(df.dtypes)[column]
     if kind.startswith("timestamp"):
         return F.unix_micros(F.col(column).cast("timestamp"))
@@ -61,80 +66,88 @@ def position(df: DataFrame, column: str) -> Column:
 
 @dataclass(frozen=True)
 class Cuts:
-    """Where the hot keys of some rows are cut: positions of `column`, one list per hot key.
-
-    `table` is None when no key is hot. `backwards` numbers the slices from the newest to the oldest,
-    for work that reads keys in reverse.
-    """
+    """Where the hot keys of some rows are cut: the order values at which slices begin, one sorted
+    list per hot key. `table` is None when no key is hot."""
 
     table: DataFrame | None = None
-    by: tuple[str, ...] = ()
-    column: str = ""
-    small: bool = False
-    backwards: bool = False
+    keys: tuple[str, ...] = ()
+    order: tuple[str, ...] = ()
+
+
+def _at(order: Sequence[str]) -> Column:
+    return F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)])
 
 
 def find_cuts(
-    df: DataFrame, keys: Sequence[str], column: str, rows_per_slice: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None
 ) -> Cuts:
     """Look for keys with too many rows and choose their cuts.
 
-    Steps of one operator share the result, so the rows are counted once.
+    Steps of one operator share the result, so the rows are counted once. Each hot key gets a slice
+    for every `rows_per_slice` of its own rows: the rows of all hot keys are dealt out by ranges of
+    (key, order values), and the first values of every range are its cut. The cuts are written to the
+    shared folder, so each later step sees the same ones.
     """
-    if rows_per_slice is None and estimated_bytes(df) <= SMALL_INPUT_BYTES:
-        return Cuts()
-    limit = rows_per_slice or ROWS_PER_SLICE
+    limit, keys = rows_per_slice or ROWS_PER_SLICE, tuple(keys)
     spark = df.sparkSession
-    by = tuple(keys) or ("_sl_all",)
-    rows = df.withColumn("_sl_all", F.lit(0)).select(*by, position(df, column).alias("_sl_at"))
-
-    # Fewer than total / limit keys can be this large. Written out, since they are read again.
-    path = scratch_path(spark, "hot-keys")
-    rows.groupBy(*by).count().filter(F.col("count") > limit).write.parquet(f"{path}/keys")
-    hot = spark.read.parquet(f"{path}/keys")
-    n_hot, largest = hot.agg(F.count("*"), F.max("count")).first()
-    if not n_hot:
-        return Cuts()
-    n_slices = min(MAX_SLICES, math.ceil(largest / limit))
-    small = n_hot * (8 * n_slices + 200) <= BROADCAST_BYTES
-    fractions = [i / n_slices for i in range(1, n_slices)] or [0.5]
-    _match(rows, hot.select(*by), by, "left_semi", small).groupBy(*by).agg(
-        F.percentile_approx("_sl_at", fractions, 20 * n_slices).alias("_sl_cuts")
-    ).write.parquet(f"{path}/cuts")
-    return Cuts(spark.read.parquet(f"{path}/cuts"), by, column, small)
-
-
-def _match(
-    left: DataFrame, right: DataFrame, by: Sequence[str], how: str, small: bool
-) -> DataFrame:
-    """Join on keys that may be null; the right side is broadcast if its size was found small."""
+    path = scratch_path(spark, "cuts")
+    if keys:
+        # Fewer than total / limit keys can be this large.
+        counts = df.groupBy(*keys).count().filter(F.col("count") > limit)
+        hot = counts.select(*keys, F.ceil(F.col("count") / limit).alias("_sl_n"))
+        n_slices = hot.agg(F.sum("_sl_n")).first()[0]
+        if not n_slices:
+            return Cuts()
+        hot.write.parquet(f"{path}/keys")
+        rows = _match(df, spark.read.parquet(f"{path}/keys").select(*keys), keys, "left_semi")
+    else:
+        n_rows = df.count()
+        n_slices = max(math.ceil(n_rows / limit), int(spark.conf.get("spark.sql.shuffle.partitions")))
+        if n_rows < 2:
+            return Cuts()
+        rows = df
+    ranges = rows.select(*keys, _at(order).alias("_sl_at")).repartitionByRange(
+        int(n_slices), *keys, "_sl_at")
+    first = ranges.groupBy(*keys, F.spark_partition_id().alias("_sl_part")).agg(F.min("_sl_at").alias("_sl_at"))
+    first.groupBy(*keys).agg(F.sort_array(F.collect_list("_sl_at")).alias("_sl_cuts")).write.parquet(
+        f"{path}/cuts")
+    return Cuts(spark.read.parquet(f"{path}/cuts"), keys, tuple(order))
+
+
+def _match(left: DataFrame, right: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    """Join on keys that may be null. Spark knows the size of the written right side and decides
+    whether to send it around."""
     renamed = right.withColumnsRenamed({k: f"_sl_hot_{k}" for k in by})
     on = [F.col(k).eqNullSafe(F.col(f"_sl_hot_{k}")) for k in by]
-    return left.join(F.broadcast(renamed) if small else renamed, on, how).drop(
-        *[f"_sl_hot_{k}" for k in by])
+    return left.join(renamed, on, how).drop(*[f"_sl_hot_{k}" for k in by])
 
 
 def slice_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None,
-    cuts: Cuts | None = None,
+    cuts: Cuts | None = None, backwards: bool = False,
 ) -> Sliced:
-    """Add `_slice`; rows with equal values in the first order column stay in one slice."""
+    """Add `_slice`, numbered in reading direction; rows equal in all order columns of the cuts stay
+    in one slice."""
+    keys, order = tuple(keys), tuple(order)
     if cuts is None:
-        cuts = find_cuts(df, keys, order[0], rows_per_slice)
+        cuts = find_cuts(df, keys, order, rows_per_slice)
     if cuts.table is None:
-        return Sliced(df, tuple(keys), tuple(order), False)
-    passed = F.size(F.filter("_sl_cuts", lambda c: c < F.col("_sl_at")))
-    number = MAX_SLICES + 1 - passed if cuts.backwards else 1 + passed
+        return Sliced(df, keys, order, False, backwards)
+    if cuts.keys:
+        placed = _match(df, cuts.table, cuts.keys, "left")
+    else:
+        # One row: a value for every slice of the only key, so it is always sent around.
+        only = F.pmod(F.xxhash64(*order), F.lit(1))
+        placed = df.withColumn("_sl_all", only).join(
+            F.broadcast(cuts.table.withColumn("_sl_all", F.lit(0).cast("long"))), "_sl_all").drop("_sl_all")
+    passed = F.size(F.filter("_sl_cuts", lambda c: c <= F.col("_sl_at")))
+    # The smallest row is a cut itself, so a row has passed at least one.
+    number = F.size("_sl_cuts") + 1 - passed if backwards else passed
     placed = (
-        _match(df.withColumn("_sl_all", F.lit(0)), cuts.table, cuts.by, "left", cuts.small)
-        .withColumn("_sl_at", position(df, cuts.column))
-        .withColumn(
-            "_slice",
-            # Rows without a position come first in either direction.
-            F.when(F.col("_sl_cuts").isNull(), 0).when(F.col("_sl_at").isNull(), 1).otherwise(number))
-        .drop("_sl_cuts", "_sl_at", "_sl_all")
-    )
-    return Sliced(placed, tuple(keys), tuple(order), True)
+        placed.withColumn("_sl_at", _at(cuts.order))
+        .withColumn("_slice", F.when(F.col("_sl_cuts").isNull(), 0).otherwise(number))
+        .drop("_sl_cuts", "_sl_at"))
+    return Sliced(placed, keys, order, True, backwards)
 
 
 # How the results of two neighbouring stretches combine, per kind of running aggregate.
@@ -171,14 +184,16 @@ def running(
     peers: bool = False,
     rows_per_slice: int | None = None,
     cuts: Cuts | None = None,
+    backwards: bool = False,
 ) -> DataFrame:
-    """Add running aggregates from the first row of a key to the current one.
+    """Add running aggregates from the first row of a key to the current one, or `backwards` from
+    the last one.
 
     `aggs` maps a new column to (kind, expression), kind being sum, count, min, max or last
     (newest non-null). With `peers`, rows equal in the order columns share one value.
     """
     aggs = {n: (kind, as_column(c)) for n, (kind, c) in aggs.items()}
-    s = slice_rows(df, keys, order, rows_per_slice, cuts)
+    s = slice_rows(df, keys, order, rows_per_slice, cuts, backwards)
     frame = s.window()
     first = Window.unboundedPreceding
     frame = frame.rangeBetween(first, 0) if peers else frame.rowsBetween(first, 0)
@@ -188,8 +203,8 @@ def running(
 
     def fold(kind: str, column: Column) -> Column:
         if kind == "last":
-            at = F.struct(*[F.col(o) for o in s.order])
-            return F.max_by(column, F.when(column.isNotNull(), at))
+            newest = F.min_by if backwards else F.max_by
+            return newest(column, F.when(column.isNotNull(), _at(s.order)))
         return _start(kind, column)
 
     per_slice = s.cut_rows().groupBy(*s.group).agg(

@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 from tidemark.operators.aggregates import PARTS
 from tidemark.operators.slices import as_column, find_cuts, running, with_neighbours
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+_UNIT_SECONDS = {
+    "microsecond": 1e-6, "millisecond": 1e-3, "second": 1, "minute": 60, "hour": 3600, "day": 86400,
+    "week": 604800}
 PANES_FROM = 8
 
 
-def seconds(duration: str) -> int:
-    """'6 hours' to 21600."""
-    amount, unit = duration.split()
-    return int(amount) * _UNIT_SECONDS[unit.rstrip("s")]
+def seconds(duration: str) -> int | float:
+    """'6 hours' to 21600, '500 milliseconds' to 0.5; several parts ('1 hour 30 minutes') add up."""
+    parts = duration.split()
+    total = sum(
+        int(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+        for amount, unit in zip(parts[::2], parts[1::2], strict=True))
+    return int(total) if total == int(total) else round(total, 6)
 
 
 def _bounds(df: DataFrame, window: str = "_w") -> DataFrame:
@@ -82,7 +87,7 @@ def session(
     def since_last(rows: DataFrame, window) -> DataFrame:
         return rows.withColumn("_cut", (F.lag("_to").over(window) + length < F.col("_from")))
 
-    cuts = find_cuts(panes, keys, "_pane")
+    cuts = find_cuts(panes, keys, ["_pane"])
     marked = with_neighbours(panes, keys, ["_pane"], since_last, before=1, cuts=cuts)
     cut = F.when(F.col("_cut"), 1).otherwise(0).cast("long")
     numbered = running(marked, keys, ["_pane"], {"_no": ("sum", cut)}, cuts=cuts)
@@ -125,7 +130,7 @@ def count_slide(
         frame = window.rowsBetween(-(size - 1), 0)
         return rows.withColumns({n: as_column(c).over(frame) for n, c in aggs.items()})
 
-    cuts = find_cuts(df, keys, order[0], **options)
+    cuts = find_cuts(df, keys, order, **options)
     numbered = running(df, keys, order, {"row_no": ("count", "1")}, cuts=cuts)
     looked = with_neighbours(numbered, keys, order, body, before=size - 1, cuts=cuts)
     return looked.filter(F.col("row_no") % slide == 0).select(*keys, "row_no", *aggs)

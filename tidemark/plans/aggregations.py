@@ -153,12 +153,20 @@ def pv_uv_ratio(t: Tables) -> DataFrame:
     ).withColumn("ratio", F.col("pv") / F.col("uv"))
 
 
-@query("approx_users")
+@query("approx_users", f"""
+    SELECT {sql.bucket("ts", sql.HOUR)} AS hour, count(DISTINCT user_id) AS n_users, true AS within_bound
+    FROM events GROUP BY 1""")
 def approx_users(t: Tables) -> DataFrame:
-    """Approximate distinct users per hour, mergeable sketches instead of a bitmap."""
-    hours = t.events.groupBy(F.window("ts", "1 hour").start.alias("hour"))
-    sketched = hours.agg(F.hll_sketch_agg("user_id", 14).alias("sketch"))
-    return sketched.select("hour", F.hll_sketch_estimate("sketch").alias("n_users"))
+    """Distinct users per hour by mergeable sketches, beside the exact number: a sketch of 2**14
+    slots is off by 0.8 percent on average, and here by 4 percent (5 deviations) and one at most."""
+    hour = F.window("ts", "1 hour").start.alias("hour")
+    sketched = t.events.groupBy(hour).agg(F.hll_sketch_agg("user_id", 14).alias("sketch")).select(
+        "hour", F.hll_sketch_estimate("sketch").alias("estimate"))
+    exact = distinct_per_window(t.events, [], "ts", "user_id", "1 hour").select(
+        F.col("window_start").alias("hour"), F.col("n_distinct").alias("n_users"))
+    off = F.abs(F.col("estimate") - F.col("n_users"))
+    return exact.join(sketched, "hour").select(
+        "hour", "n_users", (off <= 0.04 * F.col("n_users") + 1).alias("within_bound"))
 
 
 @query("exact_users", f"""

@@ -30,12 +30,11 @@ def join_inner(t: Tables) -> DataFrame:
 
 @query("join_left3", """
     SELECT o_orderkey, o_totalprice, c_name, l_linenumber, l_shipdate FROM orders
-    LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0
-    LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_quantity > 45""", as_text=("l_linenumber",))
+    LEFT JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN lineitem ON o_orderkey = l_orderkey""", as_text=("l_linenumber",))
 def join_left3(t: Tables) -> DataFrame:
-    customers = t.customer.filter("c_acctbal > 0").select("c_custkey", "c_name")
-    items = t.lineitem.filter("l_quantity > 45").select(
-        "l_orderkey", "l_linenumber", "l_shipdate")
+    customers = t.customer.select("c_custkey", "c_name")
+    items = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
     return (
         t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")

@@ -167,15 +167,17 @@ def order_events(t: Tables) -> DataFrame:
 
 
 ORDER_TIMEOUT = """
-    WITH f AS (SELECT user_id, CAST(ts AS DATE) AS day,
-            min(ts) FILTER (event_type = 'click') AS c, min(ts) FILTER (event_type = 'purchase') AS p
-        FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1, 2),
-    m AS (SELECT *, c < p AND p - c <= INTERVAL 6 HOURS IS TRUE AS paid FROM f)
-    SELECT user_id, day, 'paid' AS outcome, c AS create_ts, p AS pay_ts FROM m WHERE paid
-    UNION ALL SELECT user_id, day, 'no_pay', c, NULL FROM m
-        WHERE paid IS NOT TRUE AND c IS NOT NULL
-    UNION ALL SELECT user_id, day, 'pay_without_create', NULL, p FROM m
-        WHERE paid IS NOT TRUE AND p IS NOT NULL"""
+    WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day, ts,
+            event_type = 'click' AS made, lag(ts) OVER w AS before, lead(ts) OVER w AS after,
+            lag(event_type) OVER w = 'click' AS made_before, lead(event_type) OVER w = 'click' AS made_after
+        FROM events WHERE event_type IN ('click', 'purchase')
+        WINDOW w AS (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id))
+    SELECT user_id, day, 'paid' AS outcome, ts AS create_ts, after AS pay_ts FROM e
+        WHERE made AND after - ts <= INTERVAL 6 HOURS AND NOT made_after
+    UNION ALL SELECT user_id, day, 'no_pay', ts, NULL FROM e
+        WHERE made AND (after IS NULL OR after - ts > INTERVAL 6 HOURS)
+    UNION ALL SELECT user_id, day, 'pay_without_create', NULL, ts FROM e
+        WHERE NOT made AND (before IS NULL OR NOT made_before OR ts - before > INTERVAL 6 HOURS)"""
 
 
 @query("order_timeout", ORDER_TIMEOUT, as_text=("day",))

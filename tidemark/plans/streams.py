@@ -324,7 +324,7 @@ def order_timeout(t: Tables) -> DataFrame:
         ps.shaped(rows, ["user_id", "day"], "ts", "event_id",
                   kind="if(event_type = 'click', 'create', 'pay')"), "ts", DELAY)
     outcomes = ps.in_order(
-        shaped, ["user_id", "day"], ps.OrderTimeout(6 * MICROS_PER_HOUR, 24 * MICROS_PER_HOUR))
+        shaped, ["user_id", "day"], ps.OrderTimeout(6 * MICROS_PER_HOUR))
     return plain_times(run.to_files(outcomes))
 
 

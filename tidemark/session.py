@@ -44,9 +44,14 @@ def build(app: str = "tidemark", master: str | None = None, **conf: str) -> Spar
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is configured (tests)."""
+    """The cluster's shared folder, as `spark.checkpoint.dir` names it.
+
+    Only a local session may go without: it gets a temporary folder, which all its tasks see.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

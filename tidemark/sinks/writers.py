@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tidemark.functions.scalar import key_text
 from tidemark.operators.changelog import as_changelog
 
 
@@ -47,26 +48,28 @@ class KeyedTable:
             f"{self.path}/batch={batch_id}")
 
     def current(self, before_batch: int | None = None) -> DataFrame:
-        """All live rows, or those before a batch was applied."""
+        """All live rows, or those before a batch was applied. The newest row of a key is that of the
+        highest `order`, deletes included, and among equals that of the latest batch."""
         written = self.spark.read.parquet(self.path)
         if before_batch is not None:
             written = written.filter(F.col("batch") < before_batch)
         rest = [c for c in written.columns if c not in self.keys and c != "batch"]
+        age = [self.order, "batch"] if self.order else ["batch"]
         newest = written.groupBy(*self.keys).agg(
-            F.max_by(F.struct(*rest), "batch").alias("_row")).select(*self.keys, "_row.*")
+            F.max_by(F.struct(*rest), F.struct(*age)).alias("_row")).select(*self.keys, "_row.*")
         return newest.filter(~F.col("_gone")).drop("_gone")
 
     def changes_of(self, batch_id: int) -> DataFrame:
         """What a batch changed, as +I, -U, +U and -D rows; only keys it touched are compared."""
-        touched = self.spark.read.parquet(f"{self.path}/batch={batch_id}")
-        keys = touched.select(*self.keys)
-        old = self.current(batch_id).join(keys, self.keys, "left_semi")
-        return as_changelog(old, touched.filter(~F.col("_gone")).drop("_gone"), self.keys)
+        touched = self.spark.read.parquet(f"{self.path}/batch={batch_id}").select(*self.keys)
+        old = self.current(batch_id).join(touched, self.keys, "left_semi")
+        new = self.current(batch_id + 1).join(touched, self.keys, "left_semi")
+        return as_changelog(old, new, self.keys)
 
 
 def document_id(keys: Sequence[str], delimiter: str = "_"):
-    """The id of a document made of several key columns."""
-    return F.concat_ws(delimiter, *[F.col(k).cast("string") for k in keys])
+    """The id of a document made of several key columns; different keys have different ids."""
+    return key_text([F.col(k) for k in keys], delimiter)
 
 
 def upsert_stream(

@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalar import key_text
 from tidemark.operators.rows import parse_json, parse_lines
 
 
@@ -50,7 +51,7 @@ def encode(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     value = F.to_json(F.struct("*")).alias("value")
     if not keys:
         return df.select(value)
-    return df.select(F.concat_ws("_", *[F.col(k).cast("string") for k in keys]).alias("key"), value)
+    return df.select(key_text([F.col(k) for k in keys]).alias("key"), value)
 
 
 def write_topic(df: DataFrame, servers: str, topic: str, keys: tuple[str, ...] = ()):

@@ -44,7 +44,8 @@ class InOrder(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         named = Row(*self.result_names)
-        passed = timerValues.getCurrentWatermarkInMs() * 1000 + 999
+        # Later rows may still share the watermark's millisecond but lie behind it.
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
         waiting = list(self._waiting.get()) if self._waiting.exists() else []
         due = sorted((r for r in waiting if r[0] <= passed), key=lambda r: (r[0], r[1]))
         later = [r for r in waiting if r[0] > passed]
@@ -96,7 +97,8 @@ class InOrder(StatefulProcessor):
 
 
 def _millis(micros: int) -> int:
-    return micros // 1000
+    """The first whole millisecond at which a time has passed."""
+    return -(-micros // 1000)
 
 
 def in_order(df: DataFrame, key: list[str], processor: InOrder) -> DataFrame:
@@ -290,42 +292,35 @@ class FailureBursts(InOrder):
 
 
 class OrderTimeout(InOrder):
-    """Matches the first pay of an order with its first create inside `limit` microseconds.
+    """Matches every create of an order with the pay that comes next inside `limit` microseconds.
 
-    Repeats are ignored until the order is forgotten, `keep` microseconds after its last news.
+    A create that follows an open one replaces it. Nothing is remembered but the open create.
     """
 
     payload = "kind string"
-    memory = "created long, creates int, pays int, forget_at long"
+    memory = "created long"
     output = "outcome string, create_ts long, pay_ts long"
     times = ("create_ts", "pay_ts")
 
-    def __init__(self, limit: int, keep: int):
-        self.limit, self.keep = limit, keep
+    def __init__(self, limit: int):
+        self.limit = limit
 
     def start(self):
-        return (None, 0, 0, None)
+        return (None,)
 
     def on_row(self, state, row):
         at, _, kind = row
-        created, creates, pays, forget_at = state
         if kind == "create":
-            return (state if creates else (at, 1, pays, at + self.keep)), []
-        if pays:
-            return state, []
-        if created is None:
-            return (None, creates, 1, at + self.keep), [("pay_without_create", None, at)]
-        return (None, creates, 1, at + self.keep), [("paid", created, at)]
+            return (at,), []
+        if state[0] is None:
+            return state, [("pay_without_create", None, at)]
+        return self.start(), [("paid", state[0], at)]
 
     def deadline(self, state):
-        created, _, _, forget_at = state
-        return forget_at if created is None else min(created + self.limit, forget_at)
+        return None if state[0] is None else state[0] + self.limit
 
     def on_deadline(self, state):
-        created, creates, pays, forget_at = state
-        if created is None:
-            return self.start(), []
-        return (None, creates, pays, forget_at), [("no_pay", created, None)]
+        return self.start(), [("no_pay", state[0], None)]
 
 
 class FollowedBy(InOrder):

@@ -44,13 +44,18 @@ def web_log_fields(line: Column) -> dict[str, Column]:
 
 
 def key_text(parts: Sequence[Column], delimiter: str = "_") -> Column:
-    """Several values as one text, different for different values: a null part is \\N, and a backslash
-    or delimiter inside a part is written with a backslash before it."""
-    def part(value: Column) -> Column:
+    """Several values as one text, different for different values.
+
+    A null part is \\N. A backslash in a part is doubled, and a delimiter in any part but the first has
+    a backslash before it: so of the delimiters without one, the last ones are those between the parts.
+    """
+    def part(value: Column, inner: bool) -> Column:
         text = F.replace(value.cast("string"), F.lit("\\"), F.lit("\\\\"))
-        return F.coalesce(F.replace(text, F.lit(delimiter), F.lit("\\" + delimiter)), F.lit("\\N"))
+        if inner:
+            text = F.replace(text, F.lit(delimiter), F.lit("\\" + delimiter))
+        return F.coalesce(text, F.lit("\\N"))
 
-    return F.concat_ws(delimiter, *[part(p) for p in parts])
+    return F.concat_ws(delimiter, *[part(p, i > 0) for i, p in enumerate(parts)])
 
 
 def composite_key(*parts: Column, delimiter: str = "_") -> Column:

@@ -48,12 +48,14 @@ def hop(
 ) -> DataFrame:
     """Sliding windows.
 
-    `window` copies each row once per window it lies in. From PANES_FROM copies on, rows are
-    first aggregated into panes that tile every window, and only the panes are copied.
+    `window` copies each row once per window it lies in. With `panes` rows are first aggregated into
+    panes that tile every window, and only the panes are copied, which gains where a pane of a key
+    holds several rows and loses where most hold one; results are the same. The default is panes from
+    PANES_FROM copies on, on a stream too, where both steps are windows over the same watermark.
     """
     size_s, slide_s = seconds(size), seconds(slide)
     if panes is None:
-        panes = not df.isStreaming and size_s // slide_s >= PANES_FROM
+        panes = size_s // slide_s >= PANES_FROM
     if not panes:
         window = F.window(ts, size, slide).alias("_w")
         plain = [PARTS[kind][0](as_column(c)).alias(n) for n, (kind, c) in aggs.items()]
@@ -61,7 +63,8 @@ def hop(
     pane = f"{math.gcd(size_s, slide_s)} seconds"
     partial = df.groupBy(*keys, F.window(ts, pane).alias("_p")).agg(
         *[PARTS[kind][0](as_column(c)).alias(n) for n, (kind, c) in aggs.items()])
-    starts = partial.withColumn("_at", F.col("_p.start"))
+    # The time of a pane lies inside it, and so in the same windows as all its rows.
+    starts = partial.withColumn("_at", F.window_time("_p"))
     merged = [PARTS[kind][1](n).alias(n) for n, (kind, _) in aggs.items()]
     return _bounds(starts.groupBy(*keys, F.window("_at", size, slide).alias("_w")).agg(*merged))
 

@@ -112,10 +112,10 @@ def nested_project(t: Tables) -> DataFrame:
 @query("repartition_count", """
     SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_suppkey""")
 def repartition_count(t: Tables) -> DataFrame:
-    """Rows already spread by key are aggregated where they are."""
+    """Rows spread evenly, whatever their keys, then aggregated in part where they are."""
     n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = ops.spread(t.lineitem.select("l_suppkey", "l_quantity"), "by_key", n, "l_suppkey")
-    return keyed.groupBy("l_suppkey").agg(
+    even = ops.spread(t.lineitem.select("l_suppkey", "l_quantity"), "round_robin", n)
+    return even.groupBy("l_suppkey").agg(
         F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
 
 

@@ -52,6 +52,31 @@ def hop_sum(t: Tables) -> DataFrame:
     return plain_times(run.to_files(summed)).withColumn("total", F.round("total", 2))
 
 
+@twin("hop_panes")
+def hop_panes(t: Tables) -> DataFrame:
+    """24 windows per row, by panes: two windowed aggregates under one watermark."""
+    run = StreamRun(t.spark, "hop-panes")
+    rows = events(run, t, "event_type", "ts", "value")
+    return plain_times(run.to_files(windowed.by_panes(rows)))
+
+
+@query("stream_join_inner", """
+    SELECT o_orderkey, l_linenumber, o_totalprice, l_quantity FROM orders JOIN lineitem
+    ON o_orderkey = l_orderkey AND l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 122 DAYS""")
+def join_inner(t: Tables) -> DataFrame:
+    """Two streams joined on a key. Items ship within 122 days of their order, which bounds the state:
+    a side's row is dropped once the watermark has passed all its partners."""
+    run = StreamRun(t.spark, "join-inner")
+    orders = t.stream("orders").select(
+        "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("timestamp").alias("ordered"))
+    items = t.stream("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", F.col("l_shipdate").cast("timestamp").alias("shipped"))
+    left = run.with_event_time(orders, "ordered", "1 day")
+    right = run.with_event_time(items, "shipped", "1 day")
+    on = F.expr("o_orderkey = l_orderkey AND shipped >= ordered AND shipped <= ordered + interval 122 days")
+    return run.to_files(left.join(right, on).select("o_orderkey", "l_linenumber", "o_totalprice", "l_quantity"))
+
+
 @twin("session_count")
 def session_count(t: Tables) -> DataFrame:
     run = StreamRun(t.spark, "session")

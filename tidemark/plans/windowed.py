@@ -129,8 +129,12 @@ def hop_sum(t: Tables) -> DataFrame:
         min(value) AS low, round(sum(value), 2) AS total
     FROM {sql.hops("events", 24 * H, H)} GROUP BY 1, 2, 3""")
 def hop_panes(t: Tables) -> DataFrame:
+    return by_panes(t.events)
+
+
+def by_panes(rows: DataFrame) -> DataFrame:
     value = F.col("value")
-    summed = windows.hop(t.events, ["event_type"], "ts", "24 hours", "1 hour", {
+    summed = windows.hop(rows, ["event_type"], "ts", "24 hours", "1 hour", {
         "n": ("count", "1"), "top": ("max", value), "low": ("min", value),
         "total": ("sum", value)})
     return summed.withColumn("total", F.round("total", 2))

@@ -300,6 +300,33 @@ def count_tumble(t: Tables) -> DataFrame:
     return run.to_files(filled).withColumn("total", F.round("total", 2))
 
 
+@twin("count_slide")
+def count_slide(t: Tables) -> DataFrame:
+    run = StreamRun(t.spark, "count-slide")
+    slid = ps.in_order(keyed(run, t, value="value"), ["user_id"], ps.SlidingRows(6, 2))
+    return run.to_files(slid).select("user_id", "row_no", "n", F.round("total", 2).alias("total"))
+
+
+@twin("pattern_times")
+def pattern_times(t: Tables) -> DataFrame:
+    run = StreamRun(t.spark, "times")
+    found = ps.in_order(
+        keyed(run, t, hit="event_type = 'error'"), ["user_id"], ps.Consecutive(3, 48 * MICROS_PER_HOUR))
+    return plain_times(run.to_files(found.select(
+        "user_id", F.col("id").alias("event_id"), F.timestamp_micros("at").alias("ts"),
+        F.timestamp_micros("first_at").alias("first_ts"))))
+
+
+@query("stream_row_timers", """
+    SELECT user_id, event_id, ts + INTERVAL 1 HOUR AS fired_at FROM events WHERE event_type = 'click'""")
+def row_timers(t: Tables) -> DataFrame:
+    """One timer for every click, an hour after it."""
+    run = StreamRun(t.spark, "row-timers")
+    fired = ps.in_order(
+        keyed(run, t, where="event_type = 'click'"), ["user_id"], ps.RowTimers(MICROS_PER_HOUR))
+    return plain_times(run.to_files(fired.select("user_id", F.col("id").alias("event_id"), "fired_at")))
+
+
 @twin("top3_rows")
 def top3_rows(t: Tables) -> DataFrame:
     run = StreamRun(t.spark, "top")

@@ -169,6 +169,70 @@ class CountWindows(InOrder):
         return (window_no + 1, 0, 0.0), [(window_no, n, total)]
 
 
+class SlidingRows(InOrder):
+    """After every `slide`-th row the number, sum and largest value of the last `size` rows."""
+
+    payload = "value double"
+    memory = "row_no long, recent array<double>"
+    output = "row_no long, n long, total double, top double"
+
+    def __init__(self, size: int, slide: int):
+        self.size, self.slide = size, slide
+
+    def start(self):
+        return (0, [])
+
+    def on_row(self, state, row):
+        row_no, recent = state[0] + 1, [*state[1], row[2]][-self.size:]
+        found = [(row_no, len(recent), sum(recent), max(recent))] if row_no % self.slide == 0 else []
+        return (row_no, recent), found
+
+
+class Consecutive(InOrder):
+    """Every row ending `length` matching neighbours in a row, less than `within` microseconds long."""
+
+    payload = "hit boolean"
+    memory = "hits array<long>"
+    output = "id long, at long, first_at long"
+
+    def __init__(self, length: int, within: int):
+        self.length, self.within = length, within
+
+    def start(self):
+        return ([],)
+
+    def on_row(self, state, row):
+        at, row_id, hit = row
+        hits = [*state[0], at][-self.length:] if hit else []
+        whole = len(hits) == self.length and at - hits[0] < self.within
+        return (hits,), [(row_id, at, hits[0])] if whole else []
+
+
+class RowTimers(InOrder):
+    """A timer for every row: it fires `wait` microseconds after the row, beside whatever else is set."""
+
+    payload = ""
+    memory = "open array<struct<at: long, id: long>>"
+    output = "id long, fired_at long"
+    times = ("fired_at",)
+
+    def __init__(self, wait: int):
+        self.wait = wait
+
+    def start(self):
+        return ([],)
+
+    def on_row(self, state, row):
+        return ([*map(tuple, state[0]), (row[0], row[1])],), []
+
+    def deadline(self, state):
+        return state[0][0][0] + self.wait if state[0] else None
+
+    def on_deadline(self, state):
+        (at, row_id), *rest = map(tuple, state[0])
+        return (rest,), [(row_id, at + self.wait)]
+
+
 class RunningTop(InOrder):
     """After every row the n largest values so far; among equals the earlier row stays ahead."""
 

@@ -1,7 +1,8 @@
 """Encoding with a merge-type piece vocabulary under seeded merge-dropout, and decoding without loss.
 
-A text is split into units: a run of spaces with the word after it, or a line break. Spaces are written
-as the vocabulary's space mark. In each unit neighbouring symbols are merged in the order of an agenda
+A text is split into units: a run of spaces with the word after it, or a line break; a word's punctuation
+is a unit of its own where no piece holds a letter beside punctuation. No merge can cross these cuts.
+Spaces are written as the vocabulary's space mark. In each unit neighbouring symbols are merged in the order of an agenda
 (best piece first, then leftmost). A merge taken from the agenda is skipped if a keyed hash of the seed,
 the variant, the unit, the place and the piece falls below `dropout`. A unit occurrence gets one of
 `variants` variants by a keyed hash of the seed, the text and its number in the text; so repeats of a
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -32,13 +34,20 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 VARIANTS = 4
 # Units a worker remembers in the newer of two generations, and the longest unit it does so for.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 LONGEST = 48
 
 MARK = "▁"
 # Stands for a space mark of the text itself; no valid text holds this half of a surrogate pair.
 _OWN_MARK = "\udc81"
 _UNIT = re.compile(r"▁*[^▁\n]+|▁+|\n")
+_PUNCTUATION = r"!-/:-@\[-^`{-~"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_UNIT_FINE = re.compile(rf"▁*[{_LETTERS}]+(?=[{_PUNCTUATION}▁\n]|\Z)|▁*[^▁\n]+|▁+|\n")
+_CROSSING = re.compile(rf"[{_LETTERS}][{_PUNCTUATION}]|[{_PUNCTUATION}][{_LETTERS}]")
+# Units up to this long keep their agenda in a list, longer ones in a heap.
+SHORT = 40
+_NEVER = 1 << 30
 _MASK = (1 << 64) - 1
 
 
@@ -51,7 +60,7 @@ class Pieces:
         if n > 1 << 16:
             raise ValueError("pieces are packed in 16 bits")
         self.ids: dict[str, int] = {}
-        self.ranks: dict[str, tuple[float, int]] = {}
+        self.ranks: dict[str, int] = {}
         self.bytes: list[int] = [0] * 256
         spelled = []
         for i in range(n):
@@ -64,8 +73,10 @@ class Pieces:
                 spelled.append(b"")
             else:
                 self.ids[piece] = i
-                self.ranks[piece] = -vocabulary.get_score(i), i
                 spelled.append(piece.replace(MARK, " ").encode())
+        best_first = sorted(self.ids, key=lambda p: (-vocabulary.get_score(self.ids[p]), self.ids[p]))
+        self.ranks = {piece: rank for rank, piece in enumerate(best_first)}
+        self.units = _UNIT if any(_CROSSING.search(p) for p in self.ids) else _UNIT_FINE
         self.lengths = np.array([len(s) for s in spelled], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
@@ -96,7 +107,7 @@ class Encoder:
             return np.empty(0, np.uint16)
         if MARK in text:
             text = text.replace(MARK, _OWN_MARK)
-        units = _UNIT.findall(MARK + text.replace(" ", MARK))
+        units = self.pieces.units.findall(MARK + text.replace(" ", MARK))
         newer, out = self.newer, []
         for unit, variant in zip(units, self._drawn(text, len(units)), strict=True):
             known = newer.get(unit)
@@ -126,52 +137,64 @@ class Encoder:
 
     def unit(self, unit: str, variant: int) -> bytes:
         """One unit's ids, packed, by the agenda."""
-        ranks, below = self.pieces.ranks, self.below
         key = xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), seed=self.seed * 1009 + variant)
-        symbols: list[str] = list(unit)
-        n = len(symbols)
-        after = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            found = ranks.get(symbols[i] + symbols[i + 1])
-            if found is not None:
-                agenda.append((found[0], i, found[1], symbols[i] + symbols[i + 1]))
+        symbols = self._merged(list(unit), key) if len(unit) <= SHORT else self._merged_long(list(unit), key)
+        ids = []
+        for symbol in symbols:
+            known = self.pieces.ids.get(symbol)
+            if known is not None:
+                ids.append(known)
+            else:
+                own = MARK if symbol == _OWN_MARK else symbol
+                ids += [self.pieces.bytes[b] for b in own.encode()]
+        return array("H", ids).tobytes()
+
+    def _merged(self, symbols: list[str], key: int) -> list[str]:
+        """The agenda as a list: for each symbol the rank of its merge with the next one."""
+        rank, below = self.pieces.ranks.get, self.below
+        agenda = [rank(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda and (best := min(agenda)) < _NEVER:
+            i = agenda.index(best)
+            if below and _draw(key, len(symbols) - i, best) < below:
+                agenda[i] = _NEVER
+                continue
+            symbols[i] = piece = symbols[i] + symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank(piece + symbols[i + 1], _NEVER)
+            if i:
+                agenda[i - 1] = rank(symbols[i - 1] + piece, _NEVER)
+        return symbols
+
+    def _merged_long(self, symbols: list[str], key: int) -> list[str]:
+        """The agenda as a heap of (rank, place, piece); entries that other merges made void are passed."""
+        rank, below, n = self.pieces.ranks.get, self.below, len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        agenda = [(r, i, symbols[i] + symbols[i + 1]) for i in range(n - 1)
+                  if (r := rank(symbols[i] + symbols[i + 1])) is not None]
         heapify(agenda)
         while agenda:
-            _, i, piece_id, piece = heappop(agenda)
+            best, i, piece = heappop(agenda)
             j = after[i]
             if j >= n or not symbols[i] or symbols[i] + symbols[j] != piece:
-                continue  # one of the two was merged meanwhile
-            if below:
-                draw = (key ^ (i * 0x9E3779B97F4A7C15 + piece_id * 0xC2B2AE3D27D4EB4F)) & _MASK
-                draw = ((draw ^ draw >> 31) * 0xBF58476D1CE4E5B9) & _MASK
-                draw = ((draw ^ draw >> 29) * 0x94D049BB133111EB) & _MASK
-                if draw >> 32 < below:
-                    continue
+                continue
+            if below and _draw(key, n - i, best) < below:
+                continue
             symbols[i], symbols[j] = piece, ""
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                found = ranks.get(piece + symbols[k])
-                if found is not None:
-                    heappush(agenda, (found[0], i, found[1], piece + symbols[k]))
+                if (r := rank(piece + symbols[k])) is not None:
+                    heappush(agenda, (r, i, piece + symbols[k]))
             h = before[i]
-            if h >= 0:
-                found = ranks.get(symbols[h] + piece)
-                if found is not None:
-                    heappush(agenda, (found[0], h, found[1], symbols[h] + piece))
-        ids, at = [], 0
-        while at < n:
-            symbol = symbols[at]
-            known = self.pieces.ids.get(symbol)
-            if known is not None:
-                ids.append(known)
-            else:
-                own = MARK if symbol == _OWN_MARK else symbol
-                ids += [self.pieces.bytes[b] for b in own.encode()]
-            at = after[at]
-        return np.array(ids, np.uint16).tobytes()
+            if h >= 0 and (r := rank(symbols[h] + piece)) is not None:
+                heappush(agenda, (r, h, symbols[h] + piece))
+        return [s for s in symbols if s]
+
+
+def _draw(key: int, place: int, rank: int) -> int:
+    """32 bits that depend on the unit's key, the place of a merge and its piece."""
+    return ((key ^ (place << 40 | rank << 8)) * 0x9E3779B97F4A7C15 & _MASK) * 0xBF58476D1CE4E5B9 >> 32 & 0xFFFFFFFF
 
 
 def _pieces_of(model: str) -> bytes:

@@ -419,6 +419,70 @@ def late_windows(t: Tables) -> DataFrame:
     return plain_times(split.windows())
 
 
+def disordered(t: Tables, run: StreamRun, rows: DataFrame, batches: int = 4) -> DataFrame:
+    """The rows as a stream of several batches that each reach over all times: row r comes in batch
+    event_id % batches, so later batches are full of late rows."""
+    folder = f"{run.path}/arrivals"
+    for i in range(batches):
+        rows.filter(F.col("event_id") % batches == i).coalesce(1).write.parquet(f"{folder}/{i}")
+    reader = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{folder}/*")
+
+
+# The newest event time of the batches before that of a row `e`.
+BEFORE = "(SELECT max(b.ts) FROM events b WHERE b.event_id % 4 < e.event_id % 4)"
+
+
+@query("stream_late_output", f"""
+    SELECT event_id, user_id, ts FROM events e
+    WHERE {sql.bucket("ts", H)} + INTERVAL 3 HOURS <= {BEFORE}""")
+def late_output(t: Tables) -> DataFrame:
+    """The late output of a disordered stream in four batches."""
+    run = StreamRun(t.spark, "late-output")
+    rows = t.events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    split = LateSplit(
+        t.spark, run.path, ["user_id"], "ts", *windowed.LATE_ARGS,
+        {"n": ("count", "1"), "top": ("max", "value")})
+    run.for_each_batch(disordered(t, run, rows), split)
+    return plain_times(split.late().select("event_id", "user_id", "ts"))
+
+
+@query("stream_hot_urls_each", f"""
+    WITH w AS (SELECT r.event_id % 4 AS b, r.item, r.window_end FROM {sql.hops(
+        f"(SELECT e.event_id, e.ts, e.item, {BEFORE} AS newest FROM {sql.VIEWS} e)", 48 * H, 2 * H)} r
+        WHERE r.newest IS NULL OR r.window_end + INTERVAL 61 SECONDS > r.newest),
+    parts AS (SELECT b, window_end, item, count(*) AS n FROM w GROUP BY 1, 2, 3),
+    batches AS (SELECT DISTINCT b, window_end FROM parts),
+    totals AS (SELECT batches.b, parts.window_end, parts.item, CAST(sum(parts.n) AS BIGINT) AS n
+        FROM batches JOIN parts ON parts.window_end = batches.window_end AND parts.b <= batches.b
+        GROUP BY 1, 2, 3)
+    SELECT b AS batch, window_end, item, n, CAST(rk AS INTEGER) AS rk FROM (SELECT *, row_number() OVER (
+        PARTITION BY b, window_end ORDER BY n DESC, item) AS rk FROM totals) WHERE rk <= 5""")
+def hot_urls_each(t: Tables) -> DataFrame:
+    """Every ranking as it was after each batch that touched its window: first the one from the rows
+    in time, then each correction by late rows that were still accepted."""
+    run = StreamRun(t.spark, "hot-urls-each")
+    # The newest event is known from all events, whatever their type.
+    rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.when(
+        F.col("event_type") == "view", item_of(F.col("props"))).alias("item"))
+    split = LateSplit(
+        t.spark, run.path, ["item"], "ts", "48 hours", "2 hours", "1 second", "1 minute",
+        {"n": ("count", "1")})
+    by, out = [F.col("n").desc(), F.col("item")], f"{run.path}/rankings"
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        split(batch, batch_id)
+        touched = t.spark.read.parquet(f"{run.path}/parts/batch={batch_id}").filter(
+            "item is not null").select(F.col("_w.end").alias("window_end")).distinct()
+        now = split.windows().filter("item is not null").join(touched, "window_end", "left_semi")
+        topn.top_n(now, ["window_end"], by, 5).select("window_end", "item", "n", "rk").write.mode(
+            "overwrite").parquet(f"{out}/batch={batch_id}")
+
+    run.for_each_batch(disordered(t, run, rows), work)
+    ranked = t.spark.read.parquet(out).select(F.col("batch").cast("long").alias("batch"), "window_end", "item", "n", "rk")
+    return plain_times(ranked)
+
+
 @query("stream_hot_urls", QUERIES["hot_urls_top5"].sql)
 def hot_urls(t: Tables) -> DataFrame:
     """Hot items under allowed lateness: late rows correct the counts, the last ranking stands."""

@@ -165,10 +165,11 @@ class Mix:
         def place(batch: pa.RecordBatch) -> dict:
             """Epoch, block and words of every slot."""
             slot = batch["slot"].to_numpy(zero_copy_only=False).astype(np.int64)
-            names = batch["name"].to_pylist()
+            coded = batch["name"].dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False)
             epoch, block, words = (np.zeros(len(slot), np.int64) for _ in range(3))
-            for source in set(names):
-                own = np.flatnonzero([x == source for x in names])
+            for code, source in enumerate(coded.dictionary.to_pylist()):
+                own = np.flatnonzero(codes == code)
                 size, want = sizes[source], wanted[source]
                 full, per_epoch = size // length, -(-size // length)
                 e, i = slot[own] // per_epoch, slot[own] % per_epoch

@@ -251,3 +251,25 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **optio
         docs.filter(key.isNotNull()).withColumn("__kept_id", key).join(kept, "__kept_id", "left_semi")
         .withColumn("__kept", (n == 1) | ~before.eqNullSafe(F.col(text))).filter("__kept"))
     return named.select(*docs.columns).unionByName(docs.filter(key.isNull()))
+
+
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(1, len(words) - 4) + 1)) AS i FROM w WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * shared.n >= 80 * (a.n + b.n - shared.n)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, y FROM reach JOIN links ON links.x = reach.other)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

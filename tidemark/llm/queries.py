@@ -16,7 +16,7 @@ from tidemark.llm.line_rules import LINE_RULES_SQL, line_rules
 from tidemark.llm.merge_dropout import round_trip
 from tidemark.llm.one_permutation import edited_prints
 from tidemark.llm.passage_chains import repeated_passages
-from tidemark.llm.prefix_join import near_duplicates
+from tidemark.llm.prefix_join import NEAR_DUPLICATES_SQL, near_duplicates
 from tidemark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,7 +71,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_prints(read(spark, sf_dir, "documents"))
 
 
-@query("op6_prefix_join")
+@query("op6_prefix_join", NEAR_DUPLICATES_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 

@@ -201,8 +201,9 @@ class Mix:
                 F.floor(F.col("start") / length), F.floor((F.col("start") + F.col("size") - 1) / length))).alias("block"))
         low = F.greatest(F.col("start"), F.col("block") * length)
         high = F.least(F.col("start") + F.col("size"), F.col("block") * length + F.col("words"))
+        # Spark sees few rows before the slots are written out one by one, and would send them around.
         return (
-            held.join(self.slots, ["name", "block"]).filter(high > low)
+            held.join(self.slots.hint("merge"), ["name", "block"]).filter(high > low)
             .select("doc_id", "name", "start", "text_key", "shard", "slot", "epoch",
                     (low - F.col("start")).alias("from_word"), (high - low).alias("n_words")))
 

@@ -28,7 +28,7 @@ from tidemark.llm.text import map_batches, numbers, word_chunks
 TRAIN_PAGES = 300
 TRAIN_CHARS = 60_000
 COPIES = 3
-EPOCHS = 8
+EPOCHS = 14
 HIDDEN = 16
 PATH, WORDS, MEASURES = 48, 24, 8
 INPUT = PATH + WORDS + MEASURES
@@ -247,7 +247,7 @@ def _varied(page: list[Block], labels: np.ndarray, texts: list[str], rng: np.ran
         rows.append((replace(block, path=path), label))
 
     def text(short: bool) -> str:
-        words = str(rng.choice(texts)).split()
+        words = texts[int(rng.integers(len(texts)))].split()
         n = int(rng.integers(1, 7)) if short else int(rng.integers(5, 60))
         at = int(rng.integers(0, max(1, len(words) - n)))
         return " ".join(words[at:at + n]) or "-"
@@ -290,7 +290,7 @@ def train(pages: list[list[Block]], seed: int = 5) -> Labeller:
     xs = features([p for p, _ in rows])
     m = [np.zeros_like(w) for w in net.weights]
     v = [np.zeros_like(w) for w in net.weights]
-    step, size, longest = 0, 24, 96
+    step, size, longest = 0, 32, 64
     for epoch in range(EPOCHS):
         order = rng.permutation(len(rows))
         for low in range(0, len(order), size):

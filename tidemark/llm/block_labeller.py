@@ -335,10 +335,11 @@ def main_texts(
     """page_id, url, text (main text) and n_chars of every page."""
     pages = pages.select(
         F.col(id).alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
-    # At most train_pages * train_chars characters come to the driver.
-    sample = (
-        pages.filter(F.length("html").between(1, train_chars)).select("page_id", "html")
-        .orderBy(F.xxhash64("page_id"), "html").limit(train_pages).collect())
+    # Hashes choose the pages, so that no task sends whole pages but those chosen: at most
+    # train_pages * train_chars characters come to the driver.
+    short = pages.filter(F.length("html").between(1, train_chars)).select(F.xxhash64("page_id").alias("key"), "html")
+    chosen = short.select("key").distinct().orderBy("key").limit(train_pages)
+    sample = short.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min("html").alias("html")).orderBy("key").collect()
     net = pages.sparkSession.sparkContext.broadcast(train([blocks(r["html"]) for r in sample]))
 
     def work(batch: pa.RecordBatch) -> dict:

@@ -10,7 +10,7 @@ from tests.llm.conftest import DOCS, awkward_rows, words
 from tidemark.llm.block_mixing import Mix, mixed_documents, permuted, targets
 from tidemark.llm.line_rules import LINE_RULES_SQL, line_rules
 from tidemark.llm.one_permutation import bins_of, edited_prints, fingerprints, likeness, unpacked
-from tidemark.llm.passage_chains import chains, repeated_passages, segments_of, without_passages
+from tidemark.llm.passage_chains import align, chains, repeated_passages, segments_of, without_passages
 from tidemark.llm.prefix_join import near_duplicates, one_of_each
 
 
@@ -197,6 +197,34 @@ def test_passages_are_found_and_clean_texts_left_alone(spark):
     assert all(left[i] == text[i] for i in range(100, 130))
 
 
+def test_a_chain_too_unlike_as_a_whole_is_cut_into_passages():
+    import numpy as np
+
+    # Two runs of 50 words, side by side in one text and 30 words apart in the other.
+    t = np.arange(100, dtype=np.uint32)
+    q = np.concatenate([t[:50], np.arange(1000, 1030, dtype=np.uint32), t[50:]])
+    assert align([(0, 0, 50), (80, 50, 50)], q, t, 0.8) == [(0, 50, 0, 50, 50), (80, 130, 50, 100, 50)]
+    # One diagonal: 60 equal words, then 8 equal ones after every 12 others.
+    t = np.arange(260, dtype=np.uint32)
+    q = t.copy()
+    for i in range(60, 260, 20):
+        q[i:i + 12] += 5000
+    assert align([(0, 0, 260)], q, t, 0.8)[0] == (0, 60, 0, 60, 60)
+
+
+def test_passages_apart_from_a_long_insertion_are_found(spark):
+    rng = random.Random(21)
+    rows, cases = [], 20
+    for i in range(cases):
+        one, two = words(rng, 50, 10**6), words(rng, 50, 10**6)
+        rows.append((2 * i, " ".join(words(rng, 80, 10**6) + one + two + words(rng, 80, 10**6))))
+        rows.append((2 * i + 1, " ".join(
+            words(rng, 80, 10**6) + one + words(rng, 30, 10**6) + two + words(rng, 80, 10**6))))
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for i in range(cases):
+        assert sum(r["matched_words"] for r in found if r["doc_id"] // 2 == i) == 100
+
+
 def test_copies_are_passages_from_end_to_end(awkward):
     got = sorted(tuple(r) for r in repeated_passages(awkward).filter("doc_id is not null").collect())
     assert got == [(6, 0, 80, 5, 0, 80)]

@@ -10,7 +10,14 @@ from tests.llm.conftest import DOCS, awkward_rows, words
 from tidemark.llm.block_mixing import Mix, mixed_documents, permuted, targets
 from tidemark.llm.line_rules import LINE_RULES_SQL, line_rules
 from tidemark.llm.one_permutation import bins_of, edited_prints, fingerprints, likeness, unpacked
-from tidemark.llm.passage_chains import align, chains, repeated_passages, segments_of, without_passages
+from tidemark.llm.passage_chains import (
+    align,
+    chains,
+    repeated_passages,
+    segments_of,
+    united,
+    without_passages,
+)
 from tidemark.llm.prefix_join import near_duplicates, one_of_each
 
 
@@ -225,6 +232,27 @@ def test_passages_apart_from_a_long_insertion_are_found(spark):
         assert sum(r["matched_words"] for r in found if r["doc_id"] // 2 == i) == 100
 
 
+def test_phrases_of_several_texts_are_no_passage(spark):
+    rng = random.Random(22)
+    phrases = [words(rng, 24, 10**6) for _ in range(4)]
+    rows = [(i, " ".join(words(rng, 60, 10**6) + phrase + words(rng, 60, 10**6))) for i, phrase in enumerate(phrases)]
+    rows.append((9, " ".join(words(rng, 60, 10**6) + sum(phrases, []) + words(rng, 60, 10**6))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert repeated_passages(docs).count() == 0
+    assert without_passages(docs, repeated_passages(docs)).count() == 5
+
+
+def test_spans_unite_only_if_each_counts():
+    # Short spans of several texts; two that count and overlap; two whose union is not alike enough.
+    assert united([(0, 20, 1, 0, 20), (20, 40, 2, 0, 20), (40, 60, 3, 0, 20)], 50, 0.8, True) == []
+    assert united([(0, 60, 1, 5, 60), (50, 110, 2, 0, 60)], 50, 0.8) == [(0, 110, 1, 5, 110)]
+    apart = [(0, 50, 1, 0, 40), (52, 102, 2, 0, 40)]
+    assert united(apart, 50, 0.8) == apart
+    # Against one text spans must touch in both.
+    assert united([(0, 30, 1, 0, 30), (30, 60, 1, 30, 30)], 50, 0.8, True) == [(0, 60, 1, 0, 60)]
+    assert united([(0, 30, 1, 0, 30), (30, 60, 1, 90, 30)], 50, 0.8, True) == []
+
+
 def test_copies_are_passages_from_end_to_end(awkward):
     got = sorted(tuple(r) for r in repeated_passages(awkward).filter("doc_id is not null").collect())
     assert got == [(6, 0, 80, 5, 0, 80)]

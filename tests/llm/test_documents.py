@@ -253,6 +253,24 @@ def test_spans_unite_only_if_each_counts():
     assert united([(0, 30, 1, 0, 30), (30, 60, 1, 90, 30)], 50, 0.8, True) == []
 
 
+def test_passages_of_which_other_texts_hold_parts(spark):
+    # Two texts share 60 words; the first 49 of them, and further parts, are in others of any hash.
+    rng = random.Random(23)
+    rows, cases = [], 40
+
+    def around(own):
+        return " ".join(words(rng, 70, 10**6) + own + words(rng, 70, 10**6))
+
+    for i in range(cases):
+        passage = words(rng, 60, 10**6)
+        parts = [passage, passage, passage[:49], passage[30:]] if i % 2 else [
+            passage, passage, passage[:30], passage[20:45], passage[35:]]
+        rows += [(10 * i + k, around(part)) for k, part in enumerate(parts)]
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] // 10 for r in found) == list(range(cases))
+    assert all(r["doc_id"] % 10 < 2 and r["of_doc_id"] == r["doc_id"] ^ 1 and r["matched_words"] == 60 for r in found)
+
+
 def test_copies_are_passages_from_end_to_end(awkward):
     got = sorted(tuple(r) for r in repeated_passages(awkward).filter("doc_id is not null").collect())
     assert got == [(6, 0, 80, 5, 0, 80)]

@@ -210,3 +210,30 @@ def test_dropout_varies_and_decodes(spark, awkward):
     trip = round_trip(awkward).collect()
     assert len(trip) == len(rows) and all(r["lossless"] for r in trip)
     assert round_trip(awkward.limit(0)).count() == 0
+
+
+def test_dropout_is_drawn_for_every_occurrence():
+    with open(MODEL, "rb") as file:
+        pieces = Pieces(file.read())
+    encoder, plain = Encoder(pieces, 0.1), Encoder(pieces, 0.0)
+    # Of a unit of n merges 0.9**n occurrences skip none, and forms are as frequent as by separate draws.
+    rng = random.Random(5)
+    for word in ("time", "street", "water"):
+        unit = "▁" + word
+        merges, own = plain._segmented(unit, ())
+        firsts = list(encoder._drawn(word, 20_000)[1])
+        assert sum(f >= merges for f in firsts) / len(firsts) == pytest.approx(0.9 ** merges, abs=0.02)
+        drawn = [encoder.unit(unit, key) for key in range(20_000)]
+        apart = [encoder._segmented(unit, [i for i in range(40) if rng.random() < 0.1])[1] for _ in range(20_000)]
+        for form in set(drawn) | set(apart):
+            assert abs(drawn.count(form) - apart.count(form)) < 400
+    # Long words take far more than four forms, and what is remembered does not matter.
+    text = "internationalization " * 3000
+    starts = Encoder(pieces, 0.1)
+    units = pieces.units.findall("▁" + text.replace(" ", "▁"))
+    forms = {starts._segmented(u, starts._skips(k, (f,)))[1]
+             for u, k, f in zip(units, *starts._drawn(text, len(units)), strict=True)}
+    assert len(forms) > 20
+    straight = b"".join(starts._segmented(u, starts._skips(k, (f,)))[1]
+                        for u, k, f in zip(units, *starts._drawn(text, len(units)), strict=True))
+    assert encoder.encode(text).tobytes() == straight == encoder.encode(text).tobytes()

@@ -3,11 +3,11 @@
 A text is split into units: a run of spaces with the word after it, or a line break; a word's punctuation
 is a unit of its own where no piece holds a letter beside punctuation. No merge can cross these cuts.
 Spaces are written as the vocabulary's space mark. In each unit neighbouring symbols are merged in the order of an agenda
-(best piece first, then leftmost). A merge taken from the agenda is skipped if a keyed hash of the seed,
-the variant, the unit, the place and the piece falls below `dropout`. A unit occurrence gets one of
-`variants` variants by a keyed hash of the seed, the text and its number in the text; so repeats of a
-word are segmented in several ways, equal texts alike, and any task gets the same pieces. A dropout of 0
-gives the vocabulary's own segmentation.
+(best piece first, then leftmost). Each merge taken from the agenda is skipped with probability `dropout`,
+drawn anew for every occurrence of a unit by a keyed hash of the seed, the text and the unit's number in
+the text; so repeats of a word are segmented in many ways, equal texts alike, and any task gets the same
+pieces. What is drawn is how many merges pass until the next one is skipped. `variants`, if given, lets
+the draws of a unit take only that many values. A dropout of 0 gives the vocabulary's own segmentation.
 
 Characters outside the vocabulary become byte pieces, and so does the space mark itself where a text
 holds it, so decoding gives the text back, byte for byte. A null text has null pieces and stays null; an
@@ -17,9 +17,12 @@ empty text has none. Rows keep their repeats; other columns are kept or dropped
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +35,11 @@ from tidemark.llm.text import map_batches, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
-VARIANTS = 4
-# Units a worker remembers in the newer of two generations, and the longest unit it does so for.
+# Segmentations a worker remembers in the newer of two generations, the longest unit it does so for, and
+# how many skipped merges they may have. Others are made anew each time.
 REMEMBERED = 400_000
 LONGEST = 48
+MOST_SKIPS = 2
 
 MARK = "▁"
 # Stands for a space mark of the text itself; no valid text holds this half of a surrogate pair.
@@ -49,6 +53,7 @@ _CROSSING = re.compile(rf"[{_LETTERS}][{_PUNCTUATION}]|[{_PUNCTUATION}][{_LETTER
 SHORT = 40
 _NEVER = 1 << 30
 _MASK = (1 << 64) - 1
+_GOLDEN = 0x9E3779B97F4A7C15
 
 
 class Pieces:
@@ -91,15 +96,25 @@ class Pieces:
         return self.spelled[at].tobytes()[1:]
 
 
+class Known:
+    """What is remembered of a unit: of its own segmentation, and of those that skip merges, how many
+    merges the agenda came to and the packed ids."""
+
+    __slots__ = ("ids", "merges", "skipping")
+
+    def __init__(self, merges: int, ids: bytes):
+        self.merges, self.ids = merges, ids
+        self.skipping: dict[tuple[int, ...], tuple[int, bytes]] = {}
+
+
 class Encoder:
-    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, variants: int = VARIANTS, seed: int = 1):
-        self.pieces, self.seed = pieces, seed
-        self.variants = variants if dropout > 0 else 1
-        self.below = int(dropout * (1 << 32))
-        # Of a unit the packed ids of each variant met so far. A full generation becomes the older
-        # one, from which units in use come back.
-        self.newer: dict[str, list[bytes | None]] = {}
-        self.older: dict[str, list[bytes | None]] = {}
+    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, variants: int | None = None, seed: int = 1):
+        self.pieces, self.seed, self.dropout, self.variants = pieces, seed, dropout, variants
+        self.scale = 1 / math.log1p(-dropout) if 0 < dropout < 1 else 0.0
+        # A full generation becomes the older one, from which units in use come back.
+        self.newer: dict[str, Known] = {}
+        self.older: dict[str, Known] = {}
+        self.size = 0
 
     def encode(self, text: str) -> np.ndarray:
         """The piece ids of a text."""
@@ -108,37 +123,73 @@ class Encoder:
         if MARK in text:
             text = text.replace(MARK, _OWN_MARK)
         units = self.pieces.units.findall(MARK + text.replace(" ", MARK))
-        newer, out = self.newer, []
-        for unit, variant in zip(units, self._drawn(text, len(units)), strict=True):
-            known = newer.get(unit)
+        out = []
+        for unit, key, first in zip(units, *self._drawn(text, len(units)), strict=True):
+            known = self.newer.get(unit)
             if known is None:
+                if len(unit) > LONGEST:
+                    out.append(self._segmented(unit, self._skips(key, (first,)))[1])
+                    continue
                 known = self._remember(unit)
-                newer = self.newer
-            ids = known[variant]
-            if ids is None:
-                ids = known[variant] = self.unit(unit, variant)
-            out.append(ids)
+            out.append(known.ids if first >= known.merges else self._skipping(unit, known, key, first))
         return np.frombuffer(b"".join(out), np.uint16)
 
-    def _remember(self, unit: str) -> list[bytes | None]:
-        known = self.older.get(unit) or [None] * self.variants
-        if len(unit) <= LONGEST:
-            if len(self.newer) >= REMEMBERED:
-                self.older, self.newer = self.newer, {}
-            self.newer[unit] = known
+    def _remember(self, unit: str) -> Known:
+        if self.size >= REMEMBERED:
+            self.older, self.newer, self.size = self.newer, {}, 0
+        known = self.newer[unit] = self.older.get(unit) or Known(*self._segmented(unit, ()))
+        self.size += 1 + len(known.skipping)
         return known
 
-    def _drawn(self, text: str, n: int) -> list[int]:
-        """The variant of each unit of a text."""
-        if self.variants == 1:
-            return [0] * n
+    def _skipping(self, unit: str, known: Known, key: int, first: int) -> bytes:
+        """The ids of an occurrence that skips the merge with the number `first`, and maybe later ones."""
+        skips = (first,)
+        while len(skips) <= MOST_SKIPS:
+            made = known.skipping.get(skips)
+            if made is None:
+                made = known.skipping[skips] = self._segmented(unit, skips)
+                self.size += 1
+            following = skips[-1] + 1 + self._passed(key, len(skips))
+            if following >= made[0]:
+                return made[1]
+            skips += (following,)
+        return self._segmented(unit, self._skips(key, skips))[1]
+
+    def _drawn(self, text: str, n: int) -> tuple[Iterable[int], Iterable[int]]:
+        """Of each unit of a text the key of its draws, and the number of the first merge skipped."""
+        if self.dropout <= 0:
+            return repeat(0, n), repeat(_NEVER, n)
         key = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), seed=self.seed)
-        return (mix(np.arange(n, dtype=np.uint64) + np.uint64(key)) % np.uint64(self.variants)).tolist()
-
-    def unit(self, unit: str, variant: int) -> bytes:
-        """One unit's ids, packed, by the agenda."""
-        key = xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), seed=self.seed * 1009 + variant)
-        symbols = self._merged(list(unit), key) if len(unit) <= SHORT else self._merged_long(list(unit), key)
+        keys = mix(np.arange(n, dtype=np.uint64) * np.uint64(_GOLDEN) + np.uint64(key))
+        if self.variants:
+            keys %= np.uint64(self.variants)
+        shares = ((mix(keys + np.uint64(_GOLDEN)) >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53)
+        return keys.tolist(), (np.log(shares) * self.scale).astype(np.int64).tolist()
+
+    def _passed(self, key: int, drawn: int) -> int:
+        """How many merges pass before the next skipped one, after `drawn` skipped ones."""
+        x = key + (drawn + 1) * _GOLDEN & _MASK
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _MASK
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & _MASK
+        return int(math.log((((x ^ x >> 31) >> 11) + 1) / (1 << 53)) * self.scale)
+
+    def _skips(self, key: int, skips: tuple[int, ...] = ()) -> Iterator[int]:
+        """The numbers of the merges skipped: those given and the following ones."""
+        yield from skips
+        at, drawn = skips[-1] if skips else -1, len(skips)
+        while self.dropout > 0:
+            at += 1 + self._passed(key, drawn)
+            drawn += 1
+            yield at
+
+    def unit(self, unit: str, key: int) -> bytes:
+        """One unit's ids, packed, with the draws of a key."""
+        return self._segmented(unit, self._skips(key))[1]
+
+    def _segmented(self, unit: str, skips: Iterable[int]) -> tuple[int, bytes]:
+        """How many merges the agenda came to, skipped ones with them, and the packed ids."""
+        work = self._merged if len(unit) <= SHORT else self._merged_long
+        symbols, merges = work(list(unit), chain(skips, repeat(-1)))
         ids = []
         for symbol in symbols:
             known = self.pieces.ids.get(symbol)
@@ -147,16 +198,17 @@ class Encoder:
             else:
                 own = MARK if symbol == _OWN_MARK else symbol
                 ids += [self.pieces.bytes[b] for b in own.encode()]
-        return array("H", ids).tobytes()
+        return merges, array("H", ids).tobytes()
 
-    def _merged(self, symbols: list[str], key: int) -> list[str]:
+    def _merged(self, symbols: list[str], skips: Iterator[int]) -> tuple[list[str], int]:
         """The agenda as a list: for each symbol the rank of its merge with the next one."""
-        rank, below = self.pieces.ranks.get, self.below
+        rank, merges, skip = self.pieces.ranks.get, 0, next(skips)
         agenda = [rank(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
         while agenda and (best := min(agenda)) < _NEVER:
             i = agenda.index(best)
-            if below and _draw(key, len(symbols) - i, best) < below:
-                agenda[i] = _NEVER
+            merges += 1
+            if merges - 1 == skip:
+                agenda[i], skip = _NEVER, next(skips)
                 continue
             symbols[i] = piece = symbols[i] + symbols.pop(i + 1)
             del agenda[i]
@@ -164,11 +216,11 @@ class Encoder:
                 agenda[i] = rank(piece + symbols[i + 1], _NEVER)
             if i:
                 agenda[i - 1] = rank(symbols[i - 1] + piece, _NEVER)
-        return symbols
+        return symbols, merges
 
-    def _merged_long(self, symbols: list[str], key: int) -> list[str]:
+    def _merged_long(self, symbols: list[str], skips: Iterator[int]) -> tuple[list[str], int]:
         """The agenda as a heap of (rank, place, piece); entries that other merges made void are passed."""
-        rank, below, n = self.pieces.ranks.get, self.below, len(symbols)
+        rank, merges, skip, n = self.pieces.ranks.get, 0, next(skips), len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = [(r, i, symbols[i] + symbols[i + 1]) for i in range(n - 1)
                   if (r := rank(symbols[i] + symbols[i + 1])) is not None]
@@ -178,7 +230,9 @@ class Encoder:
             j = after[i]
             if j >= n or not symbols[i] or symbols[i] + symbols[j] != piece:
                 continue
-            if below and _draw(key, n - i, best) < below:
+            merges += 1
+            if merges - 1 == skip:
+                skip = next(skips)
                 continue
             symbols[i], symbols[j] = piece, ""
             after[i] = k = after[j]
@@ -189,12 +243,7 @@ class Encoder:
             h = before[i]
             if h >= 0 and (r := rank(symbols[h] + piece)) is not None:
                 heappush(agenda, (r, h, symbols[h] + piece))
-        return [s for s in symbols if s]
-
-
-def _draw(key: int, place: int, rank: int) -> int:
-    """32 bits that depend on the unit's key, the place of a merge and its piece."""
-    return ((key ^ (place << 40 | rank << 8)) * 0x9E3779B97F4A7C15 & _MASK) * 0xBF58476D1CE4E5B9 >> 32 & 0xFFFFFFFF
+        return [s for s in symbols if s], merges
 
 
 def _pieces_of(model: str) -> bytes:
@@ -215,7 +264,7 @@ def _encoder(model: bytes, *options) -> Encoder:
 
 
 def encode_documents(
-    docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, variants: int = VARIANTS, seed: int = 1,
+    docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, variants: int | None = None, seed: int = 1,
     id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """doc_id, pieces (ids, 16 bits each in a row of bytes) and n_pieces of every row. `model` is read
@@ -248,7 +297,7 @@ def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 
 
 def round_trip(
-    docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, variants: int = VARIANTS, seed: int = 1,
+    docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, variants: int | None = None, seed: int = 1,
     id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Every row encoded and decoded in one task: doc_id, n_chars, n_pieces, the pieces (ids, 16 bits

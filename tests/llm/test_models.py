@@ -9,7 +9,7 @@ import sentencepiece
 
 from tests.llm.conftest import awkward_rows, words
 from tidemark.llm import neighbour_vote, toxic_grammar
-from tidemark.llm.block_labeller import blocks, main_texts
+from tidemark.llm.block_labeller import blocks, main_texts, vectors
 from tidemark.llm.host_words import Unigrams, judge_urls
 from tidemark.llm.merge_dropout import MODEL, Encoder, Pieces, decode_documents, encode_documents, round_trip
 
@@ -237,3 +237,11 @@ def test_dropout_is_drawn_for_every_occurrence():
     straight = b"".join(starts._segmented(u, starts._skips(k, (f,)))[1]
                         for u, k, f in zip(units, *starts._drawn(text, len(units)), strict=True))
     assert encoder.encode(text).tobytes() == straight == encoder.encode(text).tobytes()
+
+
+def test_all_of_a_deep_path_and_embedded_text_is_read():
+    deep = "<ol><li><div>" * 6 + "<p>Some words.</p>"
+    inside, outside = (vectors(blocks(f"<html><body><{t}>{deep}"))[0] for t in ("aside", "article"))
+    assert (inside != outside).any()
+    page = "<article><p>Of <math><mi>x</mi></math> and <object>a chart</object> <canvas>a plot</canvas>.</p></article>"
+    assert [b.text for b in blocks(page)] == ["Of x and a chart a plot."]

@@ -73,7 +73,7 @@ def vectors(page: list[Block]) -> np.ndarray:
     if not page:
         return out
     for row, (i, block) in zip(out, enumerate(page), strict=True):
-        for depth, (tag, names) in enumerate(reversed(block.path[-8:])):
+        for depth, (tag, names) in enumerate(reversed(block.path)):
             for name in (tag if depth else "last " + tag, *(n for n in names)):
                 at, sign = _slot(name)
                 row[at] += sign

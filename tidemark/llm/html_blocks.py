@@ -24,7 +24,7 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body button caption c
 dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe
 label legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot
 th thead title tr ul""".split())
-RAW_TAGS = frozenset("script style noscript template textarea svg math object canvas".split())
+RAW_TAGS = frozenset("script style noscript template textarea svg".split())
 EMPTY_TAGS = frozenset("hr".split())
 # What an opening tag ends, if it is open inside the given elements.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),

@@ -8,7 +8,9 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import neighbour_vote, toxic_grammar
+from tidemark.llm import neighbour_vote, toxic_grammar, word_table
+from tidemark.llm.auction_repair import CONVERSATIONS_SQL, repair_report
+from tidemark.llm.bisector_clusters import CLUSTERS_SQL, clusters
 from tidemark.llm.block_labeller import main_texts
 from tidemark.llm.block_mixing import Mix
 from tidemark.llm.host_words import judge_urls
@@ -101,6 +103,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read(spark, sf_dir, "documents")).drop("pieces")
 
 
+@query("op11_auction_repair", CONVERSATIONS_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(read(spark, sf_dir, "conversations"))
+
+
+@query("op12_word_table")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_table.round_trip(read(spark, sf_dir, "documents"))
+
+
+@query("op13_bisector_tournament", CLUSTERS_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(read(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(configure(spark), sf_dir)

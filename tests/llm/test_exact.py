@@ -7,6 +7,7 @@ import random
 import zlib
 
 import duckdb
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -182,10 +183,8 @@ def strange_texts(seed, n):
 
 def test_words_are_those_of_the_library(library):
     vocabulary = word_table.vocabulary(word_table.VOCABULARY)
-    block = word_table.Block(word_table.Splitter(word_table.VOCABULARY))
     texts = strange_texts(1, 3000)
-    for text in texts:
-        block.add(text)
+    block = word_table.Block(word_table.Splitter(word_table.VOCABULARY), pa.chunked_array([texts]))
     for text, numbers in zip(texts, block.numbers(), strict=True):
         ids = [i for w in numbers for i in vocabulary.encode(block.order[w])]
         assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
@@ -303,3 +302,24 @@ def test_ties_go_to_the_smaller_number_and_limbs_add_up():
     assert winner.tolist() == [0, 1, 0, 3] and far.tolist() == [4, 1, 8, 1]
     for value in (0, 5, -5, 2**48, -(2**200) + 1):
         assert sum(part << (48 * n) for n, part in bisector_clusters.limbs(value)) == value
+
+
+# Pieces under merge-dropout, many texts at once.
+
+
+@pytest.mark.parametrize("options", [(0.1,), (0.0,), (0.6, None, 5), (0.3, 4, 7), (0.95,)])
+def test_blocks_of_texts_give_the_ids_of_each(options):
+    from tidemark.llm.merge_dropout import MODEL, Encoder, Pieces
+
+    rng = random.Random(4)
+    with open(MODEL, "rb") as file:
+        pieces = Pieces(file.read())
+    bits = [" ", " ", " ", "  ", "\n", "the ", "Über", "ing", "tion", "▁", ".", "!?", "日本", "x" * 60, "\u0000", "’s "]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(0, 60))) for _ in range(300)]
+    texts += ["", " ", "a", "the the the the " * 50, " lead", "trail ", "a\n b"]
+    ids, ends = Encoder(pieces, *options).encode_all(pa.array(texts, pa.large_string()))
+    single = Encoder(pieces, *options)
+    for text, low, high in zip(texts, ends, ends[1:], strict=True):
+        assert ids[low:high].tolist() == single.encode(text).tolist(), repr(text)
+    none, at = Encoder(pieces, *options).encode_all(pa.array([], pa.large_string()))
+    assert not len(none) and at.tolist() == [0]

@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -43,13 +43,12 @@ BLOCK_BYTES = 48 << 20
 PIECES = 1 << 20
 # Where this family of vocabularies cuts words.
 WORD = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Below this character all versions of Unicode agree on letters and digits.
-AGREED = "\u0530"
+# Below these characters all versions of Unicode agree on letters and digits.
+_disputed = regex.compile("[\u0530-\U0010ffff]")
 # Longer words are merged by a heap.
 SHORT = 40
 _NEVER = 1 << 62
 _word = regex.compile(WORD)
-_gap = regex.compile(r"\s")
 
 
 def byte_letters() -> dict[str, int]:
@@ -151,9 +150,9 @@ class Splitter:
         self.own = Tokenizer.from_file(path).pre_tokenizer
 
     def plain(self, text: str) -> list[str]:
-        if not text or max(text) < AGREED:
-            return _word.findall(text)
-        return [text[a:b] for _, (a, b) in self.own.pre_tokenize_str(text)]
+        if _disputed.search(text):
+            return [text[a:b] for _, (a, b) in self.own.pre_tokenize_str(text)]
+        return _word.findall(text)
 
     def words(self, text: str) -> list[str]:
         if self.cut is None or not any(t in text for t in self.added):
@@ -164,71 +163,64 @@ class Splitter:
         return found
 
 
-class _Numbers(dict):
-    """Numbers for new keys, in the order in which they come."""
+# A space that no cut stands before, whatever follows: before white space (a superset of what any version
+# of Unicode calls so) or at the end.
+_UNCUT = r" ([\s\x0b\x1c-\x1f\x{85}\x{a0}\x{180e}\x{1680}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
 
-    def __missing__(self, key: str) -> int:
-        self[key] = number = len(self)
-        return number
 
-
-class _Parts(dict):
-    """The words of what stands between two spaces, as the number of a list; -1 if its words depend on
-    what is around it."""
-
-    def __init__(self, block: Block, lead: str):
-        self.block, self.lead = block, lead
-
-    def __missing__(self, part: str) -> int:
-        block = self.block
-        if self.lead and (not part or _gap.match(part)):
-            number = -1
-        else:
-            number = len(block.lists)
-            block.lists.append([block.words[w] for w in block.splitter.plain(self.lead + part)])
-        self[part] = number
-        return number
-
-
-@dataclass
 class Block:
-    """The numbered words of neighbouring texts.
+    """The distinct words of neighbouring texts, in `order`, and the texts as their numbers.
 
-    A cut of the rule stands before every single space with a non-space behind it, so a text falls into
-    the parts between spaces, and each distinct part is split once a block.
+    A cut of the rule stands before every single space with a non-space behind it, so such texts fall into
+    the parts between spaces, and each distinct part is split once a block. Others are split as a whole.
     """
 
-    splitter: Splitter
-    words: _Numbers = field(default_factory=_Numbers)
-    lists: list[list[int]] = field(default_factory=list)
-    size: int = 0
-
-    def __post_init__(self):
-        self.first, self.rest = _Parts(self, ""), _Parts(self, " ")
-        self.texts: list[tuple[bool, np.ndarray]] = []
-
-    def add(self, text: str) -> None:
-        self.size += len(text)
-        if not any(t in text for t in self.splitter.added):
-            head, *tail = text.split(" ")
-            found = np.fromiter(map(self.rest.__getitem__, tail), np.int32, len(tail))
-            if not len(found) or found.min() >= 0:
-                self.texts.append((True, np.concatenate([[self.first[head]], found]).astype(np.int32)))
-                return
-        words = self.splitter.words(text)
-        self.texts.append((False, np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))))
+    def __init__(self, splitter: Splitter, texts: pa.ChunkedArray):
+        texts = pc.fill_null(texts.combine_chunks().cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, _UNCUT)
+        for token in splitter.added:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        self.odd = odd.to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+        self.ends = lists.offsets.to_numpy()
+        encoded = lists.values.dictionary_encode()
+        self.parts = encoded.indices.to_numpy().astype(np.int64)
+        heads = np.zeros(len(self.parts), bool)
+        heads[self.ends[:-1]] = True
+        # A part at the beginning of a text has no space before it, so it has a number of its own.
+        n = len(encoded.dictionary)
+        used = np.zeros(2 * n, bool)
+        self.parts[heads] += n
+        used[self.parts] = True
+        known: dict[str, int] = {}
+        number = known.setdefault
+        self.lists: list[list[int]] = [[]] * (2 * n)
+        every = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        agreed = not _disputed.search("".join(every))
+        for i in np.flatnonzero(used).tolist():
+            part = " " + every[i] if i < n else every[i - n]
+            if agreed and every[i % n].isalpha():
+                self.lists[i] = [number(part, len(known))]
+            else:
+                self.lists[i] = [number(w, len(known)) for w in splitter.plain(part)]
+        self.whole = [[known.setdefault(w, len(known)) for w in splitter.words(text)]
+                      for text in texts.filter(odd).to_pylist()]
+        self.order = sorted(known)
+        self.place = np.empty(len(known), np.int32)
+        self.place[[known[w] for w in self.order]] = np.arange(len(known), dtype=np.int32)
 
     def numbers(self) -> Iterator[np.ndarray]:
-        """The word numbers of each text: place in the sorted distinct words."""
-        order = sorted(self.words)
-        place = np.empty(len(order), np.int32)
-        place[[self.words[w] for w in order]] = np.arange(len(order), dtype=np.int32)
-        self.order = order
+        """The word numbers of each text: places in the sorted distinct words."""
         sizes = np.array([len(x) for x in self.lists], np.int64)
-        flat = place[np.fromiter((w for x in self.lists for w in x), np.int64, int(sizes.sum()))]
+        flat = self.place[np.fromiter((w for x in self.lists for w in x), np.int64, int(sizes.sum()))]
         begins = np.concatenate([[0], np.cumsum(sizes)])
-        for by_part, numbers in self.texts:
-            yield gathered(flat, begins, numbers) if by_part else place[numbers]
+        whole, n = iter(self.whole), 0
+        for odd in self.odd:
+            if odd:
+                yield self.place[np.array(next(whole), np.int64)]
+            else:
+                yield gathered(flat, begins, self.parts[self.ends[n]:self.ends[n + 1]])
+                n += 1
 
 
 def gathered(flat: np.ndarray, begins: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -240,36 +232,43 @@ def gathered(flat: np.ndarray, begins: np.ndarray, which: np.ndarray) -> np.ndar
     return flat[np.repeat(begins[which] - ends + sizes, sizes) + np.arange(ends[-1])]
 
 
+@lru_cache(maxsize=1)
+def _codec() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def packed(numbers: np.ndarray) -> bytes:
     """Numbers by byte planes, compressed: high bytes are mostly equal."""
     planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _codec()[0].compress(planes.tobytes())
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+def unpacked(data: bytes | pa.Buffer) -> np.ndarray:
+    planes = np.frombuffer(_codec()[1].decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int, Block, list[pa.RecordBatch]]]:
     """Blocks with their ids and the rows they come from; ids hold the partition and a number in it."""
-    splitter, block, rows, id_ = Splitter(path), None, [], None
+    splitter, rows, size, id_ = Splitter(path), [], 0, None
+
+    def block() -> Block:
+        return Block(splitter, pa.chunked_array([r["text"] for r in rows]))
+
     for batch in batches:
-        texts = batch["text"].to_pylist()
+        id_ = (batch["part"][0].as_py() << 20) if id_ is None and len(batch) else id_
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False))
         low = 0
-        for n, text in enumerate(texts):
-            if block is None:
-                block = Block(splitter)
-                id_ = (batch["part"][0].as_py() << 20) if id_ is None else id_ + 1
-            block.add(text or "")
-            if block.size >= BLOCK_BYTES:
-                rows.append(batch.slice(low, n + 1 - low))
-                yield id_, block, rows
-                block, rows, low = None, [], n + 1
-        if low < len(texts):
-            rows.append(batch.slice(low))
-    if block is not None:
-        yield id_, block, rows
+        while low < len(batch):
+            high = int(np.searchsorted(ends, (ends[low - 1] if low else 0) + BLOCK_BYTES - size)) + 1
+            rows.append(batch.slice(low, high - low))
+            size += int(ends[min(high, len(ends)) - 1] - (ends[low - 1] if low else 0))
+            low = high
+            if size >= BLOCK_BYTES:
+                yield id_, block(), rows
+                rows, size, id_ = [], 0, id_ + 1
+    if rows:
+        yield id_, block(), rows
 
 
 # Rows that leave a task together.
@@ -283,9 +282,8 @@ def _words(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for id_, block, _ in _blocks(batches, path):
-            order = sorted(block.words)
-            for low in range(0, len(order), 1 << 16):
-                some = order[low:low + (1 << 16)]
+            for low in range(0, len(block.order), 1 << 16):
+                some = block.order[low:low + (1 << 16)]
                 at = np.arange(low, low + len(some), dtype=np.int64) + (id_ << _HALF)
                 yield pa.RecordBatch.from_pydict({
                     "word": pa.array([w.encode("utf-8", "surrogatepass") for w in some], pa.binary()),
@@ -294,25 +292,72 @@ def _words(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("part", "text").mapInArrow(run, "word binary, at long")
 
 
+# Words of all blocks that a task encodes before it sends them, packed by block.
+_TOGETHER = 1 << 20
+
+
 def _encoded(words: DataFrame, path: str) -> DataFrame:
-    """`block`, `number`, `ids` for every word of every block; a distinct word is encoded once."""
+    """`block`, `words` for the words of every block: numbers, sizes and ids, packed, some thousands a row. A
+    distinct word is encoded once: its rows follow each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last, ids = vocabulary(path).encode, None, b""
-        for batch in batches:
+        encode, last = vocabulary(path).encode, (None, [])
+        at: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
+        n = 0
+
+        def send() -> pa.RecordBatch:
+            places, size, flat = np.concatenate(at), np.concatenate(sizes), np.concatenate(ids)
+            begins = np.concatenate([[0], np.cumsum(size)])
+            order = np.argsort(places, kind="stable")
+            blocks = places[order] >> _HALF
+            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(order)]
             made = []
-            for word in batch["word"].to_pylist():
-                if word != last:
-                    last = word
-                    ids = np.array(encode(word.decode("utf-8", "surrogatepass")), "<u4").tobytes()
-                made.append(ids)
-            at = batch["at"].to_numpy()
-            yield pa.RecordBatch.from_pydict({
-                "block": pa.array(at >> _HALF), "number": pa.array((at & ((1 << _HALF) - 1)).astype(np.int32)),
-                "ids": pa.array(made, pa.binary())})
+            for low, high in zip(edges, edges[1:]):
+                own = order[low:high]
+                numbers = places[own] & ((1 << _HALF) - 1)
+                made.append((int(blocks[low]), _joined(
+                    np.diff(numbers, prepend=0), size[own], gathered(flat, begins, own))))
+            for used in (at, sizes, ids):
+                used.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.binary())],
+                names=["block", "words"])
+
+        for batch in batches:
+            column = batch["word"].dictionary_encode()
+            own = []
+            for word in column.dictionary.to_pylist():
+                if word != last[0]:
+                    last = word, encode(word.decode("utf-8", "surrogatepass"))
+                own.append(last[1])
+            size = np.array([len(x) for x in own], np.int64)
+            begins = np.concatenate([[0], np.cumsum(size)])
+            which = column.indices.to_numpy().astype(np.int64)
+            at.append(batch["at"].to_numpy())
+            sizes.append(size[which])
+            ids.append(gathered(np.array([i for x in own for i in x], np.int64), begins, which))
+            n += len(batch)
+            if n >= _TOGETHER:
+                yield send()
+                n = 0
+        if n:
+            yield send()
 
     together = words.repartition("word").sortWithinPartitions("word")
-    return together.mapInArrow(run, "block long, number int, ids binary")
+    return together.mapInArrow(run, "block long, words binary")
+
+
+def _joined(*columns: np.ndarray) -> bytes:
+    """Several columns of numbers in one value."""
+    parts = [packed(c) for c in columns]
+    return b"".join([np.array([len(p) for p in parts], "<u4").tobytes(), *parts])
+
+
+def _parted(data: bytes, n: int) -> list[np.ndarray]:
+    ends = 4 * n + np.concatenate([[0], np.cumsum(np.frombuffer(data, "<u4", n).astype(np.int64))])
+    return [unpacked(data[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 def _numbered(docs: DataFrame, kept: str, path: str) -> DataFrame:
@@ -348,22 +393,20 @@ def encoded_rows(docs: DataFrame, keep: Sequence[str], finish: Finish, schema: s
     names = [*keep, *(part.strip().split(" ")[0] for part in schema.split(","))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, numbers, ids, flat, begins = None, [], [], None, None
+        now, packs, flat, begins = None, [], None, None
         for batch in batches:
             blocks = batch["block"].to_numpy()
             edges = np.flatnonzero(np.diff(blocks)) + 1
             for low, high in zip([0, *edges], [*edges, len(blocks)], strict=True):
                 if blocks[low] != now:
-                    now, numbers, ids, flat = blocks[low], [], [], None
+                    now, packs, flat = blocks[low], [], None
                 part = batch.slice(low, high - low)
-                is_word = part["numbers"].is_null().to_numpy(zero_copy_only=False)
-                if (n := int(is_word.sum())):  # the words of a block come before its texts
-                    numbers.append(part["number"].slice(0, n).to_numpy())
-                    ids.append(part["ids"].slice(0, n))
+                n = len(part) - part["words"].null_count  # the words of a block come before its texts
+                packs += [w.as_py() for w in part["words"].slice(0, n)]
                 if n == len(part):
                     continue
                 if flat is None:
-                    flat, begins = _table(np.concatenate(numbers or [np.empty(0, int)]), ids)
+                    flat, begins = _table(packs)
                 rest = part.slice(n)
                 for at in range(0, len(rest), 256):
                     some = rest.slice(at, 256)
@@ -374,24 +417,29 @@ def encoded_rows(docs: DataFrame, keep: Sequence[str], finish: Finish, schema: s
                     ends = sizes[np.concatenate([[0], np.cumsum([len(x) for x in own])])]
                     yield _row_batch(some["kept"], keep, names, finish(some["kept"], ends, found))
 
-    everything = texts.select("block", "kept", "numbers", F.lit(None).cast("int").alias("number"),
-                              F.lit(None).cast("binary").alias("ids")).unionByName(
-        table.select("block", F.lit(None).cast(kept).alias("kept"), F.lit(None).cast("binary").alias("numbers"),
-                     "number", "ids"))
+    nothing = F.lit(None).cast("binary")
+    everything = texts.withColumn("words", nothing).unionByName(table.select(
+        "block", F.lit(None).cast(kept).alias("kept"), nothing.alias("numbers"), "words"))
     order = F.col("numbers").isNotNull()
     types = {f.name: f.dataType.simpleString() for f in docs.schema["kept"].dataType.fields}
     result = ", ".join([*(f"`{c}` {types[c]}" for c in keep), schema])
     return everything.repartition("block").sortWithinPartitions("block", order).mapInArrow(run, result)
 
 
-def _table(numbers: np.ndarray, ids: list[pa.BinaryArray]) -> tuple[np.ndarray, np.ndarray]:
+def _table(packs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The ids of a block's words in the order of their numbers, as a ragged array."""
-    if not len(numbers):
+    numbers, sizes, ids = [], [], []
+    for data in packs:
+        steps, size, own = _parted(data, 3)
+        numbers.append(np.cumsum(steps.astype(np.int64)))
+        sizes.append(size)
+        ids.append(own)
+    if not packs:
         return np.empty(0, "<u4"), np.zeros(1, np.int64)
-    column = pa.concat_arrays(ids).take(pa.array(np.argsort(numbers, kind="stable")))
-    sizes = pc.binary_length(column).to_numpy().astype(np.int64) // 4
-    flat = np.frombuffer(b"".join(column.to_pylist()), "<u4")
-    return flat, np.concatenate([[0], np.cumsum(sizes)])
+    order = np.argsort(np.concatenate(numbers))
+    size = np.concatenate(sizes).astype(np.int64)
+    begins = np.concatenate([[0], np.cumsum(size)])
+    return gathered(np.concatenate(ids), begins, order), np.concatenate([[0], np.cumsum(size[order])])
 
 
 def _row_batch(kept: pa.StructArray, keep: Sequence[str], names: list[str], made: dict[str, object]) -> pa.RecordBatch:

@@ -20,12 +20,13 @@ import hashlib
 import math
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
@@ -134,6 +135,110 @@ class Encoder:
             out.append(known.ids if first >= known.merges else self._skipping(unit, known, key, first))
         return np.frombuffer(b"".join(out), np.uint16)
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many texts, one after the other, and where each begins, and the end: the same ids as
+        `encode` gives for each.
+
+        Every distinct unit is segmented once. Occurrences that skip a merge are grouped by their unit and the
+        first merge skipped, those that skip another one by that as well, and so on; every group is segmented
+        once. No step is taken for a single occurrence but in numpy.
+        """
+        units, of_text, counts = self._units(texts)
+        keys = np.repeat(self._text_keys(texts), counts)
+        places = np.arange(len(of_text)) - np.repeat(np.cumsum(counts) - counts, counts)
+        keys = mix(places.astype(np.uint64) * np.uint64(_GOLDEN) + keys)
+        if self.variants:
+            keys %= np.uint64(self.variants)
+        known = [self._known(u) for u in units]
+        made: list[bytes] = [k.ids for k in known]
+        which = of_text.astype(np.int64)  # of the segmentations made, the one of each occurrence
+        if self.dropout > 0 and len(which):
+            merges = np.array([k.merges for k in known], np.int64)
+            owner, skipped = list(range(len(units))), [()] * len(units)
+            skip = self._next_skips(keys, 0)
+            going = np.flatnonzero(skip < merges[which])
+            skip, drawn = skip[going], 1
+            while len(going):
+                pairs, group = np.unique(which[going] << 32 | skip, return_inverse=True)
+                low = len(made)
+                more = []
+                for pair in pairs.tolist():
+                    was, number = pair >> 32, pair & 0xFFFFFFFF
+                    skips, unit = (*skipped[was], number), owner[was]
+                    n, ids = self._with_skips(units[unit], known[unit], skips)
+                    more.append(n)
+                    made.append(ids)
+                    owner.append(unit)
+                    skipped.append(skips)
+                merges = np.append(merges, more)
+                which[going] = low + group
+                following = skip + 1 + self._next_skips(keys[going], drawn)
+                on = following < merges[which[going]]
+                going, skip, drawn = going[on], following[on], drawn + 1
+        sizes = np.array([len(m) // 2 for m in made], np.int64)
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        flat = np.frombuffer(b"".join(made), np.uint16)
+        own = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        ids = flat[np.repeat(begins[which] - ends[:-1], own) + np.arange(ends[-1])]
+        return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
+
+    def _units(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct units of some texts, their numbers text by text, and how many each text has.
+
+        A unit begins at every single space, so each distinct part between spaces is read once; texts with
+        other spaces or the mark itself are read as a whole.
+        """
+        odd = pc.match_substring_regex(texts, rf"^ |  | $|^$|{MARK}")
+        lists = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+        encoded = lists.values.dictionary_encode()
+        find, known = self.pieces.units.findall, {}
+        number = known.setdefault
+        parts = [[number(u, len(known)) for u in find(MARK + part)]
+                 for part in encoded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        whole = iter([np.array([number(u, len(known)) for u in find(MARK + t.replace(MARK, _OWN_MARK).replace(
+            " ", MARK))] if t else [], np.int64) for t in texts.filter(odd).to_pylist()])
+        sizes = np.array([len(p) for p in parts], np.int64)
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        flat = np.fromiter((u for p in parts for u in p), np.int64, int(begins[-1]))
+        which, ends = encoded.indices.to_numpy().astype(np.int64), lists.offsets.to_numpy()
+        own = sizes[which]
+        at = np.concatenate([[0], np.cumsum(own)])
+        every = flat[np.repeat(begins[which] - at[:-1], own) + np.arange(at[-1])]
+        edges, n, found = at[ends], 0, []
+        for is_odd in odd.to_pylist():
+            found.append(next(whole) if is_odd else every[edges[n]:edges[n + 1]])
+            n += not is_odd
+        counts = np.array([len(f) for f in found], np.int64)
+        return list(known), np.concatenate([np.empty(0, np.int64), *found]), counts
+
+    def _text_keys(self, texts: pa.Array) -> np.ndarray:
+        """The key that the draws of each text come from."""
+        given = (t.replace(MARK, _OWN_MARK) if MARK in t else t for t in texts.to_pylist())
+        return np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"), seed=self.seed)
+                         for t in given], np.uint64)
+
+    def _next_skips(self, keys: np.ndarray, drawn: int) -> np.ndarray:
+        """How many merges pass before the next skipped one, for many keys."""
+        step = np.uint64((drawn + 1) * _GOLDEN & _MASK)
+        shares = ((mix(keys + step) >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53)
+        return np.minimum(np.log(shares) * self.scale, _NEVER).astype(np.int64)
+
+    def _known(self, unit: str) -> Known:
+        if len(unit) > LONGEST:
+            return Known(*self._segmented(unit, ()))
+        return self.newer.get(unit) or self._remember(unit)
+
+    def _with_skips(self, unit: str, known: Known, skips: tuple[int, ...]) -> tuple[int, bytes]:
+        """Merges and ids of a unit that skips just these."""
+        found = known.skipping.get(skips)
+        if found is None:
+            found = self._segmented(unit, skips)
+            if len(skips) <= MOST_SKIPS and len(unit) <= LONGEST:
+                known.skipping[skips] = found
+                self.size += 1
+        return found
+
     def _remember(self, unit: str) -> Known:
         if self.size >= REMEMBERED:
             self.older, self.newer, self.size = self.newer, {}, 0
@@ -251,6 +356,38 @@ def _pieces_of(model: str) -> bytes:
         return file.read()
 
 
+# Text that is encoded together.
+BLOCK_BYTES = 24 << 20
+
+
+def by_block(
+    df: DataFrame, work: Callable[[pa.RecordBatch], dict[str, object]], schema: str
+) -> DataFrame:
+    """Run `work` on rows with about BLOCK_BYTES of `text` together; it returns the new columns by name."""
+    names = [part.strip().split(" ")[0] for part in schema.split(",")]
+
+    def made(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+        columns = work(whole)
+        return pa.RecordBatch.from_arrays(
+            [c if isinstance(c := columns[n], pa.Array) else pa.array(c) for n in names], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for low in range(0, len(batch), 256):
+                some = batch.slice(low, 256)
+                held.append(some)
+                size += pc.sum(pc.binary_length(some["text"])).as_py() or 0
+                if size >= BLOCK_BYTES:
+                    yield made(held)
+                    held, size = [], 0
+        if held:
+            yield made(held)
+
+    return df.mapInArrow(run, schema)
+
+
 _encoders: dict[tuple, Encoder] = {}
 
 
@@ -263,6 +400,10 @@ def _encoder(model: bytes, *options) -> Encoder:
     return _encoders[key]
 
 
+def _texts(batch: pa.RecordBatch) -> pa.Array:
+    return pc.fill_null(batch["text"].cast(pa.large_string()), "")
+
+
 def encode_documents(
     docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, variants: int | None = None, seed: int = 1,
     id: str = "doc_id", text: str = "text",
@@ -272,13 +413,13 @@ def encode_documents(
     known = docs.sparkSession.sparkContext.broadcast(_pieces_of(model))
 
     def work(batch: pa.RecordBatch) -> dict:
-        encoder = _encoder(known.value, dropout, variants, seed)
-        made = [None if t is None else encoder.encode(t) for t in batch["text"].to_pylist()]
-        return {"doc_id": batch["doc_id"],
-                "pieces": pa.array([None if m is None else m.tobytes() for m in made], pa.binary()),
-                "n_pieces": pa.array([None if m is None else len(m) for m in made], pa.int64())}
+        ids, ends = _encoder(known.value, dropout, variants, seed).encode_all(_texts(batch))
+        data, nulls = ids.tobytes(), batch["text"].is_null().to_pylist()
+        made = [None if null else data[2 * a:2 * b] for null, a, b in zip(nulls, ends, ends[1:])]
+        return {"doc_id": batch["doc_id"], "pieces": pa.array(made, pa.binary()),
+                "n_pieces": pa.array([None if m is None else len(m) // 2 for m in made], pa.int64())}
 
-    return map_batches(
+    return by_block(
         docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")),
         work, "doc_id long, pieces binary, n_pieces long")
 
@@ -306,24 +447,19 @@ def round_trip(
     known = docs.sparkSession.sparkContext.broadcast(_pieces_of(model))
 
     def work(batch: pa.RecordBatch) -> dict:
-        encoder = _encoder(known.value, dropout, variants, seed)
-        chars, counts, packed, hashes, decoded, same = [], [], [], [], [], []
-        for given in batch["text"].to_pylist():
-            given = given or ""
-            ids = encoder.encode(given)
-            back = encoder.pieces.decode(ids)
-            chars.append(len(given))
-            counts.append(len(ids))
-            packed.append(ids.tobytes())
-            hashes.append(hashlib.sha256(packed[-1]).hexdigest())
-            decoded.append(hashlib.sha256(back).hexdigest())
-            same.append(back == given.encode())
-        return {"doc_id": batch["doc_id"], "n_chars": pa.array(chars, pa.int64()),
-                "n_pieces": pa.array(counts, pa.int64()), "pieces": pa.array(packed, pa.binary()),
-                "pieces_sha256": pa.array(hashes, pa.string()),
-                "decoded_sha256": pa.array(decoded, pa.string()), "lossless": pa.array(same, pa.bool_())}
-
-    return map_batches(
+        texts, encoder = _texts(batch), _encoder(known.value, dropout, variants, seed)
+        ids, ends = encoder.encode_all(texts)
+        data = ids.tobytes()
+        packed = [data[2 * a:2 * b] for a, b in zip(ends, ends[1:])]
+        back = [encoder.pieces.decode(ids[a:b]) for a, b in zip(ends, ends[1:])]
+        given = texts.cast(pa.large_binary()).to_pylist()
+        return {"doc_id": batch["doc_id"], "n_chars": pc.utf8_length(texts).cast(pa.int64()),
+                "n_pieces": pa.array(np.diff(ends).astype(np.int64)), "pieces": pa.array(packed, pa.binary()),
+                "pieces_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+                "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in back], pa.string()),
+                "lossless": pa.array([a == b for a, b in zip(back, given, strict=True)], pa.bool_())}
+
+    return by_block(
         docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")),
         work, "doc_id long, n_chars long, n_pieces long, pieces binary, pieces_sha256 string, decoded_sha256 string, "
               "lossless boolean")

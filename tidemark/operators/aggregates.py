@@ -92,6 +92,26 @@ def salted_aggregate(
     return partial.groupBy(*keys).agg(*[PARTS[kind][1](n).alias(n) for n, (kind, _) in aggs.items()])
 
 
+def distinct_bitmaps(df: DataFrame, keys: Sequence[Column | str], of: str) -> DataFrame:
+    """Exact, mergeable sets of whole numbers: the keys, `bucket` and `bits`, a bitmap of 32768 numbers.
+
+    Bitmaps are partial aggregates, so a task sends at most one for each bucket of a key. They pay for dense
+    numbers; text is numbered first.
+    """
+    return df.groupBy(*keys, F.bitmap_bucket_number(of).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(of)).alias("bits"))
+
+
+def merged_bitmaps(bitmaps: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
+    """The union of sets, by coarser keys."""
+    return bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def bitmap_counts(bitmaps: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
+    """`n_distinct`: how many numbers the sets of each key hold."""
+    return bitmaps.groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias("n_distinct"))
+
+
 def time_of(df: DataFrame, column: str) -> Column:
     """Epoch microseconds of a time column."""
     return position(df, column)

@@ -12,9 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.slices import position, running, with_neighbours
-from tidemark.operators.windows import seconds
-
-MICROS = 1_000_000
+from tidemark.operators.windows import micros
 
 
 def window_join(
@@ -45,8 +43,8 @@ def interval_join(
     (at most two) buckets whose left rows it can match. Every match is therefore found exactly
     once, and outer and anti joins need no second pass. The right keys are dropped.
     """
-    low, high = seconds_signed(lower) * MICROS, seconds_signed(upper) * MICROS
-    width = max(high - low, MICROS)
+    low, high = micros(lower), micros(upper)
+    width = max(high - low, 1_000_000)
     l_at, r_at = position(left, left_ts), position(right, right_ts)
     l_rows = left.withColumn("_l_at", l_at).withColumn("_bucket", F.expr(_floor("_l_at", width)))
     first, last = _floor(f"(_r_at - {high})", width), _floor(f"(_r_at - {low})", width)
@@ -69,10 +67,6 @@ def _floor(expression: str, width: int) -> str:
     return f"(({expression} - pmod({expression}, {width}L)) div {width}L)"
 
 
-def seconds_signed(duration: str) -> int:
-    return -seconds(duration[1:].strip()) if duration.startswith("-") else seconds(duration)
-
-
 def reconcile(
     left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
     left_waits: str, right_waits: str,
@@ -81,16 +75,38 @@ def reconcile(
 
     A left row waits `left_waits` for its counterpart, a right row `right_waits`. Adds `outcome`:
     matched, left_only or right_only. The column sets of both sides must differ but for the keys.
+
+    One full join on key and bucket finds all three. A bucket is as wide as the interval, so a row's
+    partners lie in its home bucket or a neighbour's, and every row is copied to one neighbour. In its home
+    bucket a row meets all its partners: there it counts as unmatched, and the left row's home gives the pair.
     """
-    bounds = (f"-{right_waits}", left_waits)
-    seen = right.withColumn("_seen", F.lit(True))
-    one_sided = interval_join(left, seen, keys, left_ts, right_ts, *bounds, how="left")
-    both = one_sided.withColumn(
-        "outcome", F.when(F.col("_seen"), "matched").otherwise("left_only")).drop("_seen")
-    rest = interval_join(
-        right, left, keys, right_ts, left_ts, f"-{left_waits}", right_waits, how="left_anti"
-    ).withColumn("outcome", F.lit("right_only"))
-    return both.unionByName(rest, allowMissingColumns=True)
+    low, high = -micros(right_waits), micros(left_waits)
+    width = max(high - low, 1_000_000)
+
+    def copies(rows: DataFrame, side: str, ts: str, home: str, other: int) -> DataFrame:
+        at = f"_{side}_at"
+        rows = rows.withColumn(at, position(rows, ts))
+        home_bucket = F.expr(_floor(f"({at} + {home})", width))
+        # A row without time has no partner and needs no copy.
+        both = F.when(F.col(at).isNull(), F.array(F.lit(None).cast("long"))).otherwise(
+            F.array(home_bucket, home_bucket + other))
+        return (
+            rows.select("*", F.posexplode(both).alias("_copy", f"_{side}_bucket"))
+            .withColumn(f"_{side}_home", F.col("_copy") == 0).drop("_copy")
+            .withColumnsRenamed({k: f"_{side}_{k}" for k in keys}))
+
+    lefts, rights = copies(left, "l", left_ts, str(low), 1), copies(right, "r", right_ts, "0", -1)
+    on = [F.col(f"_l_{k}") == F.col(f"_r_{k}") for k in keys]
+    on += [F.col("_l_bucket") == F.col("_r_bucket")]
+    on += [_bounded(F.col("_r_at") - F.col("_l_at"), low, high, "both")]
+    kept = F.when(F.col("_l_at").isNotNull() & F.col("_r_at").isNotNull(), F.col("_l_home")).otherwise(
+        F.coalesce("_l_home", "_r_home"))
+    outcome = F.when(F.col("_r_home").isNull(), "left_only").when(
+        F.col("_l_home").isNull(), "right_only").otherwise("matched")
+    return lefts.join(rights, on, "full").filter(kept).select(
+        *[F.coalesce(f"_l_{k}", f"_r_{k}").alias(k) for k in keys],
+        *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys],
+        outcome.alias("outcome"))
 
 
 def as_of_control(

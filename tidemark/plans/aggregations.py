@@ -178,6 +178,26 @@ def exact_users(t: Tables) -> DataFrame:
         F.col("window_start").alias("hour"), F.col("n_distinct").alias("n_users"))
 
 
+@query("users_bitmap", f"""
+    SELECT 'hour' AS level, {sql.bucket("ts", sql.HOUR)} AS start, count(DISTINCT user_id) AS n_users
+        FROM events GROUP BY 2
+    UNION ALL SELECT 'day', {sql.bucket("ts", 24 * sql.HOUR)}, count(DISTINCT user_id) FROM events GROUP BY 2
+    UNION ALL SELECT 'all', NULL, count(DISTINCT user_id) FROM events""")
+def users_bitmap(t: Tables) -> DataFrame:
+    """Exact distinct users per hour as bitmaps, and from those bitmaps per day and over all: an hour is read
+    once, however many longer spans it counts in."""
+    hour = F.window("ts", "1 hour").start.alias("hour")
+    hours = agg.distinct_bitmaps(t.events.filter("user_id is not null"), [hour], "user_id")
+    days = agg.merged_bitmaps(hours, [F.window("hour", "1 day").start.alias("day")])
+    whole = agg.merged_bitmaps(days, [])
+    parts = [("hour", hours, F.col("hour")), ("day", days, F.col("day")), ("all", whole, F.lit(None))]
+    counted = [
+        agg.bitmap_counts(df, [at.cast("timestamp_ntz").alias("start")]).select(
+            F.lit(level).alias("level"), "start", F.col("n_distinct").alias("n_users"))
+        for level, df, at in parts]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 @query("salted_count", f"""
     SELECT event_type, {sql.bucket("ts", sql.HOUR)} AS hour, count(*) AS n,
         round(sum(value), 2) AS total FROM events GROUP BY 1, 2""")

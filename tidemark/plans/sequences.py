@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import patterns, windows
+from tidemark.operators.automaton import MATCHED, begin, match_pattern
 from tidemark.operators.slices import running
 from tidemark.plans import sql
 from tidemark.plans.registry import Tables, item_of, query
@@ -108,6 +109,26 @@ def province_clicks(t: Tables) -> DataFrame:
     return counted.select("province", "window_end", "n")
 
 
+@query("province_clicks_5s", f"""
+    SELECT province, hour, CAST(sum(n) AS BIGINT) AS total, max(n) AS most, count(*) AS n_windows FROM (
+        SELECT province, {sql.bucket("window_end", H)} AS hour, n FROM (
+            SELECT province, window_end, count(*) AS n FROM {sql.hops(
+                f"(SELECT user_id % 7 AS province, ts FROM {NTH} WHERE nth < {CLICK_LIMIT})", H, 5)}
+            GROUP BY 1, 2)) GROUP BY 1, 2""")
+def province_clicks_5s(t: Tables) -> DataFrame:
+    """Clicks of the last hour every 5 seconds, 720 windows a row, summed up by the hour they end in."""
+    kept = numbered_clicks(t).filter(F.col("nth") < CLICK_LIMIT)
+    rows = kept.select((F.col("user_id") % 7).alias("province"), "ts")
+    return by_hour(windows.hop(rows, ["province"], "ts", "1 hour", "5 seconds", {"n": ("count", "1")}))
+
+
+def by_hour(counted: DataFrame) -> DataFrame:
+    """The windows of each province by the hour in which they end."""
+    hour = F.window("window_end", "1 hour").start.alias("hour")
+    return counted.groupBy("province", hour).agg(
+        F.sum("n").alias("total"), F.max("n").alias("most"), F.count("*").alias("n_windows"))
+
+
 @query("login_fail_span", f"""
     WITH RECURSIVE runs AS (SELECT user_id, event_id, ts, event_type = 'error' AS failed,
         sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (
@@ -198,6 +219,79 @@ def pattern_followed(t: Tables) -> DataFrame:
         F.col("event_type") == "purchase", "6 hours")
 
 
+def cep_query(name: str, like: str):
+    """The same question through the pattern automaton, checked by the same SQL."""
+    from tidemark.plans.registry import QUERIES
+
+    return query(name, QUERIES[like].sql)
+
+
+NEXT = begin("first", FAILED).next("second", FAILED).within("6 hours")
+TIMES = begin("fails", FAILED).times(3, consecutive=True).within("48 hours")
+FOLLOWED = begin("click", "event_type = 'click'").followed_by("pay", "event_type = 'purchase'").within("6 hours")
+# A click, a view right after it, then two purchases whatever lies between, within two days.
+MIXED = (
+    begin("click", "event_type = 'click'").next("view", "event_type = 'view'")
+    .followed_by("pay", "event_type = 'purchase'").times(2).within("48 hours"))
+
+
+def as_pair(matches: DataFrame) -> DataFrame:
+    """Last id and time, and first time, of what matched."""
+    return matches.filter(F.col("outcome") == MATCHED).select(
+        "user_id", F.element_at("id", -1).alias("event_id"), F.timestamp_micros(F.element_at("at", -1)).alias("ts"),
+        F.timestamp_micros(F.col("at")[0]).alias("first_ts"))
+
+
+def as_outcomes(matches: DataFrame) -> DataFrame:
+    return matches.select(
+        "user_id", F.timestamp_micros(F.col("at")[0]).alias("start_ts"),
+        F.when(F.col("outcome") == MATCHED, F.timestamp_micros(F.element_at("at", -1))).alias("end_ts"), "outcome")
+
+
+def as_steps(matches: DataFrame) -> DataFrame:
+    """The ids taken; a match that timed out has as many as it had found, at least the first."""
+    steps = [F.coalesce(F.get("id", F.lit(i)), F.lit(-1)).alias(f"id{i + 1}") for i in range(4)]
+    return matches.select("user_id", "outcome", *steps)
+
+
+@cep_query("cep_next", "pattern_next")
+def cep_next(t: Tables) -> DataFrame:
+    return plain_times(as_pair(match_pattern(logins(t), ["user_id"], ORDER, NEXT)), "ts", "first_ts")
+
+
+@cep_query("cep_times", "pattern_times")
+def cep_times(t: Tables) -> DataFrame:
+    return plain_times(as_pair(match_pattern(logins(t), ["user_id"], ORDER, TIMES)), "ts", "first_ts")
+
+
+@cep_query("cep_followed", "pattern_followed")
+def cep_followed(t: Tables) -> DataFrame:
+    found = match_pattern(logins(t), ["user_id"], ORDER, FOLLOWED)
+    return plain_times(as_outcomes(found), "start_ts", "end_ts")
+
+
+@query("cep_mixed", """
+    WITH e AS (SELECT user_id, event_id, ts, event_type, row_number() OVER w AS rn, lead(event_type) OVER w AS next_type,
+            lead(event_id) OVER w AS view_id, lead(ts) OVER w AS view_ts
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    starts AS (SELECT *, coalesce(next_type = 'view' AND view_ts - ts < INTERVAL 48 HOURS, false) AS viewed,
+            next_type IS NULL OR view_ts - ts >= INTERVAL 48 HOURS AS waits FROM e WHERE event_type = 'click'),
+    pays AS (SELECT user_id, event_id, ts, rn, row_number() OVER (PARTITION BY user_id ORDER BY rn) AS nth
+        FROM e WHERE event_type = 'purchase'),
+    first_pay AS (SELECT s.user_id, s.event_id, min(p.nth) AS nth FROM starts s JOIN pays p
+        ON p.user_id = s.user_id AND p.rn > s.rn + 1 WHERE s.viewed GROUP BY 1, 2),
+    found AS (SELECT s.*, p1.event_id AS pay1, p2.event_id AS pay2 FROM starts s
+        LEFT JOIN first_pay f ON f.event_id = s.event_id
+        LEFT JOIN pays p1 ON p1.user_id = s.user_id AND p1.nth = f.nth AND p1.ts - s.ts < INTERVAL 48 HOURS
+        LEFT JOIN pays p2 ON p2.user_id = s.user_id AND p2.nth = f.nth + 1 AND p2.ts - s.ts < INTERVAL 48 HOURS)
+    SELECT user_id, CASE WHEN pay2 IS NOT NULL THEN 'matched' ELSE 'timed_out' END AS outcome, event_id AS id1,
+        CASE WHEN viewed THEN view_id ELSE -1 END AS id2, coalesce(pay1, -1) AS id3, coalesce(pay2, -1) AS id4
+    FROM found WHERE viewed OR waits""")
+def cep_mixed(t: Tables) -> DataFrame:
+    """Strict and loose steps in one pattern, with what timed out."""
+    return as_steps(match_pattern(logins(t), ["user_id"], ORDER, MIXED))
+
+
 @query("early_results", """
     SELECT user_id, day, n, fired_by FROM (
         SELECT user_id, CAST(ts AS DATE) AS day, row_number() OVER w AS n, 'count' AS fired_by

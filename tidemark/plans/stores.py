@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.registry import Tables, query
 from tidemark.session import scratch_path
 from tidemark.sinks.writers import KeyedTable, append_delimited
+from tidemark.sources import custom
 from tidemark.sources.files import TableSpec, read_delimited
 
 PER_TYPE = "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1"
@@ -30,6 +31,16 @@ def delimited_round_trip(t: Tables) -> DataFrame:
         F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
+@query("record_folder", PER_TYPE)
+def record_folder(t: Tables) -> DataFrame:
+    """The same files through the user-written source, in splits that cut lines, with two of five columns."""
+    custom.register(t.spark)
+    reader = t.spark.read.format("record_folder").schema("value double, event_type string").option(
+        "columns", "event_id,event_type,value,at,user_id").option("sep", "|").option("splitBytes", 50_000)
+    return reader.load(_delimited(t)).groupBy("event_type").agg(
+        F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
 @query("declared_table", """
     SELECT CAST(extract(hour FROM ts) AS INTEGER) AS hour, count(*) AS n FROM events GROUP BY 1""")
 def declared_table(t: Tables) -> DataFrame:
@@ -64,3 +75,21 @@ def processing_time(t: Tables) -> DataFrame:
         F.count("*").alias("n"), F.max("proc_time").alias("last"))
     inside = (F.col("last") >= F.col("w.start")) & (F.col("last") < F.col("w.end"))
     return counted.agg(F.sum("n").alias("n"), F.bool_and(inside).alias("in_window"))
+
+
+@query("processing_time_sliding", """
+    SELECT 'sliding' AS kind, 2 AS n_windows, 2 * count(*) AS n, true AS in_window FROM events
+    UNION ALL SELECT 'session', 1, count(*), true FROM events""")
+def processing_time_sliding(t: Tables) -> DataFrame:
+    """Sliding and session windows over the time of processing: every row in two windows, and in one."""
+    now = t.events.select(F.current_timestamp().alias("proc_time"))
+    kinds = {
+        "sliding": F.window("proc_time", "10 minutes", "5 minutes"), "session": F.session_window("proc_time", "10 minutes")}
+    counted = []
+    for kind, window in kinds.items():
+        rows = now.groupBy(window.alias("w")).agg(F.count("*").alias("n"), F.max("proc_time").alias("last"))
+        inside = (F.col("last") >= F.col("w.start")) & (F.col("last") < F.col("w.end"))
+        counted.append(rows.agg(
+            F.count("*").cast("int").alias("n_windows"), F.sum("n").alias("n"), F.bool_and(inside).alias("in_window")
+        ).withColumn("kind", F.lit(kind)))
+    return counted[0].unionByName(counted[1])

@@ -1,6 +1,8 @@
 """Streaming forms. Each reads its table as a stream to the end and returns what it wrote."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import topn, windows
@@ -10,6 +12,7 @@ from tidemark.plans.registry import QUERIES, Tables, item_of, query
 from tidemark.sinks.writers import KeyedTable
 from tidemark.sources.files import from_rows
 from tidemark.streaming import processors as ps
+from tidemark.streaming.changes import full_groups, live_rows, retained_join, retracting_join
 from tidemark.streaming.lateness import LateSplit
 from tidemark.streaming.run import StreamRun, plain_times
 from tidemark.streaming.views import ControlledBranch, EnrichedView
@@ -17,6 +20,8 @@ from tidemark.streaming.views import ControlledBranch, EnrichedView
 H = sql.HOUR
 DELAY = "2 hours"
 MICROS_PER_HOUR = 3_600_000_000
+# Half a century before the closing row of a run, and after all events.
+CLOSES_MS = 4_733_510_400_000
 
 
 def twin(name: str):
@@ -263,15 +268,15 @@ def jump_alert(t: Tables) -> DataFrame:
         "user_id", F.col("id").alias("event_id"), "value", F.col("was").alias("previous"))
 
 
+def matches_of(run: StreamRun, t: Tables, pattern) -> DataFrame:
+    rows = keyed(run, t, where="true", hits=pattern.hits)
+    return ps.in_order(rows, ["user_id"], ps.Matches(pattern))
+
+
 @twin("pattern_next")
 def pattern_next(t: Tables) -> DataFrame:
     run = StreamRun(t.spark, "next")
-    paired = ps.in_order(keyed(run, t, value="event_type"), ["user_id"], ps.Previous("string"))
-    pairs = paired.filter(
-        f"value = 'error' AND was = 'error' AND at - was_at < {6 * MICROS_PER_HOUR}")
-    return plain_times(run.to_files(pairs.select(
-        "user_id", F.col("id").alias("event_id"), F.timestamp_micros("at").alias("ts"),
-        F.timestamp_micros("was_at").alias("first_ts"))))
+    return plain_times(run.to_files(sequences.as_pair(matches_of(run, t, sequences.NEXT))))
 
 
 @twin("rule_match")
@@ -310,11 +315,13 @@ def count_slide(t: Tables) -> DataFrame:
 @twin("pattern_times")
 def pattern_times(t: Tables) -> DataFrame:
     run = StreamRun(t.spark, "times")
-    found = ps.in_order(
-        keyed(run, t, hit="event_type = 'error'"), ["user_id"], ps.Consecutive(3, 48 * MICROS_PER_HOUR))
-    return plain_times(run.to_files(found.select(
-        "user_id", F.col("id").alias("event_id"), F.timestamp_micros("at").alias("ts"),
-        F.timestamp_micros("first_at").alias("first_ts"))))
+    return plain_times(run.to_files(sequences.as_pair(matches_of(run, t, sequences.TIMES))))
+
+
+@twin("cep_mixed")
+def cep_mixed(t: Tables) -> DataFrame:
+    run = StreamRun(t.spark, "mixed")
+    return run.to_files(sequences.as_steps(matches_of(run, t, sequences.MIXED)))
 
 
 @query("stream_row_timers", """
@@ -383,10 +390,62 @@ def order_timeout(t: Tables) -> DataFrame:
 @twin("pattern_followed")
 def pattern_followed(t: Tables) -> DataFrame:
     run = StreamRun(t.spark, "followed")
-    kind = "CASE event_type WHEN 'click' THEN 'start' WHEN 'purchase' THEN 'end' END"
-    rows = keyed(run, t, where="event_type IN ('click', 'purchase')", kind=kind)
-    found = ps.in_order(rows, ["user_id"], ps.FollowedBy(6 * MICROS_PER_HOUR))
-    return plain_times(run.to_files(found))
+    return plain_times(run.to_files(sequences.as_outcomes(matches_of(run, t, sequences.FOLLOWED))))
+
+
+PURGED = """
+    WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day, ts, row_number() OVER w AS rn, min(ts) OVER d AS first
+        FROM events WINDOW w AS (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id),
+            d AS (PARTITION BY user_id, CAST(ts AS DATE))),
+    parts AS (SELECT user_id, day, rn, {k} AS k, first FROM e),
+    summed AS (SELECT user_id, day, k, min(first) AS first, count(*) AS n, max(rn) % {every} = 0 AS full_part
+        FROM parts GROUP BY user_id, day, k, (rn - 1) // {every})
+    SELECT user_id, day, n, CASE WHEN full_part THEN 'count' WHEN {timed} THEN 'interval' ELSE 'end' END AS fired_by
+    FROM summed"""
+
+
+@query("stream_purged_by_count", PURGED.format(k="0", every=3, timed="false"), as_text=("day",))
+def purged_by_count(t: Tables) -> DataFrame:
+    """Daily windows that give and forget every three rows; the rest comes at the end of the day."""
+    run = StreamRun(t.spark, "purged-count")
+    return run.to_files(ps.in_order(keyed(run, t), ["user_id"], ps.EarlyResults(3, purge=True)))
+
+
+@query("stream_purged_by_interval", PURGED.format(
+    k="greatest(1, (epoch_us(ts) - epoch_us(first) + 21599999999) // 21600000000)", every=5,
+    timed="epoch_us(first) + k * 21600000000 < epoch_us(day + INTERVAL 1 DAY) - 1"), as_text=("day",))
+def purged_by_interval(t: Tables) -> DataFrame:
+    """The same every five rows or six hours from the day's first row on, whichever comes first."""
+    run = StreamRun(t.spark, "purged-interval")
+    return run.to_files(ps.in_order(
+        keyed(run, t), ["user_id"], ps.EarlyResults(5, 6 * MICROS_PER_HOUR, purge=True)))
+
+
+@twin("province_clicks_5s")
+def province_clicks_5s(t: Tables) -> DataFrame:
+    """Clicks pass the daily limit, panes of 5 seconds count them, and spans of equal counts leave."""
+    run = StreamRun(t.spark, "clicks-5s")
+    numbered = ps.in_order(
+        keyed(run, t, where="event_type = 'click'"), ["user_id"], ps.DailyLimit(8))
+    kept = numbered.filter(F.col("nth") < sequences.CLICK_LIMIT).select(
+        (F.col("user_id") % 7).alias("province"), F.timestamp_micros("at").alias("ts"), "id")
+    passed = run.to_files(kept)
+    return sequences.by_hour(spans_of(t, passed))
+
+
+def spans_of(t: Tables, kept: DataFrame) -> DataFrame:
+    run = StreamRun(t.spark, "spans")
+    size, slide = MICROS_PER_HOUR, 5_000_000
+    folder = f"{run.path}/kept"
+    kept.write.parquet(folder)
+    rows = run.with_event_time(t.spark.readStream.schema(kept.schema).parquet(folder), "ts", DELAY)
+    panes = rows.groupBy("province", F.window("ts", "5 seconds")).agg(F.count("*").alias("n"))
+    panes = panes.withColumn("ts", F.window_time("window")).select(
+        "province", F.unix_micros(F.col("window.start")).alias("at"), F.lit(0).cast("long").alias("id"), "n", "ts")
+    spans = run.to_files(ps.in_order(panes, ["province"], ps.SlidingSpans(size, slide)))
+    ends = F.sequence("first_end", "last_end", F.lit(slide).cast("long"))
+    each = spans.select("province", "n", F.explode(ends).alias("end"))
+    return plain_times(each.select("province", "n", F.timestamp_micros("end").alias("window_end")))
 
 
 @twin("early_results")
@@ -419,14 +478,23 @@ def late_windows(t: Tables) -> DataFrame:
     return plain_times(split.windows())
 
 
-def disordered(t: Tables, run: StreamRun, rows: DataFrame, batches: int = 4) -> DataFrame:
-    """The rows as a stream of several batches that each reach over all times: row r comes in batch
-    event_id % batches, so later batches are full of late rows."""
+def arriving(
+    t: Tables, run: StreamRun, rows: DataFrame, batch: Column, batches: int
+) -> tuple[DataFrame, list[Callable[[], None]]]:
+    """The rows as a stream, and the arrivals that bring each number of `batch` as a batch of its own, with as
+    many files as Spark has tasks."""
     folder = f"{run.path}/arrivals"
-    for i in range(batches):
-        rows.filter(F.col("event_id") % batches == i).coalesce(1).write.parquet(f"{folder}/{i}")
-    reader = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(f"{folder}/*")
+
+    def bring(i: int) -> Callable[[], None]:
+        return lambda: rows.filter(batch == i).write.parquet(f"{folder}/{i}")
+
+    return t.spark.readStream.schema(rows.schema).parquet(f"{folder}/*"), [bring(i) for i in range(batches)]
+
+
+def disordered(t: Tables, run: StreamRun, rows: DataFrame, batches: int = 4):
+    """Batches that each reach over all times: row r comes in batch event_id % batches, so later batches are
+    full of late rows."""
+    return arriving(t, run, rows, F.col("event_id") % batches, batches)
 
 
 # The newest event time of the batches before that of a row `e`.
@@ -443,7 +511,8 @@ def late_output(t: Tables) -> DataFrame:
     split = LateSplit(
         t.spark, run.path, ["user_id"], "ts", *windowed.LATE_ARGS,
         {"n": ("count", "1"), "top": ("max", "value")})
-    run.for_each_batch(disordered(t, run, rows), split)
+    stream, arrivals = disordered(t, run, rows)
+    run.for_each_batch(stream, split, arrivals=arrivals)
     return plain_times(split.late().select("event_id", "user_id", "ts"))
 
 
@@ -478,7 +547,8 @@ def hot_urls_each(t: Tables) -> DataFrame:
         topn.top_n(now, ["window_end"], by, 5).select("window_end", "item", "n", "rk").write.mode(
             "overwrite").parquet(f"{out}/batch={batch_id}")
 
-    run.for_each_batch(disordered(t, run, rows), work)
+    stream, arrivals = disordered(t, run, rows)
+    run.for_each_batch(stream, work, arrivals=arrivals)
     ranked = t.spark.read.parquet(out).select(F.col("batch").cast("long").alias("batch"), "window_end", "item", "n", "rk")
     return plain_times(ranked)
 
@@ -536,6 +606,60 @@ def changelog_enrich(t: Tables) -> DataFrame:
     return view.current().withColumn("price", F.col("price").cast("double"))
 
 
+@query("stream_changelog_join", f"""
+    SELECT o.o_orderkey, o.price, o.status, c_name FROM {changes.CURRENT} o
+    LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 4 <> 0) ON o.o_custkey = c_custkey""")
+def changelog_join(t: Tables) -> DataFrame:
+    """The same join as a feed of changes, from ten batches in which updates may come before inserts; what the
+    feed leaves at its end is the table."""
+    run = StreamRun(t.spark, "changelog-join")
+    log = changes.order_changes(t)
+    orders = log.select(
+        F.lit("left").alias("side"), "op_type", F.concat(F.col("op_ts").cast("string"), "pos").alias("seq"),
+        "o_orderkey", "o_custkey", "price", "status")
+    ops = F.when(F.col("c_custkey") % 4 == 0, F.array(F.lit("I"), F.lit("D"))).otherwise(F.array(F.lit("I")))
+    customers = t.customer.select("c_custkey", "c_name", F.posexplode(ops).alias("n", "op_type"))
+    rights = customers.select(
+        F.lit("right").alias("side"), "op_type", F.col("n").cast("string").alias("seq"), "c_custkey", "c_name")
+    feed = orders.unionByName(rights, allowMissingColumns=True)
+    number = F.pmod(F.xxhash64("side", "o_orderkey", "c_custkey", "op_type"), F.lit(10))
+    folder = f"{run.path}/arrivals"
+    feed.withColumn("n_batch", number).repartition(10, "n_batch").write.partitionBy("n_batch").parquet(folder)
+    stream = t.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+    joined_feed = retracting_join(
+        stream, "o_orderkey", "o_custkey", "c_custkey", ["price", "status"], ["c_name"])
+    return live_rows(run.to_files(joined_feed)).withColumn("price", F.col("price").cast("double"))
+
+
+@query("stream_join_retained", """
+    SELECT p.user_id, p.event_id AS pay_id, s.event_id AS sign_id FROM events p JOIN events s
+    ON p.user_id = s.user_id AND p.event_type = 'purchase' AND s.event_type = 'signup'""")
+def join_retained(t: Tables) -> DataFrame:
+    """Two streams joined without a bound in time; rows are remembered for an hour after they came."""
+    run = StreamRun(t.spark, "retained")
+    sides = [t.stream("events").filter(F.col("event_type") == kind).select(
+        "user_id", F.col("event_id").alias(name)) for kind, name in (("purchase", "pay_id"), ("signup", "sign_id"))]
+    return run.to_files(retained_join(*sides, ["user_id"], 3_600_000))
+
+
+@query("stream_full_groups", """
+    SELECT event_id % 4 AS shard, CAST(count(*) // 10 AS BIGINT) AS n_full, count(*) % 10 AS n_left
+    FROM events GROUP BY 1""")
+def full_groups_of_ten(t: Tables) -> DataFrame:
+    """A buffering sink: groups of ten in four shards, from three batches; the rest comes at the end."""
+    run = StreamRun(t.spark, "full-groups")
+    rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    stream, arrivals = arriving(t, run, rows, F.pmod(F.xxhash64("event_id"), F.lit(3)), 3)
+    # The batches come in no order, so none may be late.
+    timed = run.with_event_time(stream, "ts", "3650 days")
+    grouped = run.to_files(
+        full_groups(timed, F.col("event_id") % 4, ["event_id", "value"], "event_id", CLOSES_MS), arrivals)
+    sizes = grouped.groupBy("shard", "group_no").agg(F.count("*").alias("n"))
+    return sizes.groupBy("shard").agg(
+        F.count_if(F.col("n") == 10).alias("n_full"),
+        F.coalesce(F.sum(F.when(F.col("n") != 10, F.col("n"))), F.lit(0).cast("long")).alias("n_left"))
+
+
 @query("stream_users_per_hour", QUERIES["exact_users"].sql)
 def users_per_hour(t: Tables) -> DataFrame:
     run = StreamRun(t.spark, "users")

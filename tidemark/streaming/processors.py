@@ -7,17 +7,30 @@ were cut into batches, and equal those of the batch operators.
 
 from __future__ import annotations
 
+import pickle
+from bisect import bisect_right
+from collections import deque
 from collections.abc import Iterator
+from dataclasses import replace
 from datetime import date, timedelta
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.operators.automaton import Automaton, Pattern
+from tidemark.operators.slices import as_column
+
 
 class InOrder(StatefulProcessor):
-    """Rows are tuples (at, id, *payload), `at` in epoch microseconds."""
+    """Rows are tuples (at, id, *payload), `at` in epoch microseconds.
+
+    Waiting rows lie in sorted chunks of up to CHUNK rows, each one value of a map. Beside them one value
+    holds what is remembered and when each chunk begins, so a timer reads only the chunks that are due, and
+    a key's rows are read and written a bounded number of times however many wait.
+    """
 
     payload = ""  # DDL of the payload columns
     memory = ""  # DDL of what is remembered per key
@@ -26,53 +39,78 @@ class InOrder(StatefulProcessor):
     names: list[str]
     result_names: list[str]
     times: tuple[str, ...] = ()  # result columns given in epoch microseconds
+    CHUNK = 1024
 
     def row_ddl(self) -> str:
         return "at long, id long" + (f", {self.payload}" if self.payload else "")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._waiting = handle.getListState("waiting", self.row_ddl())
-        self._memory = handle.getValueState("memory", self.memory)
+        self._known = handle.getValueState(
+            "known", f"memory struct<{self.memory}>, waiting array<struct<first long, n long>>, next long")
+        self._chunks = handle.getMapState("chunks", "n long", "rows binary")
+
+    def _load(self) -> tuple[tuple | None, list[tuple[int, int]], int]:
+        known = self._known.get()
+        if known is None:
+            return None, [], 0
+        memory, waiting, n = known
+        return None if memory is None else tuple(memory), [tuple(w) for w in waiting], n
+
+    def _put(self, rows: list[tuple], waiting: list[tuple[int, int]], n: int) -> int:
+        for low in range(0, len(rows), self.CHUNK):
+            chunk = rows[low:low + self.CHUNK]
+            self._chunks.updateValue((n,), (pickle.dumps(chunk),))
+            waiting.append((chunk[0][0], n))
+            n += 1
+        return n
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = [tuple(row[n] for n in self.names) for row in rows]
-        if held:
-            self._waiting.appendList(held)
-            self._handle.registerTimer(_millis(min(r[0] for r in held)))
+        first = next(rows, None)
+        if first is not None:
+            take = itemgetter(*[first.__fields__.index(n) for n in self.names])
+            held = sorted([take(first), *map(take, rows)], key=itemgetter(0, 1))
+            memory, waiting, n = self._load()
+            n = self._put(held, waiting, n)
+            self._known.update((memory, waiting, n))
+            self._handle.registerTimer(_millis(held[0][0]))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         named = Row(*self.result_names)
         # Later rows may still share the watermark's millisecond but lie behind it.
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = list(self._waiting.get()) if self._waiting.exists() else []
-        due = sorted((r for r in waiting if r[0] <= passed), key=lambda r: (r[0], r[1]))
-        later = [r for r in waiting if r[0] > passed]
-        was = tuple(self._memory.get()) if self._memory.exists() else None
-        state = was if was is not None else self.start()
+        memory, waiting, n = self._load()
+        state, later, rows = self.load(memory), [], []
+        for first, number in waiting:
+            if first > passed:
+                later.append((first, number))
+                continue
+            rows += pickle.loads(self._chunks.getValue((number,))[0])
+            self._chunks.removeKey((number,))
+        rows.sort(key=itemgetter(0, 1))
+        due = bisect_right(rows, passed, key=itemgetter(0))
         results: list[tuple] = []
-        for row in due:
+        for row in rows[:due]:
             state = self._expire(state, row[0] - 1, results)
             state, found = self.on_row(state, row)
             results += found
         state = self._expire(state, passed, results)
 
+        n = self._put(rows[due:], later, n)
+        memory = self.dump(state)
+        if memory is None and not later:
+            self._known.clear()
+        else:
+            self._known.update((memory, later, n))
         if later:
-            self._waiting.put(later)
-            self._handle.registerTimer(_millis(min(r[0] for r in later)))
-        elif waiting:
-            self._waiting.clear()
-        if state == self.start():
-            self._memory.clear()
-        elif state != was:
-            self._memory.update(state)
+            self._handle.registerTimer(_millis(min(first for first, _ in later)))
         deadline = self.deadline(state)
         if deadline is not None:
             self._handle.registerTimer(_millis(deadline))
         return iter([named(*key, *r) for r in results])
 
-    def _expire(self, state: tuple, until: int, results: list) -> tuple:
+    def _expire(self, state, until: int, results: list):
         while (deadline := self.deadline(state)) is not None and deadline <= until:
             state, found = self.on_deadline(state)
             results += found
@@ -85,14 +123,23 @@ class InOrder(StatefulProcessor):
         """What a key remembers before its first row; a key back in this state is forgotten."""
         raise NotImplementedError
 
-    def on_row(self, state: tuple, row: tuple) -> tuple[tuple, list[tuple]]:
+    def load(self, memory: tuple | None):
+        """The state to work with, from what was remembered."""
+        return self.start() if memory is None else memory
+
+    def dump(self, state) -> tuple | None:
+        """What to remember of a state; None for a key back at its start."""
+        return None if state == self.start() else state
+
+    def on_row(self, state, row: tuple) -> tuple:
+        """The state after a row, and the results that it gives."""
         raise NotImplementedError
 
-    def deadline(self, state: tuple) -> int | None:
+    def deadline(self, state) -> int | None:
         """When a timer of this state falls due, in epoch microseconds."""
         return None
 
-    def on_deadline(self, state: tuple) -> tuple[tuple, list[tuple]]:
+    def on_deadline(self, state) -> tuple:
         raise NotImplementedError
 
 
@@ -115,7 +162,7 @@ def shaped(df: DataFrame, key: list[str], ts: str, row_id: str, **payload) -> Da
     """Rows as processors take them. The time column stays for the watermark."""
     return df.select(
         *key, F.unix_micros(ts).alias("at"), F.col(row_id).alias("id"),
-        *[F.expr(e).alias(n) for n, e in payload.items()], ts)
+        *[as_column(e).alias(n) for n, e in payload.items()], ts)
 
 
 class Previous(InOrder):
@@ -188,26 +235,6 @@ class SlidingRows(InOrder):
         return (row_no, recent), found
 
 
-class Consecutive(InOrder):
-    """Every row ending `length` matching neighbours in a row, less than `within` microseconds long."""
-
-    payload = "hit boolean"
-    memory = "hits array<long>"
-    output = "id long, at long, first_at long"
-
-    def __init__(self, length: int, within: int):
-        self.length, self.within = length, within
-
-    def start(self):
-        return ([],)
-
-    def on_row(self, state, row):
-        at, row_id, hit = row
-        hits = [*state[0], at][-self.length:] if hit else []
-        whole = len(hits) == self.length and at - hits[0] < self.within
-        return (hits,), [(row_id, at, hits[0])] if whole else []
-
-
 class RowTimers(InOrder):
     """A timer for every row: it fires `wait` microseconds after the row, beside whatever else is set."""
 
@@ -219,18 +246,22 @@ class RowTimers(InOrder):
     def __init__(self, wait: int):
         self.wait = wait
 
-    def start(self):
-        return ([],)
+    def load(self, memory):
+        return deque(map(tuple, memory[0] if memory else ()))
+
+    def dump(self, state):
+        return (list(state),) if state else None
 
     def on_row(self, state, row):
-        return ([*map(tuple, state[0]), (row[0], row[1])],), []
+        state.append(row[:2])
+        return state, []
 
     def deadline(self, state):
-        return state[0][0][0] + self.wait if state[0] else None
+        return state[0][0] + self.wait if state else None
 
     def on_deadline(self, state):
-        (at, row_id), *rest = map(tuple, state[0])
-        return (rest,), [(row_id, at + self.wait)]
+        at, row_id = state.popleft()
+        return state, [(row_id, at + self.wait)]
 
 
 class RunningTop(InOrder):
@@ -387,6 +418,44 @@ class OrderTimeout(InOrder):
         return self.start(), [("no_pay", state[0], None)]
 
 
+class Matches(InOrder):
+    """The matches of a pattern, by the automaton that also walks batches; `hits` are the pattern's."""
+
+    payload = "hits long"
+    memory = "open array<struct<at array<long>, id array<long>>>"
+    output = "outcome string, at array<long>, id array<long>"
+
+    def __init__(self, pattern: Pattern):
+        self.pattern = replace(pattern, conditions=())  # columns stay on the driver
+
+    def load(self, memory):
+        automaton = Automaton(self.pattern)
+        for times, ids in memory[0] if memory else ():
+            automaton.groups[len(times)].append(tuple(zip(times, ids, strict=True)))
+        return automaton
+
+    def dump(self, state):
+        opened = [tuple(map(list, zip(*m, strict=True))) for m in state.opened()]
+        return (opened,) if opened else None
+
+    def on_row(self, state, row):
+        found = []
+        state.take(row[:2], row[2], found)
+        return state, [self._result(*f) for f in found]
+
+    def deadline(self, state):
+        return state.deadline()
+
+    def on_deadline(self, state):
+        found = []
+        state.expire(state.deadline(), found)
+        return state, [self._result(*f) for f in found]
+
+    @staticmethod
+    def _result(outcome, match):
+        return outcome, [e[0] for e in match], [e[1] for e in match]
+
+
 class FollowedBy(InOrder):
     """Pairs every start with the next end less than `limit` microseconds later."""
 
@@ -398,68 +467,121 @@ class FollowedBy(InOrder):
     def __init__(self, limit: int):
         self.limit = limit
 
-    def start(self):
-        return ([],)
+    def load(self, memory):
+        return deque(memory[0] if memory else ())
+
+    def dump(self, state):
+        return (list(state),) if state else None
 
     def on_row(self, state, row):
         at, _, kind = row
-        opened = list(state[0])
         if kind == "start":
-            return ([*opened, at],), []
+            state.append(at)
+            return state, []
         if kind != "end":
             return state, []
         # A start whose time is up exactly now was not followed in time.
-        done = [
-            (s, at, "matched") if at - s < self.limit
-            else (s, None, "timed_out") for s in opened]
-        return ([],), done
+        done = [(s, at, "matched") if at - s < self.limit else (s, None, "timed_out") for s in state]
+        state.clear()
+        return state, done
 
     def deadline(self, state):
-        return min(state[0]) + self.limit if state[0] else None
+        return state[0] + self.limit if state else None
 
     def on_deadline(self, state):
-        opened = sorted(state[0])
-        return (opened[1:],), [(opened[0], None, "timed_out")]
+        return state, [(state.popleft(), None, "timed_out")]
+
+
+class SlidingSpans(InOrder):
+    """Sliding counts as spans: neighbouring windows with equal counts are one result, from the first
+    window end to the last. A pane of rows comes in at the next window end and goes one size later."""
+
+    payload = "n long"
+    memory = "n long, since long, leaving array<struct<at long, n long>>"
+    output = "first_end long, last_end long, n long"
+
+    def __init__(self, size: int, slide: int):
+        self.size, self.slide = size, slide
+
+    def load(self, memory):
+        n, since, leaving = memory or (0, 0, ())
+        return [n, since, deque(map(tuple, leaving))]
+
+    def dump(self, state):
+        return (state[0], state[1], list(state[2])) if state[2] else None
+
+    def _move(self, state, at: int, by: int) -> list[tuple]:
+        n, since, _ = state
+        span = [(since, at - self.slide, n)] if n and at > since else []
+        state[0], state[1] = n + by, at
+        return span
+
+    def on_row(self, state, row):
+        end = row[0] // self.slide * self.slide + self.slide
+        found = []
+        while state[2] and state[2][0][0] <= end:
+            at, n = state[2].popleft()
+            found += self._move(state, at, -n)
+        found += self._move(state, end, row[2])
+        state[2].append((end + self.size, row[2]))
+        return state, found
+
+    def deadline(self, state):
+        return state[2][0][0] if state[2] else None
+
+    def on_deadline(self, state):
+        at, n = state[2].popleft()
+        return state, self._move(state, at, -n)
 
 
 class EarlyResults(InOrder):
-    """Row counts of daily windows: on every n-th row, every `interval` if set, and at the end."""
+    """Row counts of daily windows: on every n-th row, every `interval` if set, and at the end.
+
+    With `purge` a firing gives the rows since the one before and forgets them, so the parts of a window add
+    up to its count; a firing without new rows gives nothing.
+    """
 
     payload = ""
-    memory = "day long, n long, next_fire long"
+    memory = "day long, n long, fired long, next_fire long"
     output = "day date, n long, fired_by string"
     DAY = 86_400_000_000
 
-    def __init__(self, every_rows: int, interval: int | None = None):
-        self.every_rows, self.interval = every_rows, interval
+    def __init__(self, every_rows: int, interval: int | None = None, purge: bool = False):
+        self.every_rows, self.interval, self.purge = every_rows, interval, purge
 
     def start(self):
-        return (None, 0, None)
+        return (None, 0, 0, None)
+
+    def _fire(self, day: int, n: int, fired: int, by: str) -> list[tuple]:
+        if not self.purge:
+            return [(_date(day), n, by)]
+        return [(_date(day), n - fired, by)] if n > fired else []
 
     def on_row(self, state, row):
         at = row[0]
-        day, n, next_fire = state
+        day, n, fired, next_fire = state
         if day is None:
             day = at // self.DAY
             next_fire = at + self.interval if self.interval else None
         n += 1
-        fired = [(_date(day), n, "count")] if n % self.every_rows == 0 else []
-        return (day, n, next_fire), fired
+        if n % self.every_rows:
+            return (day, n, fired, next_fire), []
+        return (day, n, n, next_fire), self._fire(day, n, fired, "count")
 
     def deadline(self, state):
-        day, _, next_fire = state
+        day, _, _, next_fire = state
         if day is None:
             return None
         end = (day + 1) * self.DAY - 1
         return end if next_fire is None else min(next_fire, end)
 
     def on_deadline(self, state):
-        day, n, next_fire = state
+        day, n, fired, next_fire = state
         if next_fire is not None and next_fire < (day + 1) * self.DAY - 1:
             news = n % self.every_rows != 0  # rows since the last firing by count
-            fired = [(_date(day), n, "interval")] if news else []
-            return (day, n, next_fire + self.interval), fired
-        return self.start(), [(_date(day), n, "end")]
+            found = self._fire(day, n, fired, "interval") if news else []
+            return (day, n, n if news else fired, next_fire + self.interval), found
+        return self.start(), self._fire(day, n, fired, "end")
 
 
 class DailyLimit(InOrder):

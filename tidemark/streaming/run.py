@@ -7,7 +7,7 @@ closes everything and is itself dropped.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -44,9 +44,12 @@ def _filler(kind: T.DataType):
 
 
 class StreamRun:
-    def __init__(self, spark: SparkSession, label: str):
+    """A stream's folder with its checkpoint and output. A new one by default; with `path` an earlier
+    run's, which goes on where that one stopped."""
+
+    def __init__(self, spark: SparkSession, label: str, path: str | None = None):
         self.spark = spark
-        self.path = scratch_path(spark, label)
+        self.path = path or scratch_path(spark, label)
         self._flushes: list[tuple[str, DataFrame, str]] = []
 
     def with_event_time(self, rows: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -56,7 +59,7 @@ class StreamRun:
         they would also drop the closing row.
         """
         folder = f"{self.path}/flush-{len(self._flushes)}"
-        self.spark.createDataFrame([], rows.schema).write.parquet(folder)
+        self.spark.createDataFrame([], rows.schema).write.mode("ignore").parquet(folder)
         self._flushes.append((folder, rows, ts))
         closing = self.spark.readStream.schema(rows.schema).parquet(folder)
         return (
@@ -65,18 +68,21 @@ class StreamRun:
             .filter(F.col(ts) < F.lit(END_OF_TIME).cast("timestamp"))
         )
 
-    def _drive(self, start: Callable) -> None:
-        if not self._flushes:
-            start().awaitTermination()
-            return
-        # The closing run advances the watermark anyway; until then empty batches gain nothing.
+    def _drive(self, start: Callable, arrivals: Sequence[Callable[[], None]] = (), close: bool = True) -> None:
+        """Run over all there is, or once after each of some arrivals, then over the closing rows."""
+        # The closing run advances the watermark anyway; until then batches without rows gain nothing, and
+        # state with a time to live would ask for ever more of them.
         empty_batches = "spark.sql.streaming.noDataMicroBatches.enabled"
         before = self.spark.conf.get(empty_batches)
         self.spark.conf.set(empty_batches, "false")
         try:
-            start().awaitTermination()
+            for arrive in arrivals or [lambda: None]:
+                arrive()
+                start().awaitTermination()
         finally:
             self.spark.conf.set(empty_batches, before)
+        if not self._flushes or not close:
+            return
         end = datetime.fromisoformat(END_OF_TIME).replace(tzinfo=timezone.utc)
         for folder, rows, ts in self._flushes:
             row = tuple(end if f.name == ts else _filler(f.dataType) for f in rows.schema)
@@ -84,25 +90,32 @@ class StreamRun:
             one.write.mode("append").parquet(folder)
         start().awaitTermination()
 
-    def to_files(self, result: DataFrame) -> DataFrame:
-        """Append the result to files, exactly once per row, and return them as a table."""
+    def to_files(
+        self, result: DataFrame, arrivals: Sequence[Callable[[], None]] = (), close: bool = True
+    ) -> DataFrame:
+        """Append the result to files, exactly once per row, and return them as a table.
+
+        `arrivals` bring new input, each for a batch of its own. Without `close` the stream only pauses:
+        what waits for later rows goes on waiting, here or in a later run over the same folder.
+        """
         out = f"{self.path}/out"
         writer = (
             result.writeStream.format("parquet").outputMode("append")
             .option("path", out).option("checkpointLocation", f"{self.path}/checkpoint")
             .trigger(availableNow=True))
-        self._drive(writer.start)
+        self._drive(writer.start, arrivals, close)
         return self.spark.read.schema(result.schema).parquet(out)
 
     def for_each_batch(
-        self, result: DataFrame, work: Callable[[DataFrame, int], None], mode: str = "append"
+        self, result: DataFrame, work: Callable[[DataFrame, int], None], mode: str = "append",
+        arrivals: Sequence[Callable[[], None]] = (),
     ) -> None:
         """Call `work(rows, batch_id)` per batch. A batch may be repeated after a failure."""
         writer = (
             result.writeStream.outputMode(mode).foreachBatch(work)
             .option("checkpointLocation", f"{self.path}/checkpoint")
             .trigger(availableNow=True))
-        self._drive(writer.start)
+        self._drive(writer.start, arrivals)
 
     def to_batch_files(
         self, result: DataFrame, change: Callable[[DataFrame], DataFrame], schema: str

@@ -53,10 +53,24 @@ _CROSSING = re.compile(rf"[{_LETTERS}][{_PUNCTUATION}]|[{_PUNCTUATION}][{_LETTER
 # Units up to this long keep their agenda in a list, longer ones in a heap.
 SHORT = 40
 _NEVER = 1 << 30
+# Numbers of characters that are no piece begin here.
+_OTHER = 1 << 20
+# Units that come this often in a block are remembered for the next ones.
+OFTEN = 3
 _MASK = (1 << 64) - 1
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
+class _Characters(dict):
+    """The number of each character."""
+
+    def __init__(self, ids: dict[str, int]):
+        super().__init__((p, i) for p, i in ids.items() if len(p) == 1)
+
+    def __missing__(self, character: str) -> int:
+        return _OTHER + ord(character)
+
+
 class Pieces:
     """The vocabulary: pieces with their rank in the agenda, byte pieces, and the bytes of each id."""
 
@@ -82,11 +96,25 @@ class Pieces:
                 spelled.append(piece.replace(MARK, " ").encode())
         best_first = sorted(self.ids, key=lambda p: (-vocabulary.get_score(self.ids[p]), self.ids[p]))
         self.ranks = {piece: rank for rank, piece in enumerate(best_first)}
+        # Symbols as numbers: a piece is its id, any other character a number beyond all pieces. `pairs` has
+        # the rank of what two neighbours merge to.
+        self.characters = _Characters(self.ids)
+        self.by_rank = [self.ids[p] for p in best_first]
+        self.pairs: dict[int, int] = {}
+        for piece, rank in self.ranks.items():
+            for cut in range(1, len(piece)):
+                left, right = self.symbol(piece[:cut]), self.symbol(piece[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left << 32 | right] = rank
         self.units = _UNIT if any(_CROSSING.search(p) for p in self.ids) else _UNIT_FINE
         self.lengths = np.array([len(s) for s in spelled], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
 
+    def symbol(self, text: str) -> int | None:
+        known = self.ids.get(text)
+        return known if known is not None else _OTHER + ord(text) if len(text) == 1 else None
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes that the pieces spell, without the space put before the text."""
         lengths = self.lengths[ids]
@@ -149,7 +177,8 @@ class Encoder:
         keys = mix(places.astype(np.uint64) * np.uint64(_GOLDEN) + keys)
         if self.variants:
             keys %= np.uint64(self.variants)
-        known = [self._known(u) for u in units]
+        often = np.bincount(of_text, minlength=len(units)) >= OFTEN
+        known = [self._known(u, keep) for u, keep in zip(units, often.tolist(), strict=True)]
         made: list[bytes] = [k.ids for k in known]
         which = of_text.astype(np.int64)  # of the segmentations made, the one of each occurrence
         if self.dropout > 0 and len(which):
@@ -165,7 +194,7 @@ class Encoder:
                 for pair in pairs.tolist():
                     was, number = pair >> 32, pair & 0xFFFFFFFF
                     skips, unit = (*skipped[was], number), owner[was]
-                    n, ids = self._with_skips(units[unit], known[unit], skips)
+                    n, ids = self._with_skips(units[unit], known[unit], skips, often[unit])
                     more.append(n)
                     made.append(ids)
                     owner.append(unit)
@@ -224,17 +253,18 @@ class Encoder:
         shares = ((mix(keys + step) >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53)
         return np.minimum(np.log(shares) * self.scale, _NEVER).astype(np.int64)
 
-    def _known(self, unit: str) -> Known:
-        if len(unit) > LONGEST:
-            return Known(*self._segmented(unit, ()))
-        return self.newer.get(unit) or self._remember(unit)
+    def _known(self, unit: str, keep: bool) -> Known:
+        found = self.newer.get(unit)
+        if found is None and keep and len(unit) <= LONGEST:
+            return self._remember(unit)
+        return found or Known(*self._segmented(unit, ()))
 
-    def _with_skips(self, unit: str, known: Known, skips: tuple[int, ...]) -> tuple[int, bytes]:
+    def _with_skips(self, unit: str, known: Known, skips: tuple[int, ...], keep: bool) -> tuple[int, bytes]:
         """Merges and ids of a unit that skips just these."""
         found = known.skipping.get(skips)
         if found is None:
             found = self._segmented(unit, skips)
-            if len(skips) <= MOST_SKIPS and len(unit) <= LONGEST:
+            if keep and len(skips) <= MOST_SKIPS and len(unit) <= LONGEST:
                 known.skipping[skips] = found
                 self.size += 1
         return found
@@ -293,34 +323,39 @@ class Encoder:
 
     def _segmented(self, unit: str, skips: Iterable[int]) -> tuple[int, bytes]:
         """How many merges the agenda came to, skipped ones with them, and the packed ids."""
-        work = self._merged if len(unit) <= SHORT else self._merged_long
-        symbols, merges = work(list(unit), chain(skips, repeat(-1)))
+        skipping = chain(skips, repeat(-1))
+        if len(unit) > SHORT:
+            symbols, merges = self._merged_long(list(unit), skipping)
+            numbers = [self.pieces.symbol(x) for x in symbols]
+        else:
+            numbers, merges = self._merged(list(map(self.pieces.characters.__getitem__, unit)), skipping)
+        if max(numbers) < _OTHER:
+            return merges, array("H", numbers).tobytes()
         ids = []
-        for symbol in symbols:
-            known = self.pieces.ids.get(symbol)
-            if known is not None:
-                ids.append(known)
+        for number in numbers:
+            if number < _OTHER:
+                ids.append(number)
             else:
-                own = MARK if symbol == _OWN_MARK else symbol
-                ids += [self.pieces.bytes[b] for b in own.encode()]
+                own = chr(number - _OTHER)
+                ids += [self.pieces.bytes[b] for b in (MARK if own == _OWN_MARK else own).encode()]
         return merges, array("H", ids).tobytes()
 
-    def _merged(self, symbols: list[str], skips: Iterator[int]) -> tuple[list[str], int]:
+    def _merged(self, symbols: list[int], skips: Iterator[int]) -> tuple[list[int], int]:
         """The agenda as a list: for each symbol the rank of its merge with the next one."""
-        rank, merges, skip = self.pieces.ranks.get, 0, next(skips)
-        agenda = [rank(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+        rank, by_rank, merges, skip = self.pieces.pairs.get, self.pieces.by_rank, 0, next(skips)
+        agenda = [rank(a << 32 | b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
         while agenda and (best := min(agenda)) < _NEVER:
             i = agenda.index(best)
             merges += 1
             if merges - 1 == skip:
                 agenda[i], skip = _NEVER, next(skips)
                 continue
-            symbols[i] = piece = symbols[i] + symbols.pop(i + 1)
-            del agenda[i]
+            symbols[i] = piece = by_rank[best]
+            del symbols[i + 1], agenda[i]
             if i < len(agenda):
-                agenda[i] = rank(piece + symbols[i + 1], _NEVER)
+                agenda[i] = rank(piece << 32 | symbols[i + 1], _NEVER)
             if i:
-                agenda[i - 1] = rank(symbols[i - 1] + piece, _NEVER)
+                agenda[i - 1] = rank(symbols[i - 1] << 32 | piece, _NEVER)
         return symbols, merges
 
     def _merged_long(self, symbols: list[str], skips: Iterator[int]) -> tuple[list[str], int]:

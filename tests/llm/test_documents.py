@@ -272,6 +272,38 @@ def test_passages_of_which_other_texts_hold_parts(spark):
     assert all(r["doc_id"] % 10 < 2 and r["of_doc_id"] == r["doc_id"] ^ 1 and r["matched_words"] == 60 for r in found)
 
 
+@pytest.mark.parametrize("change", ["replace", "insert"])
+@pytest.mark.parametrize("every", [8, 10, 12])
+def test_passages_with_a_change_in_every_few_words(spark, change, every):
+    rng = random.Random(31)
+    rows, cases = [], 60
+    for i in range(cases):
+        passage, other = words(rng, 80, 10**6), []
+        for n, word in enumerate(passage):
+            here = n % every == every // 2
+            other += [word] * (not here or change == "insert") + [f"new{i}x{n}"] * here
+        for k, own in enumerate((passage, other)):
+            rows.append((2 * i + k, " ".join(words(rng, 90, 10**6) + own + words(rng, 60, 10**6))))
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # One change in 8 leaves runs of 7 words, of which too few are seeds in some passages.
+    assert len({r["doc_id"] // 2 for r in found}) >= (0.75 if every == 8 else 0.9) * cases
+
+
+def test_rows_of_one_id_or_none_are_cut_by_their_texts(spark):
+    rng = random.Random(32)
+    passage = words(rng, 80, 10**6)
+    other = " ".join(words(rng, 120, 10**6))
+    rows = [(key, " ".join(passage + words(rng, 30, 10**6))) for key in (7, 8, None, None, 9)]
+    rows += [(7, other), (None, other + " end"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in without_passages(docs, repeated_passages(docs, text_hash=True)).collect()]
+    texts = [t for _, t in left]
+    # One of the five keeps the passage; what is no passage stays, whatever its id.
+    assert len(left) == len(rows) and sum(" ".join(passage) in (t or "") for t in texts) == 1
+    assert (7, other) in left and sum((t or "").startswith(other) for t in texts) >= 1
+    assert (None, None) in left and (None, "") in left
+
+
 def test_copies_are_passages_from_end_to_end(awkward):
     got = sorted(tuple(r) for r in repeated_passages(awkward).filter("doc_id is not null").collect())
     assert got == [(6, 0, 80, 5, 0, 80)]

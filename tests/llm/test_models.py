@@ -47,6 +47,15 @@ def test_toxic_clauses_are_learned(spark):
     assert kept.columns == docs.columns and 190 <= kept.count() <= 205
 
 
+def test_batches_do_not_change_the_grammar(spark):
+    docs, labels = labelled(spark)
+    rows = toxic_grammar.train_rows(docs, labels, "toxic", 3, 1, 1000).select("text", "toxic").cache()
+    whole, cut = toxic_grammar.learn(rows.coalesce(1)), toxic_grammar.learn(rows.repartition(rows.count()))
+    assert (whole.words, whole.beginnings, whole.weak) == (cut.words, cut.beginnings, cut.weak)
+    assert whole.words | whole.beginnings
+    assert abs(whole.weights - cut.weights).max() < 1e-6 and abs(whole.bias - cut.bias) < 1e-6
+
+
 def test_settings_of_clauses():
     grammar = toxic_grammar.Grammar(words=frozenset({"fool"}))
     assert grammar.clause("what a fool") == "plain"

@@ -176,21 +176,20 @@ def patterns_of(text: str) -> set[str]:
 def learn(rows: DataFrame) -> Grammar:
     """A grammar from the rows `text`, `toxic` (0 or 1) of a bounded sample.
 
-    Patterns are counted where the rows are; the driver gets those that pass the limits, and for each
-    row which of them it holds.
+    Patterns are counted where the rows are, in toxic rows and in all others, however the rows are cut into
+    batches; the driver gets those that pass the limits, and for each row which of them it holds.
     """
 
     def count(batch: pa.RecordBatch) -> dict:
         toxic, rest = Counter(), Counter()
         for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
             (toxic if label else rest).update(patterns_of(text or ""))
-        return {"pattern": pa.array(list(toxic), pa.string()),
-                "toxic": np.array(list(toxic.values()), np.int64),
-                "clean": np.array([rest[p] for p in toxic], np.int64)} if toxic else {
-                "pattern": pa.array([], pa.string()), "toxic": np.empty(0, np.int64),
-                "clean": np.empty(0, np.int64)}
+        found = list(toxic | rest)
+        return {"pattern": pa.array(found, pa.string()),
+                "toxic": np.array([toxic[p] for p in found], np.int64),
+                "clean": np.array([rest[p] for p in found], np.int64)}
 
-    def count_clean(wanted: frozenset[str]):
+    def hold(wanted: frozenset[str]):
         def held(batch: pa.RecordBatch) -> dict:
             lists = [sorted(patterns_of(t or "") & wanted) for t in batch["text"].to_pylist()]
             return {"toxic": batch["toxic"], "held": pa.array(lists, pa.list_(pa.string()))}
@@ -201,11 +200,9 @@ def learn(rows: DataFrame) -> Grammar:
         map_batches(rows, count, "pattern string, toxic long, clean long")
         .groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .filter((F.col("toxic") >= MIN_TOXIC)
-                & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean"))))
-        .orderBy(F.desc("toxic"), "pattern").limit(10 * MAX_PATTERNS))
+                & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean")))))
     candidates = frozenset(r["pattern"] for r in counted.collect())
-    # A pattern's clean rows are counted in full only here, where no batch without a toxic row is left out.
-    found = map_batches(rows, count_clean(candidates), "toxic int, held array<string>").collect()
+    found = map_batches(rows, hold(candidates), "toxic int, held array<string>").collect()
     grammar = _cover([(bool(r["toxic"]), set(r["held"])) for r in found])
 
     def describe(batch: pa.RecordBatch) -> dict:

@@ -13,6 +13,7 @@ from tidemark.llm.one_permutation import bins_of, edited_prints, fingerprints, l
 from tidemark.llm.passage_chains import (
     align,
     chains,
+    in_stretches,
     repeated_passages,
     segments_of,
     united,
@@ -289,6 +290,36 @@ def test_passages_with_a_change_in_every_few_words(spark, change, every):
     assert len({r["doc_id"] // 2 for r in found}) >= (0.75 if every == 8 else 0.9) * cases
 
 
+def test_passages_of_which_many_texts_hold_every_two_seeds(spark):
+    # Two texts share 60 words; forty others hold 49 of them, too few for a passage, whatever the hashes.
+    rng = random.Random(33)
+    rows, cases = [], 6
+
+    def around(own):
+        return " ".join(words(rng, 70, 10**6) + own + words(rng, 70, 10**6))
+
+    for i in range(cases):
+        passage = words(rng, 60, 10**6)
+        parts = [passage, passage] + [passage[:49], passage[11:]] * 20
+        rows += [(100 * i + k, around(part)) for k, part in enumerate(parts)]
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] // 100 for r in found) == list(range(cases))
+    assert all(r["doc_id"] % 100 < 2 and r["matched_words"] == 60 for r in found)
+
+
+def test_stretches_hold_their_share():
+    import numpy as np
+
+    # 8 seeds of 5 words, 10 words apart: 40 of 75 words.
+    at = np.arange(0, 80, 10)
+    assert in_stretches(at, 40).all() and in_stretches(at, 75).all()
+    assert not in_stretches(at[:4], 40).any()
+    # Places far away are no part of the stretch.
+    assert in_stretches(np.append(at, 500), 40).tolist() == [True] * 8 + [False]
+    only = np.append(np.zeros(8, bool), True)
+    assert not in_stretches(np.append(at, 500), 40, only=only).any()
+
+
 def test_rows_of_one_id_or_none_are_cut_by_their_texts(spark):
     rng = random.Random(32)
     passage = words(rng, 80, 10**6)

@@ -1,9 +1,11 @@
 """The operators on documents: brute-force results, and defined results for awkward rows."""
 
 import hashlib
+import itertools
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import DOCS, awkward_rows, words
@@ -11,6 +13,7 @@ from tidemark.llm.block_mixing import Mix, mixed_documents, permuted, targets
 from tidemark.llm.line_rules import LINE_RULES_SQL, line_rules
 from tidemark.llm.one_permutation import bins_of, edited_prints, fingerprints, likeness, unpacked
 from tidemark.llm.passage_chains import (
+    _text_keys,
     align,
     chains,
     in_stretches,
@@ -291,20 +294,27 @@ def test_passages_with_a_change_in_every_few_words(spark, change, every):
 
 
 def test_passages_of_which_many_texts_hold_every_two_seeds(spark):
-    # Two texts share 60 words; forty others hold 49 of them, too few for a passage, whatever the hashes.
+    # Two texts of large hashes share 54 words; any four of their six parts, too few for a passage, are in
+    # ten others.
     rng = random.Random(33)
-    rows, cases = [], 6
+    rows, cases = [], 3
 
     def around(own):
-        return " ".join(words(rng, 70, 10**6) + own + words(rng, 70, 10**6))
+        return " ".join(words(rng, 40, 10**6) + own + words(rng, 40, 10**6))
+
+    def hash_at(text):
+        return int(next(_text_keys(pa.array([text])))[1][0])
 
     for i in range(cases):
-        passage = words(rng, 60, 10**6)
-        parts = [passage, passage] + [passage[:49], passage[11:]] * 20
-        rows += [(100 * i + k, around(part)) for k, part in enumerate(parts)]
+        parts = [words(rng, 9, 10**6) for _ in range(6)]
+        late = (text for _ in range(10**6) if hash_at(text := around(sum(parts, []))) > 8 * 10**18)
+        rows += [(1000 * i + k, next(late)) for k in range(2)]
+        rows += [(1000 * i + 2 + 10 * k + n, around(
+            sum((part if p in kept else words(rng, 9, 10**6) for p, part in enumerate(parts)), [])))
+            for k, kept in enumerate(itertools.combinations(range(6), 4)) for n in range(10)]
     found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted(r["doc_id"] // 100 for r in found) == list(range(cases))
-    assert all(r["doc_id"] % 100 < 2 and r["matched_words"] == 60 for r in found)
+    assert sorted(r["doc_id"] // 1000 for r in found) == list(range(cases))
+    assert all(r["doc_id"] % 1000 < 2 and r["matched_words"] == 54 for r in found)
 
 
 def test_stretches_hold_their_share():

@@ -317,6 +317,19 @@ def test_passages_of_which_many_texts_hold_every_two_seeds(spark):
     assert all(r["doc_id"] % 1000 < 2 and r["matched_words"] == 54 for r in found)
 
 
+@pytest.mark.parametrize("every", [6, 8])
+def test_every_place_is_a_seed(spark, every):
+    rng = random.Random(34)
+    rows, cases = [], 40
+    for i in range(cases):
+        passage = words(rng, 80, 10**6)
+        other = [f"new{i}x{n}" if n % every == every // 2 else w for n, w in enumerate(passage)]
+        for k, own in enumerate((passage, other)):
+            rows.append((2 * i + k, " ".join(words(rng, 90, 10**6) + own + words(rng, 60, 10**6))))
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({r["doc_id"] // 2 for r in found}) == cases
+
+
 def test_stretches_hold_their_share():
     import numpy as np
 

@@ -226,3 +226,23 @@ def test_early_results_by_interval():
     processor._expire(state, processor.DAY, fired)
     assert [f[1:] for f in fired] == [
         (2, "interval"), (3, "count"), (4, "interval"), (4, "interval"), (4, "end")]
+
+
+def test_spans_remember_over_batches(spark, tmp_path):
+    """A key whose memory holds rows gets more rows before a timer reads that memory."""
+    folder = Folder(spark, tmp_path / "in", "k long, at long, id long, n long, ts timestamp")
+    start = datetime(2030, 1, 1)
+    minutes = [0, 1, 2, 200, 201, 230, 400]
+    for minute in minutes:
+        ts = start + timedelta(minutes=minute)
+        at = int((ts - datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+        folder.drop(from_rows(spark, [(1, at, minute, 1, ts)], folder.schema))
+    run = StreamRun(spark, "spans")
+    rows = run.with_event_time(folder.stream(), "ts", "1 hour")
+    size, slide = 5 * MICROS_PER_HOUR, MICROS_PER_HOUR // 60
+    found = run.to_files(ps.in_order(rows, ["k"], ps.SlidingSpans(size, slide))).collect()
+    base = int((start - datetime(1970, 1, 1)).total_seconds()) // 60
+    got = {end: r["n"] for r in found for end in range(
+        r["first_end"] // slide - base, r["last_end"] // slide - base + 1)}
+    expected = {e: sum(e - 300 <= m < e for m in minutes) for e in range(1, 900)}
+    assert got == {e: n for e, n in expected.items() if n}

@@ -55,7 +55,7 @@ class InOrder(StatefulProcessor):
         if known is None:
             return None, [], 0
         memory, waiting, n = known
-        return None if memory is None else tuple(memory), [tuple(w) for w in waiting], n
+        return _plain(memory), _plain(waiting), n
 
     def _put(self, rows: list[tuple], waiting: list[tuple[int, int]], n: int) -> int:
         for low in range(0, len(rows), self.CHUNK):
@@ -143,6 +143,13 @@ class InOrder(StatefulProcessor):
         raise NotImplementedError
 
 
+def _plain(value):
+    """A value of the state with tuples for its rows, at any depth: rows inside it could not be written back."""
+    if isinstance(value, tuple):
+        return tuple(_plain(v) for v in value)
+    return [_plain(v) for v in value] if isinstance(value, list) else value
+
+
 def _millis(micros: int) -> int:
     """The first whole millisecond at which a time has passed."""
     return -(-micros // 1000)

@@ -254,3 +254,23 @@ def test_all_of_a_deep_path_and_embedded_text_is_read():
     assert (inside != outside).any()
     page = "<article><p>Of <math><mi>x</mi></math> and <object>a chart</object> <canvas>a plot</canvas>.</p></article>"
     assert [b.text for b in blocks(page)] == ["Of x and a chart a plot."]
+
+
+def test_units_merged_together_are_those_merged_alone():
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.llm.merge_dropout import _Units
+
+    with open(MODEL, "rb") as file:
+        encoder = Encoder(Pieces(file.read()), 0.3)
+    rng = random.Random(8)
+    units = ["▁" + "".join(rng.choice("abcdeinorst日ü🙂\udc81.") for _ in range(rng.randrange(60))) for _ in range(400)]
+    skips = np.sort(np.array([rng.sample(range(12), 3) for _ in units], np.int32))
+    merges, sizes, flat = encoder._all_segmented(_Units(units, encoder.pieces), np.arange(len(units)), skips)
+    ends = np.cumsum(sizes)
+    for unit, own, n, size, end in zip(units, skips.tolist(), merges.tolist(), sizes, ends, strict=True):
+        assert encoder._segmented(unit, own) == (n, flat[end - size:end].tobytes())
+    # What a worker holds does not grow with the texts it has seen.
+    encoder.encode_all(pa.array(["water and street " * 50] * 3, pa.large_string()))
+    assert not encoder.newer and not encoder.older and encoder.size == 0

@@ -55,8 +55,10 @@ SHORT = 40
 _NEVER = 1 << 30
 # Numbers of characters that are no piece begin here.
 _OTHER = 1 << 20
-# Units that come this often in a block are remembered for the next ones.
-OFTEN = 3
+# Stands behind the last symbol of a unit; no pair holds it.
+_NONE = 1 << 23
+# Units whose symbols are merged together.
+ROWS = 1 << 14
 _MASK = (1 << 64) - 1
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -106,11 +108,47 @@ class Pieces:
                 left, right = self.symbol(piece[:cut]), self.symbol(piece[cut:])
                 if left is not None and right is not None:
                     self.pairs[left << 32 | right] = rank
+        self.symbols = np.arange(_OTHER, _OTHER + 0x110000, dtype=np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.symbols[ord(piece)] = i
+        self.merged = np.array(self.by_rank, np.int32)
+        self._table()
         self.units = _UNIT if any(_CROSSING.search(p) for p in self.ids) else _UNIT_FINE
         self.lengths = np.array([len(s) for s in spelled], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
 
+    def _table(self) -> None:
+        """The pairs by their hashes; a pair whose slot is taken lies in the next free one."""
+        bits = max(8, (4 * len(self.pairs)).bit_length())
+        self.shift, self.slots = np.uint64(64 - bits), np.full((1 << bits) + len(self.pairs), -1, np.int64)
+        self.slot_ranks = np.full(len(self.slots), _NEVER, np.int32)
+        keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
+        for key, slot in zip(keys.tolist(), self._slots_of(keys).tolist(), strict=True):
+            while self.slots[slot] >= 0:
+                slot += 1
+            self.slots[slot], self.slot_ranks[slot] = key, self.pairs[key]
+
+    def _slots_of(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(_GOLDEN) >> self.shift).astype(np.int64)
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of what each two symbols merge to, or _NEVER."""
+        keys = left.astype(np.int64) << 32 | right
+        slots = self._slots_of(keys)
+        found = self.slots[slots]
+        out = np.where(found == keys, self.slot_ranks[slots], np.int32(_NEVER))
+        going = np.nonzero((found != keys) & (found >= 0))
+        while len(going[0]):
+            slots[going] += 1
+            found, own = self.slots[slots[going]], keys[going]
+            hit = found == own
+            out[tuple(g[hit] for g in going)] = self.slot_ranks[slots[going][hit]]
+            on = ~hit & (found >= 0)
+            going = tuple(g[on] for g in going)
+        return out
+
     def symbol(self, text: str) -> int | None:
         known = self.ids.get(text)
         return known if known is not None else _OTHER + ord(text) if len(text) == 1 else None
@@ -136,6 +174,17 @@ class Known:
         self.skipping: dict[tuple[int, ...], tuple[int, bytes]] = {}
 
 
+class _Units:
+    """Some units, and their symbols before any merge."""
+
+    def __init__(self, units: list[str], pieces: Pieces):
+        self.units = units
+        self.lengths = np.fromiter(map(len, units), np.int64, len(units))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        characters = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.symbols = pieces.symbols[characters]
+
+
 class Encoder:
     def __init__(self, pieces: Pieces, dropout: float = DROPOUT, variants: int | None = None, seed: int = 1):
         self.pieces, self.seed, self.dropout, self.variants = pieces, seed, dropout, variants
@@ -169,7 +218,7 @@ class Encoder:
 
         Every distinct unit is segmented once. Occurrences that skip a merge are grouped by their unit and the
         first merge skipped, those that skip another one by that as well, and so on; every group is segmented
-        once. No step is taken for a single occurrence but in numpy.
+        once. Units of one length are merged together, and nothing is remembered for other texts.
         """
         units, of_text, counts = self._units(texts)
         keys = np.repeat(self._text_keys(texts), counts)
@@ -177,36 +226,29 @@ class Encoder:
         keys = mix(places.astype(np.uint64) * np.uint64(_GOLDEN) + keys)
         if self.variants:
             keys %= np.uint64(self.variants)
-        often = np.bincount(of_text, minlength=len(units)) >= OFTEN
-        known = [self._known(u, keep) for u, keep in zip(units, often.tolist(), strict=True)]
-        made: list[bytes] = [k.ids for k in known]
         which = of_text.astype(np.int64)  # of the segmentations made, the one of each occurrence
+        given = _Units(units, self.pieces)
+        unit, skips = np.arange(len(units)), np.empty((len(units), 0), np.int32)
+        merges, *first = self._all_segmented(given, unit, skips)
+        made = [first]
         if self.dropout > 0 and len(which):
-            merges = np.array([k.merges for k in known], np.int64)
-            owner, skipped = list(range(len(units))), [()] * len(units)
-            skip = self._next_skips(keys, 0)
+            base, skip, drawn = 0, self._next_skips(keys, 0), 1
             going = np.flatnonzero(skip < merges[which])
-            skip, drawn = skip[going], 1
+            skip = skip[going]
             while len(going):
-                pairs, group = np.unique(which[going] << 32 | skip, return_inverse=True)
-                low = len(made)
-                more = []
-                for pair in pairs.tolist():
-                    was, number = pair >> 32, pair & 0xFFFFFFFF
-                    skips, unit = (*skipped[was], number), owner[was]
-                    n, ids = self._with_skips(units[unit], known[unit], skips, often[unit])
-                    more.append(n)
-                    made.append(ids)
-                    owner.append(unit)
-                    skipped.append(skips)
-                merges = np.append(merges, more)
-                which[going] = low + group
+                pairs, group = np.unique((which[going] - base) << 32 | skip, return_inverse=True)
+                was = pairs >> 32
+                unit = unit[was]
+                skips = np.column_stack([skips[was], (pairs & 0xFFFFFFFF).astype(np.int32)])
+                base += len(merges)
+                merges, *more = self._all_segmented(given, unit, skips)
+                made.append(more)
+                which[going] = base + group
                 following = skip + 1 + self._next_skips(keys[going], drawn)
-                on = following < merges[which[going]]
+                on = following < merges[group]
                 going, skip, drawn = going[on], following[on], drawn + 1
-        sizes = np.array([len(m) // 2 for m in made], np.int64)
+        sizes, flat = (np.concatenate(parts) for parts in zip(*made, strict=True))
         begins = np.concatenate([[0], np.cumsum(sizes)])
-        flat = np.frombuffer(b"".join(made), np.uint16)
         own = sizes[which]
         ends = np.concatenate([[0], np.cumsum(own)])
         ids = flat[np.repeat(begins[which] - ends[:-1], own) + np.arange(ends[-1])]
@@ -253,21 +295,89 @@ class Encoder:
         shares = ((mix(keys + step) >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53)
         return np.minimum(np.log(shares) * self.scale, _NEVER).astype(np.int64)
 
-    def _known(self, unit: str, keep: bool) -> Known:
-        found = self.newer.get(unit)
-        if found is None and keep and len(unit) <= LONGEST:
-            return self._remember(unit)
-        return found or Known(*self._segmented(unit, ()))
-
-    def _with_skips(self, unit: str, known: Known, skips: tuple[int, ...], keep: bool) -> tuple[int, bytes]:
-        """Merges and ids of a unit that skips just these."""
-        found = known.skipping.get(skips)
-        if found is None:
-            found = self._segmented(unit, skips)
-            if keep and len(skips) <= MOST_SKIPS and len(unit) <= LONGEST:
-                known.skipping[skips] = found
-                self.size += 1
-        return found
+    def _all_segmented(
+        self, given: _Units, unit: np.ndarray, skips: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of many units, each with the merges that it skips: how many merges the agenda came to, how many ids
+        there are, and all ids one after the other. The same as `_segmented` gives for each."""
+        lengths = given.lengths[unit]
+        merges, sizes = np.zeros(len(unit), np.int64), np.zeros(len(unit), np.int64)
+        own: dict[int, bytes] = {}
+        parts = []
+        order = np.argsort(lengths, kind="stable")
+        cuts = np.searchsorted(lengths[order], np.arange(SHORT + 2))
+        for length in range(1, SHORT + 1):
+            for low in range(cuts[length], cuts[length + 1], ROWS):
+                rows = order[low:min(low + ROWS, cuts[length + 1])]
+                symbols = given.symbols[given.starts[unit[rows]][:, None] + np.arange(length)]
+                symbols, merges[rows] = self._merged_rows(symbols, skips[rows])
+                sizes[rows] = (symbols < _NONE).sum(1)
+                for i in np.flatnonzero(((symbols >= _OTHER) & (symbols < _NONE)).any(1)).tolist():
+                    own[int(rows[i])] = self._ids(symbols[i, :sizes[rows[i]]].tolist())
+                parts.append((rows, symbols))
+        for i in order[cuts[SHORT + 1]:].tolist():
+            merges[i], own[i] = self._segmented(given.units[unit[i]], skips[i].tolist())
+        for i, ids in own.items():
+            sizes[i] = len(ids) // 2
+        begins = np.cumsum(sizes) - sizes
+        flat = np.zeros(int(sizes.sum()), np.uint16)
+        for rows, symbols in parts:
+            whole = (symbols < _OTHER) | (symbols == _NONE)
+            plain = whole.all(1)
+            rows, symbols = rows[plain], symbols[plain]
+            held = symbols < _NONE
+            flat[(begins[rows][:, None] + np.arange(symbols.shape[1]))[held]] = symbols[held]
+        for i, ids in own.items():
+            flat[begins[i]:begins[i] + sizes[i]] = np.frombuffer(ids, np.uint16)
+        return merges, sizes, flat
+
+    def _merged_rows(self, symbols: np.ndarray, skips: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`_merged` for many units of one length: a row of symbols each, filled up with _NONE, and the merges."""
+        n, length = symbols.shape
+        ranks_of, merged = self.pieces.ranks_of, self.pieces.merged
+        out, merges = np.full((n, length), _NONE, np.int32), np.zeros(n, np.int64)
+        skips = np.column_stack([skips, np.full(n, -1, np.int32)])
+        rows, passed, drawn = np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        symbols = np.column_stack([symbols, np.full(n, _NONE, np.int32)])
+        agenda = ranks_of(symbols[:, :-1], symbols[:, 1:])
+        while len(rows):
+            every = np.arange(len(rows))
+            i = agenda.argmin(1)
+            best = agenda[every, i]
+            on = best < _NEVER
+            if not on.all():
+                done = ~on
+                out[rows[done], :symbols.shape[1] - 1] = symbols[done, :-1]
+                merges[rows[done]] = passed[done]
+                rows, passed, drawn, symbols, agenda, i, best = (
+                    x[on] for x in (rows, passed, drawn, symbols, agenda, i, best))
+                every = np.arange(len(rows))
+                if not len(rows):
+                    break
+            skipped = skips[rows, drawn] == passed
+            passed += 1
+            drawn += skipped
+            going = np.flatnonzero(~skipped)
+            agenda[every[skipped], i[skipped]] = _NEVER
+            whole = len(going) == len(rows)
+            s, a, at = (symbols, agenda, i) if whole else (symbols[going], agenda[going], i[going])
+            each = np.arange(len(going))
+            piece = merged[best if whole else best[going]]
+            # What lies behind the merged symbols moves one place to the left.
+            s[each, at] = piece
+            behind = np.arange(s.shape[1] - 1) > at[:, None]
+            s[:, :-1] = np.where(behind, s[:, 1:], s[:, :-1])
+            a[:, :-1] = np.where(behind[:, :-1] | (np.arange(a.shape[1] - 1) == at[:, None]), a[:, 1:], a[:, :-1])
+            s[:, -1], a[:, -1] = _NONE, _NEVER
+            a[each, at] = ranks_of(piece, s[each, at + 1])
+            inner = np.flatnonzero(at > 0)
+            a[inner, at[inner] - 1] = ranks_of(s[inner, at[inner] - 1], piece[inner])
+            if whole:
+                # All rows have lost a symbol.
+                symbols, agenda = s[:, :-1], a[:, :-1]
+            else:
+                symbols[going], agenda[going] = s, a
+        return out, merges
 
     def _remember(self, unit: str) -> Known:
         if self.size >= REMEMBERED:
@@ -329,8 +439,12 @@ class Encoder:
             numbers = [self.pieces.symbol(x) for x in symbols]
         else:
             numbers, merges = self._merged(list(map(self.pieces.characters.__getitem__, unit)), skipping)
+        return merges, self._ids(numbers)
+
+    def _ids(self, numbers: list[int]) -> bytes:
+        """Symbols as packed ids, characters that are no piece as their bytes."""
         if max(numbers) < _OTHER:
-            return merges, array("H", numbers).tobytes()
+            return array("H", numbers).tobytes()
         ids = []
         for number in numbers:
             if number < _OTHER:
@@ -338,7 +452,7 @@ class Encoder:
             else:
                 own = chr(number - _OTHER)
                 ids += [self.pieces.bytes[b] for b in (MARK if own == _OWN_MARK else own).encode()]
-        return merges, array("H", ids).tobytes()
+        return array("H", ids).tobytes()
 
     def _merged(self, symbols: list[int], skips: Iterator[int]) -> tuple[list[int], int]:
         """The agenda as a list: for each symbol the rank of its merge with the next one."""
@@ -392,7 +506,7 @@ def _pieces_of(model: str) -> bytes:
 
 
 # Text that is encoded together.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def by_block(

@@ -506,7 +506,7 @@ def _pieces_of(model: str) -> bytes:
 
 
 # Text that is encoded together.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def by_block(

@@ -330,6 +330,47 @@ def test_every_place_is_a_seed(spark, every):
     assert len({r["doc_id"] // 2 for r in found}) == cases
 
 
+def test_words_of_texts_are_taken_once_for_all_rounds(spark, monkeypatch):
+    from tidemark.llm import passage_chains
+
+    # Any four of a passage's six parts are in ten texts each, and all of them in two.
+    rng = random.Random(35)
+    parts = [words(rng, 9, 10**6) for _ in range(6)]
+    held = [range(6)] * 2 + [kept for kept in itertools.combinations(range(6), 4) for _ in range(10)]
+    rows = [(i, " ".join(words(rng, 40, 10**6) + sum(
+        (part if p in kept else words(rng, 9, 10**6) for p, part in enumerate(parts)), []) + words(rng, 40, 10**6)))
+        for i, kept in enumerate(held)]
+    docs, labels, written = spark.createDataFrame(rows, "doc_id long, text string"), [], passage_chains.written
+
+    def noted(df, label):
+        labels.append(label)
+        return written(df, label)
+
+    monkeypatch.setattr(passage_chains, "written", noted)
+    found = sorted(tuple(r) for r in repeated_passages(docs).collect())
+    assert len(found) == 1 and labels.count("chain-pairs") >= 3
+    assert labels.count("chain-words") == 2 and labels.count("chain-open") == 1 + passage_chains.PEELS
+    # Bins of any size give the same.
+    monkeypatch.setattr(passage_chains, "BIN_SEEDS", 4)
+    assert sorted(tuple(r) for r in repeated_passages(docs).collect()) == found
+
+
+def test_rows_left_out_before_chaining_have_no_chain():
+    import numpy as np
+
+    from tidemark.llm.passage_chains import MIN_CHAIN, chains_of
+
+    rng = np.random.default_rng(36)
+    at = [np.sort(rng.choice(n, 12, replace=False)) for n in rng.integers(20, 400, 400)]
+    of = [rng.permutation(x) if i % 2 else x + rng.integers(0, 9, 12) for i, x in enumerate(at)]
+    rows = np.repeat(np.arange(len(at)), 12)
+    got = dict(chains_of(rows, np.concatenate(at), np.concatenate(of), 5))
+    for i, (q, t) in enumerate(zip(at, of, strict=True)):
+        own = [c for c in chains(segments_of(q, t, 5)) if c[-1][0] + c[-1][2] - c[0][0] >= MIN_CHAIN]
+        assert got.get(i, []) == own
+    assert 0 < len(got) < len(at)
+
+
 def test_stretches_hold_their_share():
     import numpy as np
 

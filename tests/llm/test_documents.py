@@ -371,6 +371,42 @@ def test_rows_left_out_before_chaining_have_no_chain():
     assert 0 < len(got) < len(at)
 
 
+def test_hashing_and_sketching_need_little_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    from tidemark.llm import spread, text
+
+    column = pa.array([" ".join(words(random.Random(i), 700)) for i in range(600)])
+    list(text.word_chunks(column))
+    tracemalloc.start()
+    n = sum(len(w.windows(5)[0]) for w in text.word_chunks(column))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Numbers of 8 bytes for each byte of a chunk, not of the column (2.4 MB).
+    assert n == 600 * 696 and peak < 16e6
+    # Counters of a sketch are bytes and stay at 255.
+    total = np.zeros(4, np.uint8)
+    for _ in range(2):
+        spread._add(total, [np.array([0] * 200 + [1] * 3 + [2] * 700, np.int32)])
+    assert total.tolist() == [255, 6, 255, 0]
+
+
+def test_stages_get_small_batches(spark):
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, kept in (("10000", corpus_pipeline.BATCH_ROWS), ("0", corpus_pipeline.BATCH_ROWS), ("100", 100)):
+            spark.conf.set(name, given)
+            corpus_pipeline.small_batches(spark)
+            assert int(spark.conf.get(name)) == kept
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_stretches_hold_their_share():
     import numpy as np
 

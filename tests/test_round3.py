@@ -4,6 +4,7 @@ microseconds, streams that take back, retain, buffer and resume."""
 import datetime as dt
 import random
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from tidemark.operators import aggregates as agg
 from tidemark.operators.automaton import MATCHED, TIMED_OUT, Automaton, begin, match_pattern
 from tidemark.sources import custom
 from tidemark.streaming import processors as ps
-from tidemark.streaming.changes import full_groups, live_rows, retained_join, retracting_join
+from tidemark.streaming.changes import (
+    Entries, JoinedChanges, NetChanges, full_groups, live_rows, retained_join, retracting_join)
 from tidemark.streaming.run import StreamRun
 
 EPOCH = dt.datetime(2020, 1, 1)
@@ -316,6 +318,91 @@ def test_a_join_takes_back_what_changes(spark, tmp_path):
     assert rows_of(live_rows(found), "o", "price", "name") == [(1, 7, None), (3, 1, None)]
 
 
+class States:
+    """A handle for the state of one key, that counts what is read and written."""
+
+    def __init__(self):
+        self.calls = 0
+
+    def getValueState(self, *_):
+        class One:
+            value = None
+
+            def get(own):
+                self.calls += 1
+                return own.value
+
+            def update(own, value):
+                self.calls += 1
+                own.value = value
+
+        return One()
+
+    def getMapState(self, *_):
+        class Many(dict):
+            def getValue(own, key):
+                self.calls += 1
+                return own[key]
+
+            def updateValue(own, key, value):
+                self.calls += 1
+                own[key] = value
+
+            def removeKey(own, key):
+                self.calls += 1
+                del own[key]
+
+        self.map = Many()
+        return self.map
+
+
+def test_a_batch_of_changes_costs_few_calls_to_the_state():
+    from pyspark.sql import Row
+
+    def changes(seq):
+        return [Row(side="left", row_key=str(i), op_type="U", seq=seq, o=i, price=i + int(seq)) for i in range(5000)]
+
+    states, net = States(), NetChanges(["o", "price"])
+    net.init(states)
+    assert [r.row_kind for r in net.handleInputRows((0,), iter(changes("1")), None)] == ["+I"] * 5000
+    again = list(net.handleInputRows((0,), iter(changes("2")), None))
+    assert {(r.row_kind, r.o, r.price) for r in again} == {
+        x for i in range(5000) for x in (("-U", i, i + 1), ("+U", i, i + 2))}
+    assert list(net.handleInputRows((0,), iter(changes("1")), None)) == []
+    assert states.calls < 100
+
+
+def test_a_join_of_changes_keeps_left_rows_in_chunks(monkeypatch):
+    """Random changes of few and of very common links, against a table kept beside them."""
+    from pyspark.sql import Row
+
+    monkeypatch.setattr(Entries, "CHUNK", 4)
+    chance, states, joined = random.Random(7), States(), JoinedChanges(["o", "price"], ["name"])
+    joined.init(states)
+    change = Row("side", "row_key", "row_kind", "_link", "o", "price", "name")
+    lefts, rights, feed = {}, {}, Counter()
+    for _ in range(150):
+        rows = []
+        for o in chance.sample([None, *range(80)], chance.choice([1, 5, 40])):
+            key = None if o is None else str(o)
+            if o in lefts:
+                rows.append(change("left", key, "-D", lefts[o][0], o, lefts.pop(o)[1], None))
+            if chance.random() < 0.7:
+                lefts[o] = (chance.choice([None, "a", "a", "a", "b", str(chance.randrange(30))]), chance.random())
+                rows.append(change("left", key, "+I", lefts[o][0], o, lefts[o][1], None))
+        for link in chance.sample([None, "a", "b", *map(str, range(30))], chance.choice([0, 1, 8])):
+            if link in rights:
+                rows.append(change("right", link, "-D", link, None, None, rights.pop(link)))
+            if chance.random() < 0.7:
+                rights[link] = chance.random()
+                rows.append(change("right", link, "+I", link, None, None, rights[link]))
+        for kind, *row in joined.handleInputRows((0,), iter(rows), None):
+            feed[tuple(row)] += 1 if kind in ("+I", "+U") else -1
+        assert +feed == Counter((o, price, None if link is None else rights.get(link)) for o, (link, price) in lefts.items())
+        assert not -feed
+    assert len(states.map) > 5
+
+
 @pytest.mark.parametrize("ttl,pairs", [(1, []), (600_000, [(1, 7, 8)])])
 def test_idle_rows_no_longer_join(spark, tmp_path, ttl, pairs):
     left = Arrivals(spark, tmp_path / "l", "k int, a int")

@@ -469,3 +469,12 @@ def test_bad_fields_stop_the_source(spark, tmp_path):
     custom.register(spark)
     with pytest.raises(Exception, match="CSV conversion error"):
         spark.read.format("record_folder").schema("id long, name string").load(str(tmp_path)).collect()
+
+
+def test_rules_go_to_the_stream_and_not_the_stream_to_the_rules(tables, monkeypatch):
+    from tidemark.plans import QUERIES
+
+    monkeypatch.setattr(StreamRun, "to_files", lambda self, result: result)
+    matched = QUERIES["stream_rule_match"].run(tables)
+    plan = matched._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint (strategy=broadcast)" in plan, plan

@@ -284,7 +284,9 @@ def rule_match(t: Tables) -> DataFrame:
     run = StreamRun(t.spark, "rules")
     rules = from_rows(t.spark, joined.RULES, "action1 string, action2 string, version int")
     paired = ps.in_order(keyed(run, t, value="event_type"), ["user_id"], ps.Previous("string"))
-    matched = paired.join(rules, F.expr("was = action1 AND value = action2"))
+    # Spark does not know the size of rows given in code and would send all pairs through a shuffle, to the few
+    # tasks that have their actions.
+    matched = paired.join(F.broadcast(rules), F.expr("was = action1 AND value = action2"))
     return run.to_files(matched.select(
         "user_id", F.col("id").alias("event_id"), "action1", "action2"))
 

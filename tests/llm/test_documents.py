@@ -478,3 +478,21 @@ def test_mix_meets_its_targets_and_cuts_whole_words(spark, awkward):
         texts.setdefault(r["doc_id"], set()).update((r["text"] or "").split())
     for r in mixed.collect():
         assert set(r["text"].split()) <= texts[r["doc_id"]] and r["n_chars"] == len(r["text"])
+
+
+def test_scratch_tables_of_passages_go_when_nothing_reads_them(spark):
+    import os
+
+    from tidemark.llm.passage_chains import repeated_passages
+    from tidemark.session import shared_dir
+
+    def scratch():
+        folder = f"{shared_dir(spark)}/tidemark".removeprefix("file:")
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    before, shared = scratch(), " ".join(f"s{i}" for i in range(80))
+    docs = spark.createDataFrame([(i, f"{' '.join(f'w{i}x{j}' for j in range(30))} {shared}") for i in range(3)],
+                                 "doc_id long, text string")
+    found = repeated_passages(docs).select("doc_id", "start_word", "end_word").collect()
+    assert len(found) == 2 and {r[1:] for r in found} == {(30, 110)}
+    assert {name.rsplit("-", 1)[0] for name in scratch() - before} == {"chain-names", "chain-spans"}
